@@ -170,7 +170,7 @@ FROM orders JOIN li ON l_orderkey = o_orderkey
 
 def ln(t: Tables) -> DataFrame:
     lines = li(t)
-    return t.orders.join(lines, lines.l_orderkey == t.orders.o_orderkey).select(
+    return t.orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("order_date"),
         F.when(F.col("o_orderkey") % 3 == 0, "Inclusive").otherwise("Exclusive").alias("amount_types"),
         F.floor((F.col("l_linenumber") - 1) / LINES_PER_PAGE).cast("int").alias("page_no"),
