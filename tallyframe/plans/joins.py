@@ -59,11 +59,11 @@ FROM (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day
 CROSS JOIN (SELECT DISTINCT event_type FROM events) y
 LEFT JOIN events e ON CAST(e.ts AS DATE) = d.day AND e.event_type = y.event_type GROUP BY 1, 2""")
 def j4(t: Tables) -> DataFrame:
-    # the sides are a calendar and a code list; events are counted before they meet the grid
+    # a calendar per code from a one-row bound; events are counted before they meet the grid
     counts = t.events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
-    days = counts.agg(F.min("day").alias("a"), F.max("day").alias("b")).select(
-        F.explode(F.sequence("a", "b")).alias("day"))
-    grid = days.crossJoin(F.broadcast(t.events.select("event_type").distinct()))
+    bounds = counts.agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    grid = counts.select("event_type").distinct().crossJoin(F.broadcast(bounds)).select(
+        F.explode(F.sequence("a", "b")).alias("day"), "event_type")
     return grid.join(counts, ["day", "event_type"], "left").select(
         "day", "event_type", F.coalesce("n", F.lit(0)).alias("event_count"))
 
