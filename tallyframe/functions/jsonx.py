@@ -22,17 +22,26 @@ def path_of(*names: str) -> str:
     return "$" + "".join(f"['{n}']" for n in names)
 
 
+def json_raw(variant, path: str) -> Column:
+    """Node at ``path`` as text, nested nodes as their JSON text.
+
+    Enough wherever the text is cast afterwards: the text of an object never casts.
+    """
+    return F.try_variant_get(_c(variant), path, "string")
+
+
 def json_scalar(variant, path: str) -> Column:
     """Scalar at ``path`` as text; objects, arrays and missing paths give NULL."""
-    v = _c(variant)
-    node = F.try_variant_get(v, path, "variant")
-    nested = F.schema_of_variant(node).rlike("^(OBJECT|ARRAY)")
-    return F.when(~nested, F.try_variant_get(v, path, "string"))
+    raw = json_raw(variant, path)
+    # only a text that looks nested needs the costlier type test
+    plain = ~(raw.startswith("{") | raw.startswith("["))
+    nested = F.schema_of_variant(F.try_variant_get(_c(variant), path, "variant")).rlike("^(OBJECT|ARRAY)")
+    return F.when(plain, raw).when(~nested, raw)
 
 
 def json_number(variant, path: str, type_: str = "decimal(18,2)") -> Column:
     """Scalar at ``path`` cast to a number, NULL when it is not one."""
-    return json_scalar(variant, path).try_cast(type_)
+    return json_raw(variant, path).try_cast(type_)
 
 
 def json_array(variant, path: str) -> Column:

@@ -50,7 +50,12 @@ class DocumentSpec:
 
 
 def _read(node: Column, fields: list[Field]) -> list[Column]:
-    return [READERS[ty](jsonx.json_scalar(node, f"$.{path}")).alias(out) for out, path, ty in fields]
+    """Typed columns below a node; only text must be told apart from nested nodes."""
+    out = []
+    for name, path, ty in fields:
+        get = jsonx.json_scalar if ty == "string" else jsonx.json_raw
+        out.append(READERS[ty](get(node, f"$.{path}")).alias(name))
+    return out
 
 
 def parse_records(df: DataFrame, payload: str = "payload") -> DataFrame:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyframe.functions.numbers import converted, safe_divide, strict_greatest
-from tallyframe.operators.asof import fill_forward
+from tallyframe.functions.numbers import converted, safe_divide
 from tallyframe.operators.latest import latest_flag
 
 
@@ -30,25 +29,32 @@ def daily_rates(series: DataFrame, base: str, reference: DataFrame | None = None
     """Rate per currency and calendar day, filled forward, plus the base currency at 1.
 
     ``series`` has one row per (currency, rate_date); ``reference`` is a single row with
-    ``max_date`` up to which the calendar must reach. The grid is a calendar per currency
-    code, built from the code list and a one-row bound.
+    ``max_date`` up to which the calendar must reach. Each quote is spread over the days
+    until the next one, so no day grid and no as-of search is needed. Days before the
+    first quote of a currency stay without rate.
     """
-    bounds = series.agg(F.min("rate_date").alias("lo"), F.max("rate_date").alias("_m"))
+    ends = series.agg(F.struct(F.min("rate_date").alias("lo"), F.max("rate_date").alias("hi")).alias("b")).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     if reference is not None:
-        bounds = bounds.crossJoin(F.broadcast(reference.select("max_date"))).withColumn(
-            "hi", strict_greatest(F.col("_m"), F.coalesce("max_date", "_m")))
-    else:
-        bounds = bounds.withColumn("hi", F.col("_m"))
-    day = F.explode(F.sequence("lo", "hi")).alias("calendar_date")
-    grid = series.select("currency").distinct().crossJoin(F.broadcast(bounds)).select("currency", day)
-    marked = grid.join(series.withColumnRenamed("rate_date", "calendar_date"), ["currency", "calendar_date"], "left")
-    filled = fill_forward(marked, ["currency"], "calendar_date", ["exchange_rate"])
-    market = filled.select(
-        "currency", "calendar_date", F.col("held_since").alias("rate_date"), "exchange_rate",
-        F.lit("feed").alias("rate_source"), F.lit(False).alias("is_same_currency"),
-        F.col("held_since").isNotNull().alias("has_market_rate"),
-        F.coalesce(F.col("held_since") < F.col("calendar_date"), F.lit(False)).alias("is_rate_filled_forward"))
-    own = bounds.select(F.lit(base).alias("currency"), day).select(
+        hi = F.greatest(hi, reference.select("max_date").scalar())
+    w = Window.partitionBy("currency").orderBy("rate_date")
+    quotes = series.select(
+        "currency", "rate_date", "exchange_rate", F.lead("rate_date").over(w).alias("_next"),
+        F.row_number().over(w).alias("_n"), lo.alias("_lo"), hi.alias("_hi"))
+    held = F.sequence("rate_date", F.coalesce(F.date_sub("_next", 1), "_hi"))
+    before = F.when((F.col("_n") == 1) & (F.col("_lo") < F.col("rate_date")),
+                    F.sequence("_lo", F.date_sub("rate_date", 1))).otherwise(F.array().cast("array<date>"))
+    days = F.concat(F.transform(held, lambda d: F.struct(d.alias("day"), F.lit(True).alias("known"))),
+                    F.transform(before, lambda d: F.struct(d.alias("day"), F.lit(False).alias("known"))))
+    spread = quotes.select("currency", "rate_date", "exchange_rate", F.explode(days).alias("d"))
+    known = F.col("d.known")
+    market = spread.select(
+        "currency", F.col("d.day").alias("calendar_date"), F.when(known, F.col("rate_date")).alias("rate_date"),
+        F.when(known, F.col("exchange_rate")).alias("exchange_rate"), F.lit("feed").alias("rate_source"),
+        F.lit(False).alias("is_same_currency"), known.alias("has_market_rate"),
+        (known & (F.col("rate_date") < F.col("d.day"))).alias("is_rate_filled_forward"))
+    own = series.sparkSession.range(1, numPartitions=1).select(lo.alias("_lo"), hi.alias("_hi")).select(
+        F.lit(base).alias("currency"), F.explode(F.sequence("_lo", "_hi")).alias("calendar_date")).select(
         "currency", "calendar_date", F.col("calendar_date").alias("rate_date"),
         F.lit(1).cast("decimal(18,6)").alias("exchange_rate"), F.lit("self").alias("rate_source"),
         F.lit(True).alias("is_same_currency"), F.lit(True).alias("has_market_rate"),

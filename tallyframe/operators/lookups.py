@@ -31,11 +31,11 @@ def validity_join(facts: DataFrame, windows: DataFrame, keys: list[str], day: st
     only meets windows touching its month. Open ends are clamped to the last fact day,
     which changes nothing for the facts at hand.
     """
-    bounds = facts.agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
+    ends = facts.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("b")).scalar()
     lo = F.greatest(F.col(start), F.col("_lo"))
     hi = F.least(F.coalesce(F.col(end), F.col("_hi")), F.col("_hi"))
     spread = (
-        windows.crossJoin(F.broadcast(bounds))
+        windows.select("*", ends["lo"].alias("_lo"), ends["hi"].alias("_hi"))
         .filter(lo <= hi)
         .withColumn("_m", F.explode(F.sequence(month_index(lo), month_index(hi))))
         .drop("_lo", "_hi")

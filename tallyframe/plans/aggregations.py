@@ -127,11 +127,10 @@ SELECT s_suppkey, greatest(o.d, l.d) AS last_date, least(o.m, l.m) AS first_date
 FROM supplier, (SELECT max(CAST(o_orderdate AS DATE)) AS d, min(CAST(o_orderdate AS DATE)) AS m FROM orders) o,
   (SELECT max(CAST(l_shipdate AS DATE)) AS d, min(CAST(l_shipdate AS DATE)) AS m FROM lineitem) l""")
 def a13(t: Tables) -> DataFrame:
-    o = t.orders.agg(F.max("o_orderdate").alias("od"), F.min("o_orderdate").alias("om"))
-    l = t.lineitem.agg(F.max("l_shipdate").alias("ld"), F.min("l_shipdate").alias("lm"))
-    bounds = o.crossJoin(l).select(F.to_date(strict_greatest("od", "ld")).alias("last_date"),
-                                   F.to_date(F.least("om", "lm")).alias("first_date"))
-    return t.supplier.select("s_suppkey").crossJoin(F.broadcast(bounds))
+    o = t.orders.agg(F.struct(F.max("o_orderdate").alias("hi"), F.min("o_orderdate").alias("lo")).alias("b")).scalar()
+    l = t.lineitem.agg(F.struct(F.max("l_shipdate").alias("hi"), F.min("l_shipdate").alias("lo")).alias("b")).scalar()
+    return t.supplier.select("s_suppkey", F.to_date(strict_greatest(o["hi"], l["hi"])).alias("last_date"),
+                             F.to_date(F.least(o["lo"], l["lo"])).alias("first_date"))
 
 
 @query("A14_uniqueness_gate", """

@@ -243,10 +243,12 @@ def gl(t: Tables) -> DataFrame:
         F.struct(F.lit("C").alias("side"),
                  F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("account_id"),
                  (-amt).alias("amount")))
-    posted = li(t).select("l_orderkey", "l_linenumber", "l_linestatus", "l_discount", "l_tax",
-                          F.explode(sides).alias("p"))
+    lines = li(t).select("l_orderkey", "l_linenumber", "l_linestatus", "l_partkey", "l_suppkey", "l_extendedprice",
+                         "l_discount", "l_tax")
+    # headers first, then the two sides: the join moves each line once
+    posted = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("p", F.explode(sides))
     posted = posted.filter(~((F.col("p.side") == "C") & (F.col("l_discount") == 0.1) & (F.col("l_tax") == 0.08)))
-    return posted.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return posted.select(
         "tenant_id", F.col("l_orderkey").alias("journal_id"), F.col("p.account_id").alias("account_id"),
         F.col("p.side").alias("side"), posting_date(F.col("l_orderkey")).alias("posting_date"),
         currency_of(F.col("l_orderkey")).alias("currency"), F.col("l_linenumber").alias("line_no"),

@@ -61,9 +61,9 @@ LEFT JOIN events e ON CAST(e.ts AS DATE) = d.day AND e.event_type = y.event_type
 def j4(t: Tables) -> DataFrame:
     # a calendar per code from a one-row bound; events are counted before they meet the grid
     counts = t.events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
-    bounds = counts.agg(F.min("day").alias("a"), F.max("day").alias("b"))
-    grid = counts.select("event_type").distinct().crossJoin(F.broadcast(bounds)).select(
-        F.explode(F.sequence("a", "b")).alias("day"), "event_type")
+    ends = counts.agg(F.struct(F.min("day").alias("a"), F.max("day").alias("b")).alias("e")).scalar()
+    grid = counts.select("event_type").distinct().select("event_type", ends.alias("e")).select(
+        F.explode(F.sequence("e.a", "e.b")).alias("day"), "event_type")
     return grid.join(counts, ["day", "event_type"], "left").select(
         "day", "event_type", F.coalesce("n", F.lit(0)).alias("event_count"))
 

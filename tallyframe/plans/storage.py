@@ -78,9 +78,8 @@ def s4(t: Tables) -> DataFrame:
 @query("S5_point_lookup", """
 SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_name = (SELECT max(c_name) FROM customer) ORDER BY c_custkey LIMIT 1""")
 def s5(t: Tables) -> DataFrame:
-    key = t.customer.agg(F.max("c_name").alias("k"))
-    hit = t.customer.join(F.broadcast(key), F.col("c_name") == F.col("k")).select("c_custkey", "c_name", "c_acctbal")
-    return hit.orderBy("c_custkey").limit(1)
+    key = t.customer.agg(F.max("c_name").alias("k")).scalar()
+    return pg.point_lookup(t.customer, c_name=key).select("c_custkey", "c_name", "c_acctbal")
 
 
 @query("S6_catalog_counts", "\nUNION ALL ".join(
@@ -316,7 +315,7 @@ UNION ALL SELECT 'sweep', o_orderkey FROM orders WHERE o_orderstatus IN ('O', 'P
 UNION ALL SELECT 'full', o_orderkey FROM orders""")
 def t4(t: Tables) -> DataFrame:
     day = F.to_date("o_orderdate")
-    o = t.orders.crossJoin(F.broadcast(t.orders.agg(F.to_date(F.max("o_orderdate")).alias("hi"))))
+    o = t.orders.withColumn("hi", t.orders.agg(F.to_date(F.max("o_orderdate"))).scalar())
     modes = F.array_compact(F.array(
         F.when(day >= F.date_sub("hi", 30), "rolling"),
         F.when(ingest.in_window(day, F.lit("1997-03-01").cast("date"), F.lit("1997-03-31").cast("date")), "window"),
