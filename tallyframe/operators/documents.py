@@ -19,13 +19,15 @@ READERS = {
     "double": lambda s: s.try_cast("double"),
     "money": lambda s: s.try_cast("decimal(18,2)"),
     "boolean": lambda s: s.try_cast("boolean"),
+    "active": lambda s: F.coalesce(s == "ACTIVE", F.lit(False)),
     "epoch_date": dates.epoch_date,
     "epoch_timestamp": dates.epoch_timestamp,
     "iso_date": dates.iso_date,
     "iso_datetime": dates.iso_datetime,
 }
 
-Field = tuple[str, str, str]  # output column, JSON path below the node, type
+# Output column, JSON path below the node (alternatives separated by "|"), type.
+Field = tuple[str, str, str]
 
 
 @dataclass(frozen=True)
@@ -34,6 +36,8 @@ class ChildSpec:
 
     array: str
     fields: list[Field]
+    parent: list[Field] = field(default_factory=list)  # read from the document, not the element
+    key: list[str] = field(default_factory=list)  # identifies a row next to tenant and record
     position: str | None = None
     nested: str | None = None  # array inside each element, exploded in turn
     nested_fields: list[Field] = field(default_factory=list)
@@ -54,7 +58,8 @@ def _read(node: Column, fields: list[Field]) -> list[Column]:
     out = []
     for name, path, ty in fields:
         get = jsonx.json_scalar if ty == "string" else jsonx.json_raw
-        out.append(READERS[ty](get(node, f"$.{path}")).alias(name))
+        found = [get(node, f"$.{p}") for p in path.split("|")]
+        out.append(READERS[ty](F.coalesce(*found)).alias(name))
     return out
 
 
@@ -82,8 +87,8 @@ def flatten_child(records: DataFrame, spec: DocumentSpec, name: str, keep: list[
     if child.blank_flag:
         arr = F.filter(arr, lambda e: ~F.coalesce(F.try_variant_get(e, f"$.{child.blank_flag}", "boolean"), F.lit(False)))
     base = records.select(*keep, jsonx.json_scalar("_doc", f"$.{spec.record_id}").alias("record_id"),
-                          F.posexplode(arr).alias("_pos", "_el"))
-    cols = [*keep, "record_id"]
+                          *_read(F.col("_doc"), child.parent), F.posexplode(arr).alias("_pos", "_el"))
+    cols = [*keep, "record_id", *[f[0] for f in child.parent]]
     if child.position:
         cols.append(F.col("_pos").cast("bigint").alias(child.position))
     if child.nested:
