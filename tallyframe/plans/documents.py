@@ -126,7 +126,7 @@ def d4(t: Tables) -> DataFrame:
 
 def net_amount(amount_types, amount, tax):
     """Tax-exclusive amount."""
-    return F.when(amount_types == "Inclusive", amount - tax).otherwise(amount)
+    return F.when(amount_types == "Inclusive", amount - F.coalesce(tax, F.lit(0).cast("decimal(18,2)"))).otherwise(amount)
 
 
 @query("D5_net_of_tax", """

@@ -383,7 +383,7 @@ WITH d AS (SELECT r_name AS tenant_id, account_id, CASE side WHEN 'D' THEN 'purc
  JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2, 3),
 g AS (SELECT tenant_id, account_id, CASE side WHEN 'D' THEN 'purchase' ELSE 'sale' END AS document_type, sum(amount) AS gl_amount FROM gl GROUP BY 1, 2, 3)
 SELECT coalesce(d.tenant_id, g.tenant_id) AS tenant_id, coalesce(d.account_id, g.account_id) AS account_id, coalesce(d.document_type, g.document_type) AS document_type,
- CAST(doc_amount AS DOUBLE) AS doc_amount, CAST(gl_amount AS DOUBLE) AS gl_amount, CAST(coalesce(gl_amount, 0) - coalesce(doc_amount, 0) AS DOUBLE) AS diff
+ CAST(doc_amount AS DOUBLE) AS doc_amount, CAST(gl_amount AS DOUBLE) AS gl_amount, CAST(coalesce(doc_amount, 0) - coalesce(gl_amount, 0) AS DOUBLE) AS diff
 FROM d FULL JOIN g ON g.tenant_id = d.tenant_id AND g.account_id = d.account_id AND g.document_type = d.document_type""", uses="ln gl")
 def d37(t: Tables) -> DataFrame:
     open_lines = derived.ln(t).filter("o_orderstatus <> 'P'")
@@ -397,7 +397,7 @@ def d37(t: Tables) -> DataFrame:
         F.sum("s").cast("decimal(28,2)").alias("doc_amount"))
     kind = F.when(F.col("side") == "D", "purchase").otherwise("sale")
     ledger = derived.gl(t).groupBy("tenant_id", "account_id", kind.alias("document_type")).agg(F.sum("amount").alias("gl_amount"))
-    rec = quality.reconcile(docs, ledger, ["tenant_id", "account_id", "document_type"], "doc_amount", "gl_amount")
+    rec = quality.reconcile(ledger, docs, ["tenant_id", "account_id", "document_type"], "gl_amount", "doc_amount")
     return rec.select("tenant_id", "account_id", "document_type", *[F.col(c).cast("double").alias(c) for c in ("doc_amount", "gl_amount", "diff")])
 
 
