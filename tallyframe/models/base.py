@@ -34,6 +34,6 @@ def stored_tables(spark: SparkSession, root: str) -> Callable[[str], DataFrame]:
 
     def read(name: str) -> DataFrame:
         df = spark.read.option("mergeSchema", "true").parquet(f"{root.rstrip('/')}/{name}")
-        return df.drop("_bucket")
+        return df.drop("_split", "_bucket")
 
     return read

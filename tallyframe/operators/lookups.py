@@ -24,14 +24,16 @@ def star_lookup(facts: DataFrame, dims: list[tuple[DataFrame, Column]]) -> DataF
 
 
 def validity_join(facts: DataFrame, windows: DataFrame, keys: list[str], day: str,
-                  start: str, end: str, how: str = "inner") -> DataFrame:
+                  start: str, end: str, how: str = "inner", days: DataFrame | None = None) -> DataFrame:
     """Rows of ``facts`` with every window of the same key that covers ``day``.
 
     Windows are spread over the months they cover and joined on (key, month), so a row
     only meets windows touching its month. Open ends are clamped to the last fact day,
-    which changes nothing for the facts at hand.
+    which changes nothing for the facts at hand. ``days`` may name a cheaper relation
+    whose column ``day`` spans the fact days, where the facts are costly to derive.
     """
-    ends = facts.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("b")).scalar()
+    span = facts.select(F.col(day).alias("day")) if days is None else days
+    ends = span.agg(F.struct(F.min("day").alias("lo"), F.max("day").alias("hi")).alias("b")).scalar()
     lo = F.greatest(F.col(start), F.col("_lo"))
     hi = F.least(F.coalesce(F.col(end), F.col("_hi")), F.col("_hi"))
     spread = (

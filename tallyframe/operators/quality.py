@@ -22,6 +22,17 @@ def unique_key(df: DataFrame, keys: list[str], relation: str) -> DataFrame:
         F.lit(relation).alias("relation"), F.lit("unique_key").alias("assertion"), F.lit(",".join(keys)).alias("subject"), "failures")
 
 
+def key_constraints(df: DataFrame, keys: list[str], relation: str) -> DataFrame:
+    """Non-NULL and uniqueness of a key from one grouping."""
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    nulls = [F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("n"))), F.lit(0)).alias(k) for k in keys]
+    counts = g.agg(*nulls, F.count_if(F.col("n") > 1).alias("_dup"))
+    pairs = F.array(
+        *[F.struct(F.lit("non_null").alias("assertion"), F.lit(k).alias("subject"), F.col(k).alias("failures")) for k in keys],
+        F.struct(F.lit("unique_key").alias("assertion"), F.lit(",".join(keys)).alias("subject"), F.col("_dup").alias("failures")))
+    return counts.select(F.lit(relation).alias("relation"), F.explode(pairs).alias("p")).select("relation", "p.*")
+
+
 def tie_out(lines: DataFrame, headers: DataFrame, keys: list[str], line_amount: str, header_amount: str,
             absolute: str = "0.02", relative: str = "0.001") -> DataFrame:
     """Headers whose lines do not add up to the header amount within the tolerance."""

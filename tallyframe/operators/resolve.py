@@ -11,14 +11,15 @@ from tallyframe.operators.lookups import validity_join
 
 
 def resolve_by_window(facts: DataFrame, windows: DataFrame, keys: list[str], segment: str, day: str,
-                      start: str, end: str, window_segment: str, take: list[str]) -> DataFrame:
+                      start: str, end: str, window_segment: str, take: list[str],
+                      days: DataFrame | None = None) -> DataFrame:
     """Window value per row: the segment's own window before the default, then the newest.
 
     Resolution runs on the distinct (keys, segment, day) combinations, so a key with many
     rows is resolved once per combination; the result goes back by equi-join.
     """
     need = facts.select(*keys, segment, day).distinct()
-    cand = validity_join(need, windows, keys, day, start, end)
+    cand = validity_join(need, windows, keys, day, start, end, days=days)
     cand = cand.filter(F.col(window_segment).isNull() | (F.col(window_segment) == F.col(segment)))
     best = latest_by(cand, [*keys, segment, day],
                      [F.col(window_segment).isNotNull().desc(), F.desc(start), *[F.asc(c) for c in take]])
@@ -91,14 +92,17 @@ def match_confidence(method: Column) -> Column:
 
 def group_entities(members: DataFrame, group: list[str], tenant: str, attribute: str, member: str, name: str,
                    order: list[Column], samples: int = 8) -> DataFrame:
-    """One row per entity group: metrics, the attribute if unique, representative, name samples."""
+    """One row per entity group: metrics, the attribute if unique, representative, name samples.
+
+    The representative is the member with the smallest ``order``.
+    """
     m = members.groupBy(*group).agg(
         F.count(F.lit(1)).alias("member_count"), F.count_distinct(tenant).alias("tenant_count"),
         F.count(attribute).alias("attribute_count"), F.count_distinct(attribute).alias("distinct_attributes"),
-        only_value(attribute).alias("unified_attribute"))
-    rep = latest_by(members, group, order).select(*group, F.col(member).alias("representative"))
+        only_value(attribute).alias("unified_attribute"),
+        F.min_by(member, F.struct(*order)).alias("representative"))
     few = distinct_samples(members, group, name, samples, "sample_names")
-    return m.join(rep, group, "left").join(few, group, "left").select(
+    return m.join(few, group, "left").select(
         "*", (F.col("tenant_count") > 1).alias("is_cross_tenant"),
         ((F.col("tenant_count") > 1) & (F.col("distinct_attributes") == 1)).alias("has_safe_attribute"))
 

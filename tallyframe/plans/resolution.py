@@ -133,7 +133,7 @@ def d15(t: Tables) -> DataFrame:
     lines = derived.ln(t).select("o_orderkey", F.col("line_no").cast("bigint").alias("line_no"), F.col("o_custkey").alias("custkey"),
                                  F.col("l_returnflag").alias("line_segment"), "order_date")
     return resolve.resolve_by_window(lines, unit_map(t), ["custkey"], "line_segment", "order_date", "valid_from", "valid_to",
-                                     "segment", ["unit"]).select("o_orderkey", "line_no", "line_segment", "unit")
+                                     "segment", ["unit"], derived.order_days(t)).select("o_orderkey", "line_no", "line_segment", "unit")
 
 
 # -- D16-D18 --------------------------------------------------------------------------
@@ -317,7 +317,7 @@ def parties(t: Tables) -> DataFrame:
 def party_groups(members: DataFrame) -> DataFrame:
     return resolve.group_entities(
         members, ["match_method", "match_value"], "tenant", "price_class", "member", "member",
-        [F.col("price_class").isNotNull().desc(), F.asc("tenant"), F.asc("member")])
+        [F.col("price_class").isNull(), F.col("tenant"), F.col("member")])
 
 
 @query("D21_entity_groups", """

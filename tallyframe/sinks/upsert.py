@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -92,37 +92,47 @@ def _exists(spark: SparkSession, path: str) -> bool:
 class KeyedTable:
     """Parquet table holding one current row per key, spread over key buckets.
 
-    A merge rewrites only the buckets the batch touches: those partitions are read,
-    merged with :func:`upsert` and overwritten through Spark's staged partition commit.
-    Rows with a NULL key part are not accepted here; keep them with ``collapse``.
+    A merge rewrites only what the batch touches: those folders are read, merged with
+    :func:`upsert` and overwritten through Spark's staged partition commit. Splitting by
+    ``split_by`` (part of the key, e.g. the tenant) keeps a batch of one tenant away from
+    the folders of the others; size ``buckets`` so that a folder holds about one task's
+    work. Rows with a NULL key part are not accepted here; keep them with ``collapse``.
     """
 
     path: str
     keys: list[str]
     order: list[str]
     buckets: int = 64
+    split_by: list[str] = field(default_factory=list)
 
     def exists(self, spark: SparkSession) -> bool:
         return _exists(spark, self.path)
 
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+    def _placed(self, df: DataFrame) -> DataFrame:
+        # the leading letter keeps folder names from being read back as numbers or dates
+        split = F.concat_ws("|", F.lit("k"), *[F.col(c).cast("string") for c in self.split_by])
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return df.withColumn("_split", split).withColumn("_bucket", bucket)
+
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        return spark.read.option("mergeSchema", "true").parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.option("mergeSchema", "true").parquet(self.path).drop("_bucket")
+        return self._stored(spark).drop("_split", "_bucket")
 
     def merge(self, batch: DataFrame) -> None:
         spark = batch.sparkSession
-        new = self._bucketed(batch.filter(_keyed(batch, self.keys)))
+        new = self._placed(batch.filter(_keyed(batch, self.keys)))
+        keys = [*self.keys, "_split", "_bucket"]
         if not self.exists(spark):
-            merged = collapse(new, [*self.keys, "_bucket"], self.order)
+            merged = collapse(new, keys, self.order)
         else:
-            # at most ``buckets`` numbers come back; they prune the partitions to read
-            touched = [r[0] for r in new.select("_bucket").distinct().collect()]
+            # folder names only: at most splits x buckets of them; they prune what is read
+            touched = new.select("_split", "_bucket").distinct().collect()
             if not touched:
                 return
-            old = (spark.read.option("mergeSchema", "true").parquet(self.path)
-                   .filter(F.col("_bucket").isin(touched)))
-            merged = upsert(old, new, [*self.keys, "_bucket"], self.order)
-        (merged.hint("rebalance", "_bucket").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(self.path))
+            old = self._stored(spark).filter(
+                F.col("_split").isin(sorted({r[0] for r in touched})) & F.col("_bucket").isin(sorted({r[1] for r in touched})))
+            merged = upsert(old, new, keys, self.order)
+        (merged.hint("rebalance", "_split", "_bucket").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_split", "_bucket").parquet(self.path))

@@ -68,7 +68,7 @@ def stage(envelopes: DataFrame, endpoint: str) -> dict[str, DataFrame]:
 
 
 def staging_table(root: str, name: str, keys: list[str], buckets: int = 64) -> KeyedTable:
-    return KeyedTable(f"{root.rstrip('/')}/{name}", keys, ["synced_at"], buckets)
+    return KeyedTable(f"{root.rstrip('/')}/{name}", keys, ["synced_at"], buckets, ["tenant_id"])
 
 
 def merge_endpoint(envelopes: DataFrame, endpoint: str, staging_root: str, buckets: int = 64) -> None:

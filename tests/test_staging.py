@@ -61,7 +61,7 @@ def test_all_specs_resolve(spark):
 
 
 def check(spark, root):
-    t = lambda n: spark.read.parquet(f"{root}/{n}").drop("_bucket")
+    t = lambda n: spark.read.parquet(f"{root}/{n}").drop("_split", "_bucket")
     head = t("invoices").collect()
     assert len(head) == 1 and head[0]["status"] == "VOIDED" and head[0]["contact_name"] == "Ann" and head[0]["sub_total"] == 80.0
     assert head[0]["invoice_date"] == dt.datetime(2026, 3, 13) and head[0]["invoice_date_local"] == dt.date(2026, 3, 13)
