@@ -71,9 +71,8 @@ def attach_rate(facts: DataFrame, daily: DataFrame, currency: Column, day: Colum
 def group_amount(base_currency: Column, group: str, base_amount: Column, base_rate: Column,
                  document_amount: Column, document_rate: Column) -> Column:
     """Amount in group currency: books amount as is, books amount converted, document
-    amount converted, document amount as is - the first that applies."""
-    has_books = F.coalesce(base_amount, F.lit(0)) != 0
-    own = F.coalesce(base_currency, F.lit(group))
-    books = (F.when((own == group) & has_books, base_amount.cast("decimal(20,2)"))
-             .when((own != group) & has_books, converted(base_amount, base_rate)))
+    amount converted, document amount as is - the first that applies. The books amount is
+    NULL where nothing was booked."""
+    own = F.coalesce(base_currency, F.lit(group)) == group
+    books = (F.when(own, base_amount.cast("decimal(20,2)")).otherwise(converted(base_amount, base_rate)))
     return F.coalesce(books, converted(document_amount, document_rate), document_amount.cast("decimal(20,2)"))

@@ -84,19 +84,25 @@ def wildcard_lookup(facts: DataFrame, rules: DataFrame, exact: dict[str, str], o
         *facts.columns, *[F.col(f"_best.{c}").alias(c) for c in take])
 
 
-def either_key_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_keys: list[str],
-                      take: list[str], how_column: str | None = None) -> DataFrame:
+def either_key_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_keys: list[str], take: list[str],
+                      how_column: str | None = None, same: list[str] | None = None,
+                      tie: list[Column] | None = None) -> DataFrame:
     """Attach the dimension row whose first, else second, ... key equals ``fact_key``.
 
-    One equi-join per key replaces a join on ``a = x OR a = y``; earlier keys win.
+    One equi-join per key replaces a join on ``a = x OR a = y``; earlier keys win, ``tie``
+    decides among rows sharing a key. ``same`` lists columns both sides must agree on.
     """
+    same = same or []
     out = facts
     hits = []
     for i, k in enumerate(dim_keys):
-        side = latest_by(dim.filter(F.col(k).isNotNull()).withColumn("_k", F.col(k).cast("string")), ["_k"],
-                         [F.asc(c) for c in take])
-        side = side.select(F.col("_k").alias(f"_k{i}"), F.struct(*take).alias(f"_hit{i}"))
-        out = out.join(side, F.col(fact_key).cast("string") == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+        side = latest_by(dim.filter(F.col(k).isNotNull()).withColumn("_k", F.col(k).cast("string")), [*same, "_k"],
+                         tie or [F.asc(c) for c in take])
+        side = side.select(*[F.col(c).alias(f"_s{i}_{c}") for c in same], F.col("_k").alias(f"_k{i}"), F.struct(*take).alias(f"_hit{i}"))
+        on = F.col(fact_key).cast("string") == F.col(f"_k{i}")
+        for c in same:
+            on = on & (F.col(c) == F.col(f"_s{i}_{c}"))
+        out = out.join(side, on, "left").drop(f"_k{i}", *[f"_s{i}_{c}" for c in same])
         hits.append(f"_hit{i}")
     cols = [*facts.columns, *[F.col(f"_best.{c}").alias(c) for c in take]]
     if how_column:

@@ -239,7 +239,7 @@ SELECT tenant_id, journal_id, CAST(line_no AS BIGINT) AS line_no, side, CAST(coa
        WHEN l_linestatus = 'F' THEN CAST(amount * base_rate AS DECIMAL(20,2)) END,
   CAST(amount * doc_rate AS DECIMAL(20,2)), CAST(amount AS DECIMAL(20,2))) AS DOUBLE) AS group_amount FROM gl_rated""", uses="gl_rated")
 def d10(t: Tables) -> DataFrame:
-    books = F.when(F.col("l_linestatus") == "F", F.col("amount")).otherwise(F.lit(0).cast("decimal(18,2)"))
+    books = F.when(F.col("l_linestatus") == "F", F.col("amount"))
     return gl_rated(t).select("tenant_id", "journal_id", F.col("line_no").cast("bigint").alias("line_no"), "side",
                               group_amount(books).cast("double").alias("group_amount"))
 

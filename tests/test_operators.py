@@ -109,8 +109,8 @@ def test_daily_rates(spark):
 
 
 def test_group_amount_steps(spark):
-    df = spark.createDataFrame([("NOK", "5", "9", "2", "3"), ("SEK", "5", "9", "2", "3"), ("SEK", "0", "9", "2", "3"), ("SEK", "5", None, "2", "3"),
-                                ("SEK", "0", None, "2", None), (None, "5", None, "2", None)], "b string, ba string, br string, da string, dr string")
+    df = spark.createDataFrame([("NOK", "5", "9", "2", "3"), ("SEK", "5", "9", "2", "3"), ("SEK", None, "9", "2", "3"), ("SEK", "5", None, "2", "3"),
+                                ("SEK", None, None, "2", None), (None, "5", None, "2", None)], "b string, ba string, br string, da string, dr string")
     dec = lambda c: F.col(c).cast("decimal(18,2)")
     got = [float(r[0]) for r in df.select(fx.group_amount(F.col("b"), "NOK", dec("ba"), dec("br"), dec("da"), dec("dr"))).collect()]
     assert got == [5, 45, 6, 6, 2, 5]
