@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from tallyframe.sinks.upsert import path_exists
 
 
 class Warehouse:
@@ -29,11 +32,14 @@ class Warehouse:
         self._built[name] = relation
 
 
-def stored_tables(spark: SparkSession, root: str) -> Callable[[str], DataFrame]:
-    """Staging tables as written by the keyed merges."""
+def stored_tables(spark: SparkSession, root: str, schemas: dict[str, StructType] | None = None) -> Callable[[str], DataFrame]:
+    """Staging tables as written by the keyed merges; a table without files yet is empty."""
 
     def read(name: str) -> DataFrame:
-        df = spark.read.option("mergeSchema", "true").parquet(f"{root.rstrip('/')}/{name}")
-        return df.drop("_split", "_bucket")
+        path = f"{root.rstrip('/')}/{name}"
+        known = (schemas or {}).get(name)
+        if known is None:
+            return spark.read.option("mergeSchema", "true").parquet(path).drop("_split", "_bucket")
+        return spark.read.schema(known).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], known)
 
     return read

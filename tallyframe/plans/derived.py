@@ -62,7 +62,7 @@ def with_relations(names: list[str], body: str) -> str:
 def currency_of(key):
     """Currency assigned to a numeric key by position."""
     pos = F.pmod(key, F.lit(len(CURRENCIES)))
-    return F.element_at(F.array(*[F.lit(c) for c in CURRENCIES]), (pos + 1).cast("int"))
+    return F.elt((pos + 1).cast("int"), *[F.lit(c) for c in CURRENCIES])
 
 
 SQL_CURRENCY = "list_extract(['EUR','USD','SEK','DKK'], CAST({k} % 4 + 1 AS INT))"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tallyframe.operators.latest import latest_by
 
@@ -83,7 +84,7 @@ def strict_load(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFra
     return null_safe_merge(target, batch.dropDuplicates(keys), keys)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
@@ -97,6 +98,7 @@ class KeyedTable:
     ``split_by`` (part of the key, e.g. the tenant) keeps a batch of one tenant away from
     the folders of the others; size ``buckets`` so that a folder holds about one task's
     work. Rows with a NULL key part are not accepted here; keep them with ``collapse``.
+    A declared ``schema`` saves reading the footers of all files to find the columns.
     """
 
     path: str
@@ -104,9 +106,10 @@ class KeyedTable:
     order: list[str]
     buckets: int = 64
     split_by: list[str] = field(default_factory=list)
+    schema: StructType | None = None
 
     def exists(self, spark: SparkSession) -> bool:
-        return _exists(spark, self.path)
+        return path_exists(spark, self.path)
 
     def _placed(self, df: DataFrame) -> DataFrame:
         # the leading letter keeps folder names from being read back as numbers or dates
@@ -115,7 +118,10 @@ class KeyedTable:
         return df.withColumn("_split", split).withColumn("_bucket", bucket)
 
     def _stored(self, spark: SparkSession) -> DataFrame:
-        return spark.read.option("mergeSchema", "true").parquet(self.path)
+        if self.schema is None:
+            return spark.read.option("mergeSchema", "true").parquet(self.path)
+        placed = StructType([*self.schema.fields, StructField("_split", StringType()), StructField("_bucket", IntegerType())])
+        return spark.read.schema(placed).parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self._stored(spark).drop("_split", "_bucket")

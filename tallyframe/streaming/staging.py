@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tallyframe.functions.dates import iso_date
 from tallyframe.functions.text import query_map
@@ -67,15 +68,28 @@ def stage(envelopes: DataFrame, endpoint: str) -> dict[str, DataFrame]:
     return stage_reports(envelopes) if endpoint.startswith(REPORT_ENDPOINT_PREFIX) else stage_documents(envelopes, endpoint)
 
 
-def staging_table(root: str, name: str, keys: list[str], buckets: int = 64) -> KeyedTable:
-    return KeyedTable(f"{root.rstrip('/')}/{name}", keys, ["synced_at"], buckets, ["tenant_id"])
+ENVELOPE_SCHEMA = (
+    "tenant_id string, endpoint string, record_id string, payload string, first_seen_at timestamp_ntz, "
+    "synced_at timestamp_ntz, meta map<string,string>"
+)
+
+
+def staging_schemas(spark: SparkSession) -> dict[str, StructType]:
+    """Schema of every staging table, from the document configuration alone."""
+    none = spark.createDataFrame([], ENVELOPE_SCHEMA)
+    out = {n: df.schema for e in DOCUMENTS for n, df in stage_documents(none, e).items()}
+    return out | {n: df.schema for n, df in stage_reports(none).items()}
+
+
+def staging_table(root: str, name: str, keys: list[str], buckets: int = 64, schema: StructType | None = None) -> KeyedTable:
+    return KeyedTable(f"{root.rstrip('/')}/{name}", keys, ["synced_at"], buckets, ["tenant_id"], schema)
 
 
 def merge_endpoint(envelopes: DataFrame, endpoint: str, staging_root: str, buckets: int = 64) -> None:
     """Upsert one endpoint's batch into its staging tables."""
     keys = staging_keys(endpoint)
     for name, df in stage(envelopes, endpoint).items():
-        staging_table(staging_root, name, keys[name], buckets).merge(df)
+        staging_table(staging_root, name, keys[name], buckets, df.schema).merge(df)
 
 
 def landed_envelopes(spark: SparkSession, landing: str, **where: str) -> DataFrame:

@@ -4,6 +4,8 @@ import pathlib
 
 from pyspark.sql import functions as F
 
+from tallyframe.models.base import Warehouse, stored_tables
+from tallyframe.models.ods import MODELS
 from tallyframe.sources.documents import DOCUMENTS, json_name
 from tallyframe.sources.endpoints import ENDPOINTS
 from tallyframe.streaming import ingest, staging
@@ -94,3 +96,6 @@ def test_backfill_twice_equals_stream(spark, folder):
     ingest.run_available(ingest.new_sidecars(spark, folder, files_per_batch=2), handler, f"{folder}/cp")
     check(spark, f"{folder}/s2")
     assert drift == ["novelties"]
+    w = Warehouse(stored_tables(spark, f"{folder}/s2", staging.staging_schemas(spark)), MODELS)
+    assert w.model("fact_invoice_line").count() == 2 and w.model("fact_payment").count() == 0
+    assert w.model("fact_report_row").filter("cell_value_numeric = 12").count() == 1
