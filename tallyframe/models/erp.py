@@ -597,3 +597,107 @@ def access_bridge(w: Warehouse) -> DataFrame:
     return m.join(names, ["tenant_id", "sales_person_id"], "left").join(co, "tenant_id", "left").select(
         surrogate_key(*key).alias("rls_sales_person_key"), *key, "company_key", "entity_code", "entity_name", "sales_person_name", "access_scope", "is_active",
         F.coalesce("_person_active", F.lit(False)).alias("has_active_sales_person_match"), "mapping_source")
+
+
+# ----------------------------------------------------------------------------- inventory
+# Movement type, bronze table and its line array (spelled as in the source).
+MOVEMENTS = [
+    ("ADJUSTMENT", "inventory_adjustments", "adjusmentLines"), ("ISSUE", "inventory_issues", "issueLines"),
+    ("RECEIPT", "inventory_receipts", "receiptLines"), ("TRANSFER", "inventory_transfers", "transferLines"),
+]
+LINE_NUMBER_PATHS = ["$.lineNumber", "$.lineNbr", "$.sortOrder"]
+UNIT_PATHS = ["$.uoM", "$.uom", "$.unitOfMeasure"]
+
+
+def embedded(field: str, part: str) -> Column:
+    """Part of an object on a line: nested, as a dotted key, or inside JSON text."""
+    return F.coalesce(jsonx.json_scalar("l", f"$.{field}.{part}"), jsonx.json_scalar("l", f"$['{field}.{part}']"),
+                      jsonx.json_scalar(jsonx.double_encoded("l", f"$.{field}"), f"$.{part}"))
+
+
+def movement_lines(w: Warehouse, kind: str, table: str, array: str) -> DataFrame:
+    """Lines of one kind of inventory document in the common shape."""
+    h = live(w.table(table)).withColumn("l", F.explode(jsonx.json_array(jsonx.parsed(array), "$")))
+    transfer = kind == "TRANSFER"
+    none = F.lit(None).cast("string")
+    number = lambda p: jsonx.json_number("l", p, "decimal(18,4)")
+    item = F.coalesce(embedded("inventoryItem", "number"), jsonx.json_scalar("l", "$.inventoryId")) if transfer else F.coalesce(
+        embedded("inventory", "id"), jsonx.json_scalar("l", "$.inventoryId"))
+    cost = [F.lit(None).cast("decimal(18,4)")] * 2 if transfer else [number("$.unitCost"), number("$.amount")]
+    return h.select(
+        F.col("tenantId").alias("tenant_id"), F.lit(kind).alias("movement_type"), F.col("referenceNumber").alias("reference_number"),
+        dates.any_date("date").alias("movement_date"), jsonx.first_scalar("l", *LINE_NUMBER_PATHS).alias("line_number"), item.alias("inventory_id"),
+        embedded("inventoryItem" if transfer else "inventory", "description").alias("inventory_description"),
+        (jsonx.json_scalar(jsonx.parsed("warehouse"), "$.id") if transfer else embedded("warehouse", "id")).alias("warehouse_id"),
+        (jsonx.json_scalar(jsonx.parsed("toWarehouse"), "$.id") if transfer else none).alias("destination_warehouse_id"),
+        embedded("location", "id").alias("location_id"), embedded("location", "name").alias("location_name"),
+        (embedded("toLocation", "id") if transfer else none).alias("to_location_id"), (embedded("toLocation", "name") if transfer else none).alias("to_location_name"),
+        jsonx.json_scalar("l", "$.description").alias("line_description"), jsonx.first_scalar("l", *UNIT_PATHS).alias("unit_of_measure"),
+        jsonx.json_scalar("l", "$.lotSerialNumber").alias("lot_serial_number"), number("$.quantity").alias("quantity"),
+        cost[0].alias("unit_cost"), cost[1].alias("amount"), (jsonx.json_text("l", "$.allocations") if transfer else none).alias("allocations_raw"),
+        (F.size(jsonx.json_array("l", "$.allocations")) if transfer else F.lit(None)).cast("bigint").alias("allocation_count"),
+        (embedded("reasonCode", "id") if transfer else none).alias("reason_code_id"))
+
+
+@model("fact_inventory_movement_line")
+def movements(w: Warehouse) -> DataFrame:
+    """Adjustments, issues, receipts and transfers as one fact, with the tenant's unit."""
+    rows = quality.union_all([movement_lines(w, *m) for m in MOVEMENTS])
+    key = ["tenant_id", "movement_type", "reference_number", "line_number", "inventory_id"]
+    rows = latest_by(rows, key, [F.desc_nulls_last("amount"), F.desc_nulls_last("quantity")]).withColumn("_seg", F.lit("0"))
+    out = resolve.resolve_by_window(rows, windows(w), ["tenant_id"], "_seg", "movement_date", "valid_from", "valid_to", "unit_segment",
+                                    ["business_unit_id", "business_unit_name", "unit_segment"])
+    method = F.when(F.col("business_unit_id").isNull(), "unresolved").when(F.col("unit_segment") == "0", "segment_zero_match").otherwise("tenant_default_match")
+    return out.select(*[c for c in out.columns if c not in ("_seg", "unit_segment")], method.alias("business_unit_resolution_method"))
+
+
+for _kind, _, _ in MOVEMENTS:
+    MODELS[f"fact_inventory_{_kind.lower()}_line"] = lambda w, k=_kind: w.model("fact_inventory_movement_line").filter(F.col("movement_type") == k)
+
+
+# ------------------------------------------------------------------ facts at market rates
+def at_market_rate(w: Warehouse, facts: DataFrame, currency: str, day: str, amounts: list[str]) -> DataFrame:
+    """Amounts of a document fact in group currency at the rate of its day; NULL without a rate."""
+    d = w.model("dim_currency_market_rate_daily")
+    info = d.select(F.col("currency").alias(currency), F.col("calendar_date").alias(day), F.col("exchange_rate").cast("double").alias("market_exchange_rate"),
+                    F.col("rate_date").alias("market_rate_date"), "rate_source", "has_market_rate", "is_rate_filled_forward")
+    j = facts.join(info, [currency, day], "left")
+    return j.select(
+        "*", *[F.try_multiply(F.col(a), F.col("market_exchange_rate")).alias(f"{a}_market") for a in amounts],
+        F.coalesce("has_market_rate", F.lit(False)).alias("has_market_rate_to_group"),
+        F.coalesce("is_rate_filled_forward", F.lit(False)).alias("is_market_rate_filled_forward")).drop("has_market_rate", "is_rate_filled_forward")
+
+
+# Document facts and their amounts in document currency.
+MARKET_FACTS = {
+    "fact_customer_invoice": ("document_date", ["amount_in_currency", "balance_in_currency"]),
+    "fact_customer_credit_note": ("document_date", ["amount_in_currency", "balance_in_currency"]),
+    "fact_customer_payment": ("application_date", ["amount_in_currency"]),
+    "fact_supplier_invoice": ("document_date", ["amount_in_currency", "balance_in_currency"]),
+    "fact_supplier_payment": ("application_date", ["amount_in_currency"]),
+    "fact_sales_order_line": ("order_date", ["line_amount"]),
+    "fact_purchase_order_line": ("order_date", ["ext_cost"]),
+}
+
+
+def market_fact(name: str, day: str, amounts: list[str]):
+    def build(w: Warehouse) -> DataFrame:
+        facts = w.table(f"silver.{name}")
+        return at_market_rate(w, facts, "currency_id", day, [a for a in amounts if a in facts.columns]).select(
+            surrogate_key("tenant_id").alias("company_key"), dates.date_key(day).alias("date_key"), "*")
+    return build
+
+
+for _name, (_day, _amounts) in MARKET_FACTS.items():
+    MODELS[_name] = market_fact(_name, _day, _amounts)
+
+
+@model("fact_shipment_detail_line")
+def shipment_lines(w: Warehouse) -> DataFrame:
+    """Shipment lines with the location of the unit, else of the tenant."""
+    loc = w.table("dim_location")
+    strict = loc.groupBy("tenant_id", "business_unit_id", "location_id").agg(F.min("location_key").alias("_strict"))
+    loose = loc.groupBy("tenant_id", "location_id").agg(F.min("location_tenant_key").alias("_loose"))
+    f = w.table("silver.fact_shipment_line")
+    j = f.join(strict, ["tenant_id", "business_unit_id", "location_id"], "left").join(loose, ["tenant_id", "location_id"], "left")
+    return j.withColumn("location_key", F.coalesce("_strict", "_loose")).drop("_strict", "_loose")
