@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions.dates import within
@@ -46,15 +48,16 @@ def dominant(rollup: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def header_value(lines: DataFrame, header: str, value: str, amount: str, position: str, material: Column,
-                 ancillary: Column) -> DataFrame:
+                 ancillary: Column, hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Header attribute from its lines.
 
     Ancillary lines take the dominant value of the material goods lines. The header gets
     the value when all material lines agree, else NULL plus a representative. Lines are
-    folded to (header, value, ancillary) once; everything after works on that rollup.
+    folded to (header, value, ancillary) once; everything after works on that rollup,
+    which ``hold`` may store because it is read several times.
     """
     base = lines.filter(material).withColumn("_anc", ancillary)
-    roll = rollup_lines(base, [header, value, "_anc"], amount, position)
+    roll = hold(rollup_lines(base, [header, value, "_anc"], amount, position))
     goods = dominant(roll.filter(~F.col("_anc")), [header], value).select(header, F.col(value).alias("_goods"))
     eff = roll.join(goods, header, "left").withColumn(
         "_eff", F.when(F.col("_anc"), F.coalesce("_goods", value)).otherwise(F.col(value)))

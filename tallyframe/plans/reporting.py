@@ -15,6 +15,7 @@ from tallyframe.plans import derived
 from tallyframe.plans.documents import ORDER_DOCUMENT, daily, gl_rated, group_amount, net_amount, order_records, tenants
 from tallyframe.plans.registry import query
 from tallyframe.plans.resolution import values_sql
+from tallyframe.sinks.tables import stored
 from tallyframe.sources.registry import Tables
 from tallyframe.sources.seeds import seed
 
@@ -78,7 +79,7 @@ SELECT source, count(*) AS gap_rows, count(DISTINCT doc_id) AS distinct_document
  count(*) FILTER (gap_severity = 'medium') AS medium_gaps, count(*) FILTER (gap_severity = 'low') AS low_gaps, count(*) FILTER (gap_reason = 'missing_id_unexpected') AS unexpected_gaps,
  array_to_string(list_slice(list_sort(list_distinct(list(lang || ':' || gap_reason))), 1, 8), ' | ') AS samples FROM gaps GROUP BY 1)""", uses="gaps")
 def d27(t: Tables) -> DataFrame:
-    g = gaps(t)
+    g = stored(gaps(t), "gap-rows")
     sev = F.col("gap_severity")
     a = g.groupBy("source").agg(
         F.count(F.lit(1)).alias("gap_rows"), F.count_distinct("doc_id").alias("distinct_documents"), F.sum("n_chars").alias("total_chars"),
@@ -140,7 +141,7 @@ def d28(t: Tables) -> DataFrame:
 SELECT lang, gap_reason, {ACTION_SQL} AS recommended_action, count(*) AS documents, count(*) FILTER (n_chars >= 1000) AS long_documents, CAST(sum(n_chars) AS BIGINT) AS total_chars,
  array_to_string(list_slice(list_sort(list_distinct(list(source))), 1, 8), ' | ') AS sample_sources FROM unlabelled GROUP BY 1, 2, 3""", uses="unlabelled")
 def d28_summary(t: Tables) -> DataFrame:
-    u = unlabelled(t)
+    u = stored(unlabelled(t), "unlabelled")
     s = u.groupBy("lang", "gap_reason").agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("n_chars") >= 1000).alias("long_documents"),
                                             F.sum("n_chars").alias("total_chars"))
     few = agg.distinct_samples(u, ["lang", "gap_reason"], "source", 8, "sample_sources")
@@ -342,9 +343,9 @@ SELECT coalesce(snap.tenant_id, ours.tenant_id) AS tenant_id, coalesce(snap.acco
  CAST(coalesce(reported, 0) AS DOUBLE) AS reported, CAST(coalesce(s, 0) AS DOUBLE) AS ours, CAST(coalesce(s, 0) - coalesce(reported, 0) AS DOUBLE) AS diff
 FROM snap FULL JOIN ours ON ours.tenant_id = snap.tenant_id AND ours.account_id = snap.account_id LEFT JOIN fy ON fy.tenant_id = coalesce(snap.tenant_id, ours.tenant_id)""", uses="gl snap tenants")
 def d35(t: Tables) -> DataFrame:
-    ledger = derived.gl(t)
     # postings fold to account and day once; snapshot, report date and year-to-date sums read that
-    day = ledger.groupBy("tenant_id", "account_id", "posting_date").agg(F.sum("amount").cast("decimal(20,2)").alias("amount"))
+    day = stored(derived.gl(t).groupBy("tenant_id", "account_id", "posting_date").agg(
+        F.sum("amount").cast("decimal(20,2)").alias("amount")), "ledger-days")
     fy = day.groupBy("tenant_id").agg(F.max("posting_date").alias("report_date")).join(F.broadcast(tenants(t)), "tenant_id").select(
         "tenant_id", "report_date", dates.fiscal_year_start("report_date", "fy_end_month", "fy_end_day").alias("fiscal_year_start"))
     ours = day.join(fy, "tenant_id").filter(F.col("posting_date").between(F.col("fiscal_year_start"), F.col("report_date"))).groupBy(
@@ -367,7 +368,7 @@ FROM x FULL JOIN o ON o.tenant_id = x.tenant_id AND o.account_id = x.account_id
 def d36(t: Tables) -> DataFrame:
     period = derived.gl(t).filter(F.col("posting_date").between(F.lit("2024-01-05").cast("date"), F.lit("2024-01-20").cast("date")))
     klass = F.when(F.col("side") == "C", "REVENUE").otherwise("EXPENSE")
-    sums = period.groupBy("tenant_id", "account_id", klass.alias("account_class")).agg(F.sum("amount").alias("ours"))
+    sums = stored(period.groupBy("tenant_id", "account_id", klass.alias("account_class")).agg(F.sum("amount").alias("ours")), "period-sums")
     # the external report shows revenue as positive, deviates on some accounts and lacks one; so does the ledger
     off = F.when(F.col("account_id").endswith("3"), F.lit("0.50")).otherwise(F.lit("0.00")).cast("decimal(18,2)")
     sign = F.when(F.col("account_class") == "REVENUE", F.lit(-1)).otherwise(F.lit(1))

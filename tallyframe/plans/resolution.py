@@ -13,6 +13,7 @@ from tallyframe.plans import derived
 from tallyframe.operators.documents import flatten_child
 from tallyframe.plans.documents import ORDER_DOCUMENT, order_records, tenants
 from tallyframe.plans.registry import query
+from tallyframe.sinks.tables import stored
 from tallyframe.sources.registry import Tables
 from tallyframe.sources.seeds import seed
 
@@ -160,7 +161,8 @@ SELECT o_orderkey, material_lines, unresolved_lines, value_count, e AS represent
   CASE WHEN unresolved_lines > 0 THEN 'unresolved_lines' WHEN value_count = 1 THEN 'unanimous' ELSE 'multiple_values' END AS selection_method
 FROM st LEFT JOIN top USING (o_orderkey)""", uses="bl")
 def d16(t: Tables) -> DataFrame:
-    return resolve.header_value(brand_lines(t), "o_orderkey", "unit", "amount", "line_no", F.col("material"), F.col("ancillary"))
+    return resolve.header_value(brand_lines(t), "o_orderkey", "unit", "amount", "line_no", F.col("material"), F.col("ancillary"),
+                                hold=lambda df: stored(df, "brand-rollup"))
 
 
 @query("D17_dominant_from_lines", """
@@ -189,10 +191,10 @@ SELECT o_orderkey, supp_id, count(*) AS line_count, count(*) FILTER (material) A
   CAST(sum(quantity) AS DOUBLE) AS quantity, CAST(sum(amount) AS DOUBLE) AS amount, units > 1 AS has_multiple_units
 FROM bl JOIN (SELECT o_orderkey, count(DISTINCT supp_id) AS units FROM bl GROUP BY 1) USING (o_orderkey) GROUP BY ALL""", uses="bl")
 def d18(t: Tables) -> DataFrame:
-    split = brand_lines(t).groupBy("o_orderkey", "supp_id").agg(
+    split = stored(brand_lines(t).groupBy("o_orderkey", "supp_id").agg(
         F.count(F.lit(1)).alias("line_count"), F.count_if("material").alias("material_lines"),
         F.count_if("ancillary").alias("ancillary_lines"), F.sum("quantity").cast("double").alias("quantity"),
-        F.sum("amount").cast("double").alias("amount"))
+        F.sum("amount").cast("double").alias("amount")), "order-split")
     return attach_group(split, ["o_orderkey"], (F.count(F.lit(1)) > 1).alias("has_multiple_units"))
 
 
@@ -243,7 +245,7 @@ SELECT e.customer_id, class_id, method, CAST(sum(evidence_count) AS BIGINT) AS e
   string_agg(DISTINCT location_id, ' | ' ORDER BY location_id) AS sample_locations, n.classes AS distinct_classes, n.classes > 1 AS has_conflict
 FROM evidence e JOIN (SELECT customer_id, count(DISTINCT class_id) AS classes FROM evidence GROUP BY 1) n USING (customer_id) GROUP BY ALL""", uses="evidence")
 def d19(t: Tables) -> DataFrame:
-    e = class_evidence(t)
+    e = stored(class_evidence(t), "class-evidence")
     # evidence has one row per (customer, class, location): counts of rows are distinct counts
     rows = e.groupBy("customer_id", "class_id", "method").agg(
         F.sum("evidence_count").alias("evidence_count"), F.count("location_id").alias("location_count"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyframe.session import work_path
+
 
 def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a model in full and return the stored relation."""
@@ -15,6 +17,17 @@ def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path) if not partition_by else df.sparkSession.read.parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result that several branches read to the shared folder.
+
+    Spark only shares a common subplan when every branch needs the same columns and
+    filters; a written table is computed once in any case and survives lost executors.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
