@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from tallyframe.functions.numbers import money, sum_money
 from tallyframe.operators import lookups
 from tallyframe.operators.asof import asof_join
-from tallyframe.operators.latest import latest_by
 from tallyframe.plans import derived
 from tallyframe.plans.registry import query
 from tallyframe.sources.registry import Tables

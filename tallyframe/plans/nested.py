@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.functions import jsonx, text
-from tallyframe.functions.numbers import money
 from tallyframe.plans import derived
 from tallyframe.plans.registry import query
 from tallyframe.sources.registry import Tables

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyframe.functions import dates, jsonx, keys, text
 from tallyframe.functions.numbers import converted, money
-from tallyframe.operators import aggregates as agg, fx as rates, lookups, quality, sets
-from tallyframe.operators.documents import flatten_child, flatten_header
+from tallyframe.operators import aggregates as agg, lookups, quality, sets
+from tallyframe.operators.documents import flatten_child
 from tallyframe.operators.latest import latest_by
 from tallyframe.plans import derived
-from tallyframe.plans.documents import ORDER_DOCUMENT, daily, gl_rated, group_amount, net_amount, order_records, tenants
+from tallyframe.plans.documents import ORDER_DOCUMENT, gl_rated, group_amount, net_amount, order_records, tenants
 from tallyframe.plans.registry import query
 from tallyframe.plans.resolution import values_sql
 from tallyframe.sinks.tables import stored

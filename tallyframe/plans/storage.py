@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.functions import dates
 from tallyframe.functions.numbers import money
-from tallyframe.plans import derived
 from tallyframe.plans.registry import query
 from tallyframe.session import work_path
 from tallyframe.sinks import tables as sink, upsert as up

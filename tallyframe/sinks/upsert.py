@@ -126,19 +126,25 @@ class KeyedTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return self._stored(spark).drop("_split", "_bucket")
 
+    def _write(self, df: DataFrame) -> None:
+        (df.hint("rebalance", "_split", "_bucket").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_split", "_bucket").parquet(self.path))
+
     def merge(self, batch: DataFrame) -> None:
         spark = batch.sparkSession
         new = self._placed(batch.filter(_keyed(batch, self.keys)))
         keys = [*self.keys, "_split", "_bucket"]
         if not self.exists(spark):
-            merged = collapse(new, keys, self.order)
-        else:
+            self._write(collapse(new, keys, self.order))
+            return
+        # read twice, for the folders and for the merge; lost parts are recomputed
+        held = new.persist()
+        try:
             # folder names only: at most splits x buckets of them; they prune what is read
-            touched = new.select("_split", "_bucket").distinct().collect()
-            if not touched:
-                return
-            old = self._stored(spark).filter(
-                F.col("_split").isin(sorted({r[0] for r in touched})) & F.col("_bucket").isin(sorted({r[1] for r in touched})))
-            merged = upsert(old, new, keys, self.order)
-        (merged.hint("rebalance", "_split", "_bucket").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("_split", "_bucket").parquet(self.path))
+            touched = held.select("_split", "_bucket").distinct().collect()
+            if touched:
+                old = self._stored(spark).filter(F.col("_split").isin(sorted({r[0] for r in touched}))
+                                                 & F.col("_bucket").isin(sorted({r[1] for r in touched})))
+                self._write(upsert(old, held, keys, self.order))
+        finally:
+            held.unpersist()

@@ -49,11 +49,7 @@ def keep_latest(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     """Batch handler that merges into a keyed table; an older row never replaces a newer one."""
 
     def handle(batch: DataFrame, _batch_id: int) -> None:
-        held = batch.persist()
-        try:
-            table.merge(held)
-        finally:
-            held.unpersist()
+        table.merge(batch)
 
     return handle
 

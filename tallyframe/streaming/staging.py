@@ -86,10 +86,14 @@ def staging_table(root: str, name: str, keys: list[str], buckets: int = 64, sche
 
 
 def merge_endpoint(envelopes: DataFrame, endpoint: str, staging_root: str, buckets: int = 64) -> None:
-    """Upsert one endpoint's batch into its staging tables."""
+    """Upsert one endpoint's batch into its staging tables; pages are read and unwrapped once."""
     keys = staging_keys(endpoint)
-    for name, df in stage(envelopes, endpoint).items():
-        staging_table(staging_root, name, keys[name], buckets, df.schema).merge(df)
+    held = envelopes.filter(F.col("endpoint") == endpoint).persist()
+    try:
+        for name, df in stage(held, endpoint).items():
+            staging_table(staging_root, name, keys[name], buckets, df.schema).merge(df)
+    finally:
+        held.unpersist()
 
 
 def landed_envelopes(spark: SparkSession, landing: str, **where: str) -> DataFrame:
