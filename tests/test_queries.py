@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from tallyframe import plans
 from tallyframe.sources.registry import SCHEMAS
 
 ROOT = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = plans.QUERIES, plans.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -36,5 +37,10 @@ def test_query_matches_oracle(spark, duck, name):
     assert canon(got, df.columns) == canon(cur.fetchall(), columns)
 
 
+def test_entry_registers_every_plan():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert entry_module.entry(spark).limit(1).count() == 1
