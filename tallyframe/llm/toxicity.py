@@ -7,7 +7,7 @@ is ``K(word, l) / K(l, l)``, at most 1; it is 0 by definition if the word lacks
 quarter of the landmark's distinct bytes, which also saves nearly all of the work.
 
 *Landmarks* are beginnings of words and whole words that labelled toxic documents hold and
-clean ones hardly do, picked greedily until every toxic document that can be covered is.
+clean ones hardly do, picked greedily until toxic documents hold several each where they can.
 ``K_LL ** -1/2`` maps kernel values to Nystroem features.
 
 *Training.* A sentence is as toxic as its strongest word, a document as its strongest sentence,
@@ -33,10 +33,11 @@ from tallyframe.llm.features import list_column, map_texts, sigmoid
 from tallyframe.llm.rows import WORD_BREAK, stored, texts, training_rows
 from tallyframe.llm.textvec import Words, mix
 
-TRAIN_ROWS = 8_000
-ORDER, DECAY = 3, 0.6
+TRAIN_ROWS = 10_000
+ORDER, DECAY = 4, 0.6
 LANDMARKS = 64
 CANDIDATES = 4_000
+COVER = 3  # landmarks wanted for each toxic document
 MIN_SUPPORT, MAX_CLEAN = 3, 0.15
 STRONGEST = 8  # words of each labelled document that may stand for it
 ROUNDS = 4
@@ -180,7 +181,7 @@ def patterns(text: Column) -> Column:
 
 
 def choose_landmarks(sample: DataFrame, limit: int = LANDMARKS) -> list[str]:
-    """Greedy cover of the toxic documents by telling patterns, the longest of equals."""
+    """Greedy cover of the toxic documents, ``COVER`` times, by telling patterns, the longest of equals."""
     held = stored(sample.select("doc_id", "toxic", F.explode(patterns(F.col("text"))).alias("pattern")), "patterns")
     telling = stored(
         held.groupBy("pattern").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
@@ -189,14 +190,18 @@ def choose_landmarks(sample: DataFrame, limit: int = LANDMARKS) -> list[str]:
     docs: dict[str, set] = {}
     for r in held.where("toxic = 1").join(F.broadcast(telling), "pattern").groupBy("pattern", "c").agg(F.collect_set("doc_id").alias("docs")).collect():
         docs[r["pattern"]] = (set(r["docs"]), r["c"])
-    left = set().union(*[d for d, _ in docs.values()]) if docs else set()
+    wanted = {d: COVER for held_by, _ in docs.values() for d in held_by}
     chosen: list[str] = []
-    while left and len(chosen) < limit:
-        best = max(docs, key=lambda p: (len(docs[p][0] & left) - docs[p][1], len(p), p))
-        if len(docs[best][0] & left) < 2:
+    while docs and len(chosen) < limit:
+        gain = {p: sum(wanted[d] > 0 for d in held_by) - COVER * clean for p, (held_by, clean) in docs.items()}
+        best = max(docs, key=lambda p: (gain[p], len(p), p))
+        if gain[best] < 2:
             break
         chosen.append(best)
-        left -= docs[best][0]
+        for d in docs[best][0]:
+            wanted[d] -= 1
+        stem = best.strip("^$")  # beginnings and continuations of a landmark say the same
+        docs = {p: v for p, v in docs.items() if not (p.strip("^$").startswith(stem) or stem.startswith(p.strip("^$")))}
     return chosen
 
 
