@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import bagminhash, chat, decontaminate, line_dedup, mixing, pairwise_rank, quality_rules, suffix, toxicity
+from tallyframe.llm import bagminhash, chat, compact_windows, decontaminate, line_dedup, mixing, pairwise_rank, quality_rules, suffix, toxicity
 from tallyframe.llm.rows import held_out, sha256_hex, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.without_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", F.expr("aggregate(spans, 0L, (a, s) -> a + s.end - s.start)").alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.passages(table(spark, sf_dir, "documents"))
