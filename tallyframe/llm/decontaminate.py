@@ -32,6 +32,7 @@ MIN_LITERAL = 5
 MIN_WINDOWS = 3
 MIN_CONSISTENT = 0.8
 BROADCAST_ROWS = 250_000
+BROADCAST_SLOTS = 50_000  # matched windows with slots, some 200 bytes each
 SALTS = 16
 
 #: Unit words taken as slots behind a number.
@@ -115,7 +116,10 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDO
     hits = matches(docs, benchmark, broadcast_rows)
     same_pair = ["did", "thash", "item_id"]
     met = hits.groupBy(*same_pair).agg(F.count_distinct("at").alias("n_matched"), F.max("n_windows").alias("n_windows"))
-    slotted = hits.where(F.size("slots") > 0).groupBy("did", "thash").agg(F.collect_list(F.struct("pos", "item_id", "slots")).alias("hits"))
+    with_slots = hits.where(F.size("slots") > 0)
+    slotted = with_slots.groupBy("did", "thash").agg(F.collect_list(F.struct("pos", "item_id", "slots")).alias("hits"))
+    if with_slots.count() <= min(broadcast_rows, BROADCAST_SLOTS):
+        slotted = F.broadcast(slotted)  # else the texts are shuffled to meet their matches
     raw = docs.select(F.col("doc_id").cast("bigint").alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), cleaned(F.col("text")).alias("clean"))
     # one row per slot of a matched window; a document's own windows bound what meets here
     pairs = (
