@@ -32,7 +32,6 @@ of memory per byte for a text longer than a chunk.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,11 +53,16 @@ BASES = (0xD6E8FEB86659FD93, 0xA24BAED4963EE407)
 _TABLES = [mix((np.arange(1, 257, dtype=np.uint64) + np.uint64(1000 * k)) * GOLDEN) for k in (1, 2)]
 
 
-@functools.lru_cache(maxsize=4)
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, bits: int) -> np.ndarray:
-    out = np.full(1 << bits, np.uint64(base))
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """At least 2^bits powers of ``base``, kept for the next chunk."""
+    if len(_POWERS.get(base, ())) < 1 << bits:
+        out = np.full(1 << bits, np.uint64(base))
+        out[0] = 1
+        _POWERS[base] = np.multiply.accumulate(out)
+    return _POWERS[base]
 
 
 class Names:
