@@ -1,0 +1,152 @@
+"""Signatures, windows, kernels and fits against brute force, without Spark."""
+
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tallyframe.llm import bagminhash, compact_windows, pairwise_rank, quality_rules, suffix, toxicity
+from tallyframe.llm.textvec import Words, chunks, multiset
+
+TEXTS = ["the cat sat on the mat and the cat sat on it", "", None, "one", "  \n\t ", "é à ü ß  Wörter\x0bhier", "a b c d e f", "A B C D E F"]
+
+
+def test_words_split_like_the_contract():
+    words = Words(pa.array(TEXTS), lower=False)
+    assert words.count.tolist() == [12, 0, 0, 1, 0, 6, 6, 6]
+    raw = words.data.tobytes()
+    assert [raw[a:b].decode() for a, b, r in zip(words.begin, words.end, words.row) if r == 5] == ["é", "à", "ü", "ß", "Wörter", "hier"]
+    low = Words(pa.array(TEXTS))
+    assert low.hash[low.row == 6].tolist() == low.hash[low.row == 7].tolist()
+
+
+def test_shingles_and_chunks():
+    h, row, _ = Words(pa.array(TEXTS)).shingles(5)
+    assert np.bincount(row, minlength=8).tolist() == [8, 0, 0, 1, 0, 2, 2, 2]
+    _, _, n = multiset(*Words(pa.array(["a b c d e f a b c d e f a b c d e"])).shingles(5)[:2])
+    assert sorted(n.tolist()) == [2, 2, 2, 2, 2, 3]
+    batch = pa.RecordBatch.from_arrays([pa.array(TEXTS)], names=["text"])
+    assert sum(len(c) for c in chunks(batch, 10)) == len(TEXTS)
+    assert list(chunks(batch.slice(0, 0))) == []
+
+
+@pytest.mark.parametrize("a, b", [({1: 1, 2: 1, 3: 1}, {2: 1, 3: 1, 4: 1}), ({1: 5, 2: 1}, {1: 3, 3: 2}), ({7: 40, 8: 2}, {7: 33, 9: 5}), ({5: 1}, {5: 9})])
+def test_signature_agreement_is_the_weighted_jaccard(a, b):
+    keys = lambda d: np.array(list(d), np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    size = 6000
+    sig = bagminhash.signatures(np.concatenate([keys(a), keys(b)]), np.array([0] * len(a) + [1] * len(b)), np.array([*a.values(), *b.values()]), 3, size)
+    true = sum(min(a.get(k, 0), b.get(k, 0)) for k in {*a, *b}) / sum(max(a.get(k, 0), b.get(k, 0)) for k in {*a, *b})
+    assert abs((sig[0] == sig[1]).mean() - true) < 4 * (true * (1 - true) / size) ** 0.5 + 1e-9
+    assert (sig[2] == 0).all()
+
+
+def test_weighted_jaccard():
+    assert bagminhash.weighted_jaccard(np.array([1, 1, 2]), np.array([1, 2, 2])) == pytest.approx(0.5)
+    assert bagminhash.weighted_jaccard(np.array([], int), np.array([], int)) == 0
+
+
+def windows_by_definition(value, least):
+    out = set()
+    n = len(value)
+    for i in range(n):
+        for j in range(i + least - 1, n):
+            c = min(range(i, j + 1), key=lambda k: (value[k], k))
+            l, r = c, c
+            while l > 0 and (value[l - 1], l - 1) > (value[c], c):
+                l -= 1
+            while r + 1 < n and (value[r + 1], r + 1) > (value[c], c):
+                r += 1
+            out.add((l, c, r))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_compact_windows_by_definition(seed):
+    rng = np.random.default_rng(seed)
+    counts = np.array([23, 0, 3, 17, 8])
+    value = rng.integers(0, 6 if seed % 2 else 1 << 40, counts.sum()).astype(np.uint64) << np.uint64(20)
+    row, l, c, r = compact_windows.compact_windows(value, counts, 5)
+    at = 0
+    for k, n in enumerate(counts):
+        got = {(int(x), int(y), int(z)) for q, x, y, z in zip(row, l, c, r) if q == k}
+        assert got == windows_by_definition(value[at:at + n].tolist(), 5)
+        at += n
+
+
+def test_similar_segments():
+    a, b = np.arange(100, 200), np.concatenate([np.arange(5), np.arange(120, 190), np.arange(7)])
+    assert compact_windows.segments(a, b) == [(20, 89, 5, 74)]
+    assert compact_windows.segments(a, np.arange(100, 140)) == []
+    edited = a.copy()
+    edited[50:55] = [1, 2, 3, 4, 5]
+    assert compact_windows.segments(a, edited) == [(0, 99, 0, 99)] or len(compact_windows.segments(a, edited)) <= 2
+    assert compact_windows.segments(a, np.zeros(0, int)) == []
+
+
+def kernel_by_definition(s, t, order, decay):
+    from itertools import combinations
+    total = 0.0
+    for i in combinations(range(len(s)), order):
+        for j in combinations(range(len(t)), order):
+            if all(s[x] == t[y] for x, y in zip(i, j)):
+                total += decay ** (i[-1] - i[0] + 1 + j[-1] - j[0] + 1)
+    return total
+
+
+def test_subsequence_kernel():
+    words = [b"^idiot$", b"^i-d-i-ot$", b"^trash$", b"^a$"]
+    w, n = toxicity.padded(words)
+    for mark in (b"^idiot$", b"^tras"):
+        m, k = toxicity.padded([mark] * len(words))
+        got = toxicity.kernel(w, n, m, k, 3, 0.6)
+        assert got == pytest.approx([kernel_by_definition(x, mark, 3, 0.6) for x in words], rel=1e-4)
+
+
+def test_gapped_insult_is_near_its_landmark():
+    marks = toxicity.Landmarks(["^idiot$", "^réeux"])
+    data = np.frombuffer("idiotidi-otidxiotflowerréeuxment".encode(), np.uint8)
+    ends = np.cumsum([5, 6, 6, 6, len("réeuxment".encode())])
+    z = marks.against(data, np.append(0, ends[:-1]), ends)
+    assert z[0, 0] == pytest.approx(1) and z[1, 0] > 0.4 and z[2, 0] > 0.4 and z[3].max() < 0.05 and z[4, 1] > 0.9
+
+
+def test_bradley_terry_ranks_and_cuts():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, 3))
+    y = (x[:, 0] + 0.1 * rng.normal(size=400) > -0.8).astype(int)
+    model = pairwise_rank.fit(x, y)
+    s = pairwise_rank.score(model, x)
+    assert ((s >= 0.3) == (y == 1)).mean() > 0.93 and model["w"][0] > 5 * abs(model["w"][1])
+    assert pairwise_rank.score(pairwise_rank.fit(x, np.ones(400, int)), x) == pytest.approx(np.full(400, 0.3))
+
+
+def test_em_trusts_agreeing_rules():
+    n = len(quality_rules.RULES)
+    fine, poor = (None, None, 1) + (None,) * (n - 4) + (1,), (None, 0, 0) + (None,) * (n - 3)
+    model = quality_rules.fit([(fine, 900), (poor, 100)])
+    assert model["share"] == pytest.approx(0.9, abs=0.02)
+    w = quality_rules.weights(model)
+    assert w[1][0] < -1 and w[2][1] > 1
+    assert quality_rules.fit([])["share"] == quality_rules.PRIOR
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equal_strings_have_equal_anchors(seed):
+    rng = np.random.default_rng(seed)
+    shared = bytes(rng.integers(97, 100, 300, dtype=np.uint8))
+    rows = [bytes(rng.integers(97, 123, 150, dtype=np.uint8)) + shared + b"x", shared[40:] + bytes(rng.integers(97, 123, 90, dtype=np.uint8)), b"short"]
+    data = np.frombuffer(b"".join(rows), np.uint8)
+    offsets = np.append(0, np.cumsum([len(r) for r in rows]))
+    row, first, last, name = suffix.anchors(data, offsets)
+    anchor = {(r, p - offsets[r]): nm for r, a, b, nm in zip(row, first, last, name) for p in range(a, b + 1)}
+    assert len(anchor) == sum(max(0, len(r) - 99) for r in rows)
+    for p in range(40, 201):
+        assert anchor[0, 150 + p] == anchor[1, p - 40]
+    x, y = suffix.Names(data).of(np.array([150 + 40, offsets[1]]), np.array([150 + 140, offsets[1] + 100]))
+    assert x[0] == x[1] and y[0] == y[1]
+
+
+def test_covered_joins_touching_runs():
+    assert suffix.covered([{"first": 5, "last": 5}, {"first": 105, "last": 110}, {"first": 300, "last": 301}]) == [(5, 210), (300, 401)]
+    assert Counter(suffix.covered([])) == Counter()
