@@ -275,7 +275,7 @@ def repeated_starts(rows: DataFrame) -> DataFrame:
     runs = _runs(rows, bitmap_of(twice))
     named = stored(runs.groupBy("k1", "k2").agg(F.min(F.struct("n", "at")).alias("head"), F.count("*").alias("c"))
                    .select("k1", "k2", "head", "c"), "contexts")
-    copies = runs.join(named.where("c > 1").select("k1", "k2", "head"), ["k1", "k2"]).where(F.struct("n", "at") != F.col("head")).select(
+    copies = runs.join(named.where("c > 1").select("k1", "k2", "head").hint("merge"), ["k1", "k2"]).where(F.struct("n", "at") != F.col("head")).select(
         "n", F.shiftright("at", 8).alias("first"), (F.shiftright("at", 8) + F.col("at").bitwiseAND(255)).alias("last"))
     named = named.withColumn("name", F.shiftrightunsigned("k1", 64 - NAME_BITS))
     several = stored(named.groupBy("name").agg(F.count("*").alias("c")).where("c > 1"), "anchors")
@@ -325,7 +325,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             names=["doc_id", "n_bytes", "spans", "kept"])
 
     packed = map_texts(rows, pack, "doc_id bigint, n bigint, packed binary")
-    return packed.join(starts, "n", "left").select("doc_id", "packed", "starts").mapInArrow(
+    return packed.join(starts.hint("merge"), "n", "left").select("doc_id", "packed", "starts").mapInArrow(
         cut, "doc_id bigint, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary")
 
 
