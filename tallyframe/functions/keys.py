@@ -18,5 +18,10 @@ def readable_key(*parts) -> Column:
 
 
 def surrogate_key(*parts) -> Column:
-    """60-bit integer key from the md5 of the readable key; NULL if any part is NULL."""
-    return F.conv(F.substring(F.md5(readable_key(*parts)), 1, 15), 16, 10).cast("bigint")
+    """64-bit integer key from the md5 of the readable key; NULL if any part is NULL.
+
+    Equal keys are rare but possible among billions of rows: join facts on the natural key.
+    """
+    digest = F.md5(readable_key(*parts))
+    high, low = (F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint") for at in (1, 9))
+    return F.shiftleft(high, 32).bitwiseOR(low)

@@ -270,8 +270,9 @@ def f8(t: Tables) -> DataFrame:
 
 
 @query("F9_surrogate_key", """
-SELECT o_orderkey, CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|' || nullif(o_orderpriority, '4-NOT SPECIFIED')), 1, 15)) AS BIGINT) AS order_hash
-FROM orders""")
+SELECT o_orderkey, CAST(CAST(u AS HUGEINT) - CASE WHEN u >= 9223372036854775808 THEN 18446744073709551616 ELSE 0 END AS BIGINT) AS order_hash
+FROM (SELECT o_orderkey, CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|' || nullif(o_orderpriority, '4-NOT SPECIFIED')), 1, 16)) AS UBIGINT) AS u
+      FROM orders) k""")
 def f9(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", keys.surrogate_key(
         "o_orderkey", text.placeholder_to_null("o_orderpriority", ["4-NOT SPECIFIED"])).alias("order_hash"))

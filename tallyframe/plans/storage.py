@@ -78,7 +78,7 @@ def s4(t: Tables) -> DataFrame:
 SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_name = (SELECT max(c_name) FROM customer) ORDER BY c_custkey LIMIT 1""")
 def s5(t: Tables) -> DataFrame:
     key = t.customer.agg(F.max("c_name").alias("k")).scalar()
-    return pg.point_lookup(t.customer, c_name=key).select("c_custkey", "c_name", "c_acctbal")
+    return pg.point_lookup(t.customer, [F.asc("c_custkey")], c_name=key).select("c_custkey", "c_name", "c_acctbal")
 
 
 @query("S6_catalog_counts", "\nUNION ALL ".join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,10 +18,17 @@ def _keyed(df: DataFrame, keys: list[str]) -> Column:
     return cond
 
 
+def _content(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """Hash of a row's columns that can be hashed; settles ties alike in every run."""
+    plain = [c for c, kind in df.dtypes if c not in without and not kind.startswith(("map", "variant")) and "variant" not in kind and "map<" not in kind]
+    return F.xxhash64(*plain)
+
+
 def collapse(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key, the latest by ``order``; rows lacking a key column stay as they are."""
+    """One row per key, the latest by ``order``, ties by content; rows lacking a key column stay as they are."""
     full = _keyed(batch, keys)
-    one = latest_by(batch.filter(full), keys, [F.desc_nulls_last(c) for c in order])
+    tie = [F.desc(_content(batch, tuple(order)))]
+    one = latest_by(batch.filter(full), keys, [*[F.desc_nulls_last(c) for c in order], *tie])
     return one.unionByName(batch.filter(~full))
 
 
@@ -89,6 +97,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+@contextmanager
+def single_writer(spark: SparkSession, lock: str):
+    """Hold a lock file, whose creation is atomic; raise if another writer has it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(lock)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p) or not fs.createNewFile(p):
+        raise RuntimeError(f"another merge holds {lock}; remove it if that writer is gone")
+    try:
+        yield
+    finally:
+        fs.delete(p, False)
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """Parquet table holding one current row per key, spread over key buckets.
@@ -97,7 +118,10 @@ class KeyedTable:
     :func:`upsert` and overwritten through Spark's staged partition commit. Splitting by
     ``split_by`` (part of the key, e.g. the tenant) keeps a batch of one tenant away from
     the folders of the others; size ``buckets`` so that a folder holds about one task's
-    work. Rows with a NULL key part are not accepted here; keep them with ``collapse``.
+    work. The first merge stores keys and bucket count with the table, and a later merge
+    with others is refused. Rows with a NULL key part are kept as they come, but not
+    once more when a batch is replayed; ``loose`` counts them. One writer at a time: a merge holds a lock folder and refuses
+    to start while another one does.
     A declared ``schema`` saves reading the footers of all files to find the columns.
     """
 
@@ -130,21 +154,55 @@ class KeyedTable:
         (df.hint("rebalance", "_split", "_bucket").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("_split", "_bucket").parquet(self.path))
 
+    def loose(self, spark: SparkSession) -> int:
+        """Stored rows without a full key."""
+        t = self.read(spark)
+        return t.filter(~_keyed(t, self.keys)).count()
+
+    def _check_layout(self, spark: SparkSession) -> None:
+        """Store keys and bucket count, or compare them with the stored ones."""
+        path, own = f"{self.path}/_layout", f"{','.join(self.keys)}|{','.join(self.split_by)}|{self.buckets}"
+        if path_exists(spark, path):
+            held = spark.read.schema("layout string").json(path).first()[0]
+            if held != own:
+                raise ValueError(f"{self.path} is laid out as {held}, not as {own}")
+        else:
+            spark.range(1).select(F.lit(own).alias("layout")).coalesce(1).write.json(path)
+
+    def _without_replays(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        """New rows, but of those without a full key only the ones not stored yet."""
+        full = _keyed(new, self.keys)
+        plain = [c for c in new.columns if c in old.columns]
+        stored = old.filter(~_keyed(old, self.keys)).select(_content(old.select(*plain)).alias("_content"))
+        loose = new.filter(~full).withColumn("_content", _content(new.select(*plain)))
+        return new.filter(full).unionByName(loose.join(stored, "_content", "left_anti").drop("_content"))
+
     def merge(self, batch: DataFrame) -> None:
         spark = batch.sparkSession
-        new = self._placed(batch.filter(_keyed(batch, self.keys)))
+        with single_writer(spark, f"{self.path}.lock"):
+            self._merge(spark, batch)
+
+    def _merge(self, spark: SparkSession, batch: DataFrame) -> None:
+        new = self._placed(batch)
         keys = [*self.keys, "_split", "_bucket"]
         if not self.exists(spark):
             self._write(collapse(new, keys, self.order))
+            if self.exists(spark):
+                self._check_layout(spark)
             return
+        self._check_layout(spark)
         # read twice, for the folders and for the merge; lost parts are recomputed
         held = new.persist()
         try:
             # folder names only: at most splits x buckets of them; they prune what is read
-            touched = held.select("_split", "_bucket").distinct().collect()
+            touched: dict[str, set[int]] = {}
+            for split, bucket in held.select("_split", "_bucket").distinct().collect():
+                touched.setdefault(split, set()).add(bucket)
             if touched:
-                old = self._stored(spark).filter(F.col("_split").isin(sorted({r[0] for r in touched}))
-                                                 & F.col("_bucket").isin(sorted({r[1] for r in touched})))
-                self._write(upsert(old, held, keys, self.order))
+                inside = F.lit(False)
+                for split, buckets in sorted(touched.items()):
+                    inside = inside | ((F.col("_split") == split) & F.col("_bucket").isin(sorted(buckets)))
+                old = self._stored(spark).filter(inside)
+                self._write(upsert(old, self._without_replays(old, held), keys, self.order))
         finally:
             held.unpersist()

@@ -1,7 +1,8 @@
 """Raw landing zone: JSON pages, their sidecars and the records inside.
 
-Layout: ``raw/{vendor}/{tenant}/{api}/{endpoint}/{yyyy-mm-dd}/{ts}_{run}_p{NNN}.json``
-with a flat ``.meta.json`` map next to each page.
+Layout: ``raw/{vendor}/{tenant}/{api}/{endpoint}/{yyyy-mm-dd}/{ts}_{run}_p{NNN}.json`` for pages
+of records and ``…/{ts}_{run}__{period}.json`` for report snapshots, each with a flat
+``.meta.json`` map next to it.
 """
 
 from __future__ import annotations
@@ -11,19 +12,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyframe.functions import dates, jsonx
 from tallyframe.operators.latest import latest_by
 
-# Object key pattern and sidecar suffix.
-PAGE_KEY_PATTERN = (
-    r"raw/([^/]+)/([^/]+)/([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})/([^/_]+)_(.+)_p(\d+)\.json$"
-)
-PAGE_KEY_PARTS = ["vendor", "tenant", "api", "endpoint", "run_date", "ts", "run_id", "page"]
+# Object key patterns (folders, file name) and sidecar suffix.
+FOLDER_PATTERN = r"raw/([^/]+)/([^/]+)/([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})/[^/]+$"
+FOLDER_PARTS = ["vendor", "tenant", "api", "endpoint", "run_date"]
+FILE_PATTERN = r"/([^/_]+)_([^/]+?)(?:_p(\d+)|__([^/]+))\.json$"
+FILE_PARTS = ["ts", "run_id", "page", "period"]
 META_SUFFIX = ".meta.json"
 
 
 def page_key_columns(path: Column) -> list[Column]:
-    """Columns encoded in an object key; NULL when the key has another shape."""
+    """Columns encoded in an object key, folders and file name apart; NULL where one has another shape.
+
+    A record page has a ``page`` number, a report snapshot a ``period``.
+    """
     out = []
-    for i, name in enumerate(PAGE_KEY_PARTS, start=1):
-        part = F.nullif(F.regexp_extract(path, PAGE_KEY_PATTERN, i), F.lit(""))
+    parts = [(FOLDER_PATTERN, i, n) for i, n in enumerate(FOLDER_PARTS, 1)] + [(FILE_PATTERN, i, n) for i, n in enumerate(FILE_PARTS, 1)]
+    for pattern, i, name in parts:
+        part = F.nullif(F.regexp_extract(path, pattern, i), F.lit(""))
         if name == "run_date":
             part = part.try_cast("date")
         if name == "page":
@@ -83,8 +88,12 @@ def unwrap(pages: DataFrame, config: DataFrame, body: str, endpoint: str, keep:
 
 
 def record_envelopes(pages_with_meta: DataFrame, config: DataFrame) -> DataFrame:
-    """Envelope rows (tenant, record, payload, timestamps, meta) from pages joined to sidecars."""
-    rec = unwrap(pages_with_meta, config, "body", "endpoint", ["endpoint", "meta"])
+    """Envelope rows (tenant, record, payload, timestamps, meta) from pages joined to sidecars.
+
+    The sidecar names the endpoint where the object key does not.
+    """
+    named = pages_with_meta.withColumn("endpoint", F.coalesce("endpoint", F.col("meta")["x-endpoint"]))
+    rec = unwrap(named, config, "body", "endpoint", ["endpoint", "meta"])
     seen = dates.iso_datetime(F.col("meta")["x-synced-at"])
     return rec.select(
         F.col("meta")["x-tenant-id"].alias("tenant_id"), "endpoint", "record_id", "payload",
@@ -92,18 +101,17 @@ def record_envelopes(pages_with_meta: DataFrame, config: DataFrame) -> DataFrame
 
 
 def latest_records(bronze: DataFrame, tenant: str, record: list[str], order: list[Column],
-                   tenant_id=None, limit: int | None = None) -> DataFrame:
-    """Latest row per (tenant, record), optionally for one tenant and with a row cap."""
+                   tenant_id=None) -> DataFrame:
+    """Latest row per (tenant, record), optionally for one tenant."""
     src = bronze.filter(F.col(tenant) == tenant_id) if tenant_id is not None else bronze
-    out = latest_by(src, [tenant, *record], order)
-    return out.limit(limit) if limit is not None else out
+    return latest_by(src, [tenant, *record], order)
 
 
-def point_lookup(df: DataFrame, **key) -> DataFrame:
-    """At most one row by natural key; the predicate reaches the scan."""
+def point_lookup(df: DataFrame, order: list[Column], **key) -> DataFrame:
+    """At most one row by natural key, the first by ``order``; the predicate reaches the scan."""
     for c, v in key.items():
         df = df.filter(F.col(c) == v)
-    return df.limit(1)
+    return df.orderBy(*order).limit(1)
 
 
 def drift(seen: DataFrame, endpoint: str, registered: DataFrame) -> DataFrame:

@@ -14,12 +14,14 @@ from tallyframe.streaming import ingest, staging
 def put(root, tenant, endpoint, run, key, records, synced, **meta):
     d = pathlib.Path(root) / "raw" / "erp" / tenant / "2.0" / endpoint / "2026-03-13"
     d.mkdir(parents=True, exist_ok=True)
-    stem = str(d / f"20260313T000000_{run}_p001")
+    # report snapshots end with their period, pages of records with a number
+    stem = str(d / f"20260313T000000_{run}_{'_2026_03_13' if endpoint.startswith('report_') else 'p001'}")
     pathlib.Path(stem + ".json").write_text(json.dumps({key: records}))
     side = {"x-tenant-id": tenant, "x-endpoint": endpoint, "x-run-id": run, "x-synced-at": synced, **meta}
     pathlib.Path(stem + ".meta.json").write_text(json.dumps(side))
 
 
+ACCOUNT = "0a1b2c3d-0001-4000-8000-000000000000"
 INVOICE = {
     "InvoiceID": "i1", "InvoiceNumber": "N1", "Type": "ACCREC", "Status": "PAID", "LineAmountTypes": "Inclusive", "Contact": {"ContactID": "c1", "Name": "Ann"},
     "Date": "/Date(1773360000000+0000)/", "DateString": "2026-03-13T00:00:00", "CurrencyCode": "SEK", "CurrencyRate": 1.5, "SubTotal": 80.0, "TotalTax": 20, "Total": 100,
@@ -44,7 +46,7 @@ def fill(root):
         "ReportID": "TrialBalance", "ReportTitles": ["Trial Balance", "Org"], "Rows": [
             {"RowType": "Header", "Cells": [{"Value": "Account"}, {"Value": "YTD Debit"}]},
             {"RowType": "Section", "Title": "Assets", "Rows": [{"RowType": "Row", "Cells": [
-                {"Value": "Bank", "Attributes": [{"Id": "account", "Value": "a1"}]}, {"Value": "12.00", "Attributes": [{"Id": "account", "Value": "a1"}]}]}]}]}],
+                {"Value": "Bank", "Attributes": [{"Id": "account", "Value": ACCOUNT}]}, {"Value": "12.00", "Attributes": [{"Id": "account", "Value": ACCOUNT}]}]}]}]}],
         "2026-03-13T01:00:00Z", **{"x-report": "report_trial_balance", "x-report-params": "date=2026-03-13"})
 
 
@@ -78,7 +80,7 @@ def check(spark, root):
     snap = t("report_snapshots").first()
     assert snap["record_id"] == "report_trial_balance|r1" and snap["report_date"] == dt.date(2026, 3, 13) and snap["report_titles"] == "Trial Balance | Org"
     cell = t("report_rows").filter("cell_index = 1").first()
-    assert cell["column_header"] == "YTD Debit" and cell["attribute_value"] == "a1" and cell["section_title"] == "Assets"
+    assert cell["column_header"] == "YTD Debit" and cell["attribute_value"] == ACCOUNT and cell["section_title"] == "Assets"
 
 
 KINDS = ["invoices", "contacts", "report_trial_balance"]
@@ -99,3 +101,4 @@ def test_backfill_twice_equals_stream(spark, folder):
     w = Warehouse(stored_tables(spark, f"{folder}/s2", staging.staging_schemas(spark)), MODELS)
     assert w.model("fact_invoice_line").count() == 2 and w.model("fact_payment").count() == 0
     assert w.model("fact_report_row").filter("cell_value_numeric = 12").count() == 1
+    assert [(r["account_id"], r["reported_net"], r["our_net"]) for r in w.model("recon_trial_balance").collect()] == [(ACCOUNT, 12.0, 0.0)]

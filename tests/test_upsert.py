@@ -1,7 +1,10 @@
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.sinks import tables, upsert as up
+from tallyframe.sinks.upsert import KeyedTable, single_writer
 
 SCHEMA = "tenant string, id string, v int, synced int"
 
@@ -82,3 +85,57 @@ def test_landing_keeps_all_rows(spark, folder):
     tables.land(df, f"{folder}/landing", ["part"])
     assert tables.read_landed(spark, f"{folder}/landing").groupBy("part").count().count() == 3
     assert tables.read_landed(spark, f"{folder}/landing").count() == 1000
+
+
+def stored_rows(spark, table):
+    return sorted((tuple(r) for r in table.read(spark).collect()), key=repr)
+
+
+def test_rows_without_a_full_key_survive_and_a_replay_adds_none(spark, folder):
+    table = KeyedTable(f"{folder}/t", ["k", "j"], ["at"], buckets=2)
+    batch = spark.createDataFrame([("a", "x", 1), (None, "x", 1), (None, "x", 2), ("b", None, 1)], "k string, j string, at int")
+    table.merge(batch)
+    table.merge(batch)
+    assert stored_rows(spark, table) == sorted([("a", "x", 1), (None, "x", 1), (None, "x", 2), ("b", None, 1)], key=repr)
+    assert table.loose(spark) == 3
+
+
+def test_another_bucket_count_is_refused(spark, folder):
+    batch = spark.range(20).selectExpr("id as k", "1 as at")
+    KeyedTable(f"{folder}/t", ["k"], ["at"], buckets=4).merge(batch)
+    with pytest.raises(ValueError):
+        KeyedTable(f"{folder}/t", ["k"], ["at"], buckets=8).merge(batch)
+    assert KeyedTable(f"{folder}/t", ["k"], ["at"], buckets=4).read(spark).count() == 20
+
+
+def test_only_touched_folders_are_rewritten(spark, folder):
+    table = KeyedTable(f"{folder}/t", ["s", "k"], ["at"], buckets=2, split_by=["s"])
+    rows = [(s, k, 1) for s in "ab" for k in range(30)]
+    table.merge(spark.createDataFrame(rows, "s string, k int, at int"))
+    place = {(r["s"], r["k"]): r["_bucket"] for r in table._placed(spark.createDataFrame(rows, "s string, k int, at int")).collect()}
+    one = next(k for k in range(30) if place["a", k] == 0)
+    two = next(k for k in range(30) if place["b", k] == 1)
+    files = lambda: {str(p.parent.relative_to(folder)): p.name for p in pathlib.Path(folder).rglob("*.parquet")}
+    before = files()
+    table.merge(spark.createDataFrame([("a", one, 2), ("b", two, 2)], "s string, k int, at int"))
+    after = files()
+    changed = {d for d in before if before[d] != after[d]}
+    assert len(before) == 4 and {d[-1] for d in changed if "k|a" in d or "k%7Ca" in d} == {"0"} and len(changed) == 2
+    assert table.read(spark).where("at = 2").count() == 2 and table.read(spark).count() == 60
+
+
+def test_ties_do_not_depend_on_order(spark, folder):
+    rows = [("a", 1, v) for v in range(8)]
+    got = set()
+    for k in range(3):
+        table = KeyedTable(f"{folder}/t{k}", ["k"], ["at"], buckets=1)
+        table.merge(spark.createDataFrame(rows[k:] + rows[:k], "k string, at int, v int").repartition(3))
+        got.add(table.read(spark).first()["v"])
+    assert len(got) == 1
+
+
+def test_two_writers_are_refused(spark, folder):
+    with single_writer(spark, f"{folder}/t.lock"):
+        with pytest.raises(RuntimeError):
+            KeyedTable(f"{folder}/t", ["k"], ["at"]).merge(spark.range(1).selectExpr("id as k", "1 as at"))
+    KeyedTable(f"{folder}/t", ["k"], ["at"]).merge(spark.range(1).selectExpr("id as k", "1 as at"))
