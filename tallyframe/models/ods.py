@@ -349,6 +349,11 @@ def exact(c) -> Column:
     return (c if isinstance(c, Column) else F.col(c)).cast("decimal(20,4)")
 
 
+def ledger_days(w: Warehouse) -> DataFrame:
+    """The ledger folded to account and day, before it meets the few rows of a tenant."""
+    return w.model("fact_general_ledger").groupBy("tenant_id", "account_id", "document_date").agg(F.sum(exact("amount")).alias("a"))
+
+
 def latest_report(w: Warehouse, report: str, by: str, take: list[str]) -> DataFrame:
     """Newest snapshot of a report per tenant, from the small snapshot table."""
     snaps = w.table("report_snapshots").filter(F.col("report") == report)
@@ -374,7 +379,7 @@ def trial_balance(w: Warehouse) -> DataFrame:
     theirs = report_accounts(w, snap).groupBy("tenant_id", "account_id").agg(
         F.min("row_label").alias("account_label"), (column_sum("YTD Debit") - column_sum("YTD Credit")).alias("reported_net"))
     window = fy.select("tenant_id", "fiscal_year_start", "report_date")
-    ours = w.model("fact_general_ledger").select("tenant_id", "account_id", "document_date", exact("amount").alias("a")).join(
+    ours = ledger_days(w).join(
         window, "tenant_id").filter(F.col("document_date").between(F.col("fiscal_year_start"), F.col("report_date"))).groupBy(
         "tenant_id", "account_id").agg(F.sum("a").alias("our_net"))
     rec = quality.reconcile(theirs, ours, ["tenant_id", "account_id"], "reported_net", "our_net")
@@ -390,7 +395,7 @@ def profit_and_loss(w: Warehouse) -> DataFrame:
         F.min("row_label").alias("account_label"), F.sum(F.coalesce("number", F.lit(0).cast("decimal(18,2)"))).alias("reported"))
     acct = w.model("dim_account").filter("bs_pl = 'P&L'").select("tenant_id", F.col("source_account_id").alias("account_id"), "account_class")
     period = snap.select("tenant_id", "report_from", "report_to")
-    ours = w.model("fact_general_ledger").select("tenant_id", "account_id", "document_date", exact("amount").alias("a")).join(period, "tenant_id").filter(
+    ours = ledger_days(w).join(period, "tenant_id").filter(
         F.col("document_date").between(F.col("report_from"), F.col("report_to"))).groupBy("tenant_id", "account_id").agg(F.sum("a").alias("ours"))
     ours = ours.join(acct.select("tenant_id", "account_id"), ["tenant_id", "account_id"], "left_semi")
     j = theirs.join(ours, ["tenant_id", "account_id"], "full_outer").join(acct, ["tenant_id", "account_id"], "left").join(period, "tenant_id", "left")

@@ -16,15 +16,26 @@ def resolve_by_window(facts: DataFrame, windows: DataFrame, keys: list[str], seg
                       days: DataFrame | None = None) -> DataFrame:
     """Window value per row: the segment's own window before the default, then the newest.
 
-    Resolution runs on the distinct (keys, segment, day) combinations, so a key with many
-    rows is resolved once per combination; the result goes back by equi-join.
+    Resolution runs on distinct combinations: (keys, segment, day) meets only windows of its
+    own segment, (keys, day) only the default ones, both by equi-join, so the segments and
+    windows of a key are never paired. The results go back by equi-join. A row without a
+    segment takes the default.
     """
-    need = facts.select(*keys, segment, day).distinct()
-    cand = validity_join(need, windows, keys, day, start, end, days=days)
-    cand = cand.filter(F.col(window_segment).isNull() | (F.col(window_segment) == F.col(segment)))
-    best = latest_by(cand, [*keys, segment, day],
-                     [F.col(window_segment).isNotNull().desc(), F.desc(start), *[F.asc(c) for c in take]])
-    return facts.join(best.select(*keys, segment, day, *take), [*keys, segment, day], "left")
+    span = facts.select(F.col(day).alias("day")) if days is None else days
+
+    def newest(need: DataFrame, some: DataFrame, on: list[str], name: str) -> DataFrame:
+        cand = validity_join(need, some, on, day, start, end, days=span)
+        best = latest_by(cand, [*on, day], [F.desc(start), *[F.asc(c) for c in take]])
+        return best.select(*on, day, F.struct(*take).alias(name))
+
+    special = windows.filter(F.col(window_segment).isNotNull()).select(
+        *[c for c in windows.columns if c not in (window_segment, segment)], F.col(window_segment).alias(segment))
+    default = windows.filter(F.col(window_segment).isNull()).drop(window_segment)
+    own = newest(facts.select(*keys, segment, day).filter(F.col(segment).isNotNull()).distinct(), special, [*keys, segment], "_own")
+    base = newest(facts.select(*keys, day).distinct(), default, keys, "_base")
+    both = facts.join(own, [*keys, segment, day], "left").join(base, [*keys, day], "left")
+    value = F.coalesce("_own", "_base")
+    return both.select(*[F.col(c) for c in facts.columns], *[value[c].alias(c) for c in take])
 
 
 def current_member(windows: DataFrame, keys: list[str], as_of: Column, start: str, end: str,

@@ -196,3 +196,14 @@ def test_report_cells(spark):
         (1, "S", 0, 0, "Cash", "", "u1"), (1, "S", 0, 1, "Cash", "YTD", "u1"), (2, None, -1, 0, "Bare", "", None)]
     assert json.loads(got[0]["attributes_json"]) == attr and got[2]["attributes_json"] is None
     assert [str(x[0]) for x in dm.report_cells(df, "payload", []).filter("column_header = 'YTD'").select(dm.report_number("cell_value")).collect()] == ["1234.50"]
+
+
+def test_resolve_by_window_does_not_pair_segments_with_windows(spark):
+    day = "DATE'2024-01-10' AS d"
+    facts = spark.range(400).selectExpr("'t' AS k", "concat('s', id) AS seg", day)
+    wins = spark.range(400).selectExpr("'t' AS k", "concat('s', id) AS ws", "DATE'2024-01-01' AS s", "CAST(NULL AS DATE) AS e", "concat('u', id) AS unit").unionByName(
+        spark.sql("SELECT 't' AS k, CAST(NULL AS STRING) AS ws, DATE'2023-01-01' AS s, CAST(NULL AS DATE) AS e, 'base' AS unit"))
+    out = resolve.resolve_by_window(facts, wins, ["k"], "seg", "d", "s", "e", "ws", ["unit"])
+    assert out.where("unit = concat('u', substring(seg, 2))").count() == 400
+    none = resolve.resolve_by_window(facts.limit(1).withColumn("seg", F.lit(None).cast("string")), wins, ["k"], "seg", "d", "s", "e", "ws", ["unit"])
+    assert none.first()["unit"] == "base"
