@@ -143,18 +143,20 @@ def bitmap_of(names: DataFrame) -> np.ndarray:
     return out
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and ``n``, the document's place: its id if ids are unique and present."""
+def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``n``, the document's place (its id if ids are unique and present), and one row per place."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    clash = rows.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 or doc_id is null or doc_id < 0").isEmpty()
-    if clash:
-        return rows.withColumn("n", F.col("doc_id"))
+    plain = rows.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 or doc_id is null or doc_id < 0").isEmpty()
+    if plain:
+        rows = rows.withColumn("n", F.col("doc_id"))
+        return rows, rows
     ids = stored(rows.select("doc_id", F.xxhash64("text").alias("h")).distinct(), "ids")
     # the place in (id, hash) order: counts of range partitions, then ranks inside them
     ranged = stored(ids.orderBy(F.asc_nulls_first("doc_id"), "h").select("doc_id", "h", F.monotonically_increasing_id().alias("m")), "order")
-    return rows.withColumn("h", F.xxhash64("text")).join(
+    rows = rows.withColumn("h", F.xxhash64("text")).join(
         ranged.select(F.col("doc_id").alias("d"), F.col("h").alias("k"), F.col("m").alias("n")),
         F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k"))).select("doc_id", "text", "n")
+    return rows, rows.dropDuplicates(["n"])
 
 
 def _shifted(names: np.ndarray) -> pa.Array:
@@ -294,8 +296,8 @@ def repeated_starts(rows: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_bytes``, the removed ``spans`` (start, end) and the remaining bytes ``kept`` of every row."""
-    rows = numbered(docs)
-    starts = repeated_starts(rows).distinct().groupBy("n").agg(F.collect_list(F.struct("first", "last")).alias("starts"))
+    rows, once = numbered(docs)
+    starts = repeated_starts(once).distinct().groupBy("n").agg(F.collect_list(F.struct("first", "last")).alias("starts"))
 
     def pack(part: pa.RecordBatch) -> pa.RecordBatch:
         press = zstandard.ZstdCompressor(level=1)
