@@ -550,9 +550,21 @@ def order_lines(w: Warehouse) -> DataFrame:
 
 @model("sales_order_header_unit")
 def order_header_unit(w: Warehouse) -> DataFrame:
-    """Unit of each order: unanimous over its material lines, else NULL with a representative."""
-    return resolve.header_value(w.model("sales_order_lines_with_unit"), "order_key", "business_unit_id", "line_amount", "line_rank",
-                                F.col("is_material"), F.col("is_ancillary"))
+    """Unit of each order: unanimous over its material lines, else NULL with a representative.
+
+    An order without material lines takes the tenant's default of its day, if there is one.
+    """
+    l = w.model("sales_order_lines_with_unit")
+    h = resolve.header_value(l, "order_key", "business_unit_id", "line_amount", "line_rank", F.col("is_material"), F.col("is_ancillary"))
+    heads = l.groupBy("order_key", "tenant_id").agg(F.min("business_date").alias("business_date")).withColumn("_seg", F.lit(None).cast("string"))
+    default = resolve.resolve_by_window(heads, windows(w), ["tenant_id"], "_seg", "business_date", "valid_from", "valid_to", "unit_segment",
+                                        ["business_unit_id"]).select("order_key", F.col("business_unit_id").alias("_default"))
+    none, known = F.col("material_lines") == 0, F.col("_default").isNotNull()
+    return h.join(default, "order_key", "left").withColumns({
+        "agreed_value": F.when(none, F.col("_default")).otherwise(F.col("agreed_value")),
+        "representative": F.when(none, F.col("_default")).otherwise(F.col("representative")),
+        "selection_method": F.when(none & known, "tenant_default_match").when(none, "no_match").otherwise(F.col("selection_method")),
+    }).drop("_default")
 
 
 @model("fact_sales_order_business_unit")

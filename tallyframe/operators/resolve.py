@@ -62,12 +62,14 @@ def header_value(lines: DataFrame, header: str, value: str, amount: str, positio
     """Header attribute from its lines.
 
     Ancillary lines take the dominant value of the material goods lines. The header gets
-    the value when all material lines agree, else NULL plus a representative. Lines are
-    folded to (header, value, ancillary) once; everything after works on that rollup,
-    which ``hold`` may store because it is read several times.
+    the value when all material lines agree, else NULL plus a representative; a header
+    without material lines gets a row with zero counts. Lines are folded to (header, value,
+    ancillary, material) once; everything after works on that rollup, which ``hold`` may
+    store because it is read several times.
     """
-    base = lines.filter(material).withColumn("_anc", ancillary)
-    roll = hold(rollup_lines(base, [header, value, "_anc"], amount, position))
+    base = lines.withColumn("_anc", ancillary).withColumn("_mat", F.coalesce(material, F.lit(False)))
+    held = hold(rollup_lines(base, [header, value, "_anc", "_mat"], amount, position))
+    roll = held.filter("_mat").drop("_mat")
     goods = dominant(roll.filter(~F.col("_anc")), [header], value).select(header, F.col(value).alias("_goods"))
     eff = roll.join(goods, header, "left").withColumn(
         "_eff", F.when(F.col("_anc"), F.coalesce("_goods", value)).otherwise(F.col(value)))
@@ -79,24 +81,26 @@ def header_value(lines: DataFrame, header: str, value: str, amount: str, positio
         F.coalesce(F.sum(F.when(F.col("_eff").isNull(), F.col("line_count"))), F.lit(0)).alias("unresolved_lines"),
         F.count("_eff").alias("value_count"))
     top = dominant(merged, [header], "_eff").select(header, F.col("_eff").alias("representative"))
-    out = stats.join(top, header, "left")
+    counts = ["material_lines", "unresolved_lines", "value_count"]
+    out = held.select(header).distinct().join(stats, header, "left").join(top, header, "left").withColumns(
+        {c: F.coalesce(c, F.lit(0)) for c in counts})
     agreed = (F.col("unresolved_lines") == 0) & (F.col("value_count") == 1)
-    method = (F.when(F.col("unresolved_lines") > 0, "unresolved_lines").when(F.col("value_count") == 1, "unanimous")
-              .otherwise("multiple_values"))
+    method = (F.when(F.col("material_lines") == 0, "no_material_lines").when(F.col("unresolved_lines") > 0, "unresolved_lines")
+              .when(F.col("value_count") == 1, "unanimous").otherwise("multiple_values"))
     return out.withColumn("agreed_value", F.when(agreed, F.col("representative"))).withColumn("selection_method", method)
 
 
 def match_key(corporate_id: Column, name: Column, country: Column, singleton: Column) -> tuple[Column, Column]:
-    """Method and value of the entity group: corporate id, else name and country, else itself."""
+    """Method and value of the entity group: corporate id, else name and country, else the tenant's own customer."""
     by_name = name.isNotNull() & country.isNotNull()
-    method = F.when(corporate_id.isNotNull(), "corporate_id").when(by_name, "name_country").otherwise("singleton")
+    method = F.when(corporate_id.isNotNull(), "corporate_id").when(by_name, "name_country").otherwise("tenant_customer")
     value = (F.when(corporate_id.isNotNull(), corporate_id)
              .when(by_name, F.concat(country, F.lit("|"), name)).otherwise(singleton))
     return method, value
 
 
-# Confidence per match method.
-MATCH_CONFIDENCE = {"corporate_id": "high", "name_country": "medium", "singleton": "low"}
+# Match methods and their confidence.
+MATCH_CONFIDENCE = {"corporate_id": "high", "name_country": "medium", "tenant_customer": "low"}
 
 
 def match_confidence(method: Column) -> Column:

@@ -156,10 +156,10 @@ WITH goods AS (SELECT o_orderkey, unit FROM (SELECT o_orderkey, unit, row_number
 eff AS (SELECT bl.o_orderkey, bl.amount, bl.line_no, CASE WHEN ancillary AND goods.unit IS NOT NULL THEN goods.unit ELSE bl.unit END AS e FROM bl LEFT JOIN goods USING (o_orderkey) WHERE material),
 st AS (SELECT o_orderkey, count(*) AS material_lines, count(*) FILTER (e IS NULL) AS unresolved_lines, count(DISTINCT e) AS value_count FROM eff GROUP BY 1),
 top AS (SELECT o_orderkey, e FROM (SELECT o_orderkey, e, row_number() OVER (PARTITION BY o_orderkey ORDER BY sum(amount) DESC, count(*) DESC, min(line_no), e) AS rn FROM eff WHERE e IS NOT NULL GROUP BY 1, 2) WHERE rn = 1)
-SELECT o_orderkey, material_lines, unresolved_lines, value_count, e AS representative,
+SELECT o_orderkey, coalesce(material_lines, 0) AS material_lines, coalesce(unresolved_lines, 0) AS unresolved_lines, coalesce(value_count, 0) AS value_count, e AS representative,
   CASE WHEN unresolved_lines = 0 AND value_count = 1 THEN e END AS agreed_value,
-  CASE WHEN unresolved_lines > 0 THEN 'unresolved_lines' WHEN value_count = 1 THEN 'unanimous' ELSE 'multiple_values' END AS selection_method
-FROM st LEFT JOIN top USING (o_orderkey)""", uses="bl")
+  CASE WHEN material_lines IS NULL THEN 'no_material_lines' WHEN unresolved_lines > 0 THEN 'unresolved_lines' WHEN value_count = 1 THEN 'unanimous' ELSE 'multiple_values' END AS selection_method
+FROM (SELECT DISTINCT o_orderkey FROM bl) h LEFT JOIN st USING (o_orderkey) LEFT JOIN top USING (o_orderkey)""", uses="bl")
 def d16(t: Tables) -> DataFrame:
     return resolve.header_value(brand_lines(t), "o_orderkey", "unit", "amount", "line_no", F.col("material"), F.col("ancillary"),
                                 hold=lambda df: stored(df, "brand-rollup"))
@@ -287,7 +287,7 @@ SELECT *, CASE WHEN corp IN ('000000000', '999999999') THEN NULL ELSE corp END A
  UNION ALL SELECT 'S' || s_suppkey, r_name, n_name, 'Supplies', CASE WHEN s_acctbal < 4000 THEN 'ORG' || (s_suppkey // 3) END, CASE WHEN s_acctbal > 7000 THEN 'P1' END, FALSE
  FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey)""")
 derived.SQL["keyed_parties"] = (["parties"], """
-SELECT *, CASE WHEN corporate_id IS NOT NULL THEN 'corporate_id' WHEN name_norm IS NOT NULL AND NOT no_country THEN 'name_country' ELSE 'singleton' END AS match_method,
+SELECT *, CASE WHEN corporate_id IS NOT NULL THEN 'corporate_id' WHEN name_norm IS NOT NULL AND NOT no_country THEN 'name_country' ELSE 'tenant_customer' END AS match_method,
  CASE WHEN corporate_id IS NOT NULL THEN corporate_id WHEN name_norm IS NOT NULL AND NOT no_country THEN country || '|' || name_norm ELSE tenant || '|' || member END AS match_value FROM parties""")
 
 

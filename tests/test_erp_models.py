@@ -168,7 +168,7 @@ def test_customer_groups(w):
     g = by(w.model("bridge_customer_to_combined"), "customer_key")
     assert g["k1"]["customer_combined_key"] == g["k2"]["customer_combined_key"] == "corporate_id|NO123"
     assert g["k3"]["customer_combined_key"] == g["k4"]["customer_combined_key"] == "name_country|NO|ACMEAS"
-    assert g["k5"]["combined_match_method"] == "singleton" and g["k1"]["combined_match_confidence"] == "high"
+    assert g["k5"]["combined_match_method"] == "tenant_customer" and g["k1"]["combined_match_confidence"] == "high"
     c = w.model("customer_price_class_cross_tenant_candidates").collect()
     assert [(r["customer_key"], r["candidate_price_class_id"], r["sample_supporting_customers"]) for r in c] == [("k2", "A", "O1: ACME AS")]
 
