@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -22,6 +23,13 @@ class Warehouse:
         """A staging or bronze table."""
         return self._tables(name)
 
+    def optional(self, name: str) -> DataFrame | None:
+        """A staging or bronze table, or nothing where that source is not loaded."""
+        try:
+            return self._tables(name)
+        except (KeyError, AnalysisException):
+            return None
+
     def model(self, name: str) -> DataFrame:
         if name not in self._built:
             self._built[name] = self._models[name](self)

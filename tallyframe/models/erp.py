@@ -76,8 +76,13 @@ def market_rate(w: Warehouse) -> DataFrame:
 def daily_rate(w: Warehouse) -> DataFrame:
     series = w.model("dim_currency_market_rate").filter((F.col("to_currency_id") == GROUP_CURRENCY) & ~F.col("is_inverse_rate")).select(
         F.col("from_currency_id").alias("currency"), "rate_date", F.col("exchange_rate").cast("decimal(18,6)").alias("exchange_rate"))
-    last = live(w.table("general_ledger_transactions")).agg(F.max(ledger_date()).alias("max_date"))
-    d = fx.daily_rates(series, GROUP_CURRENCY, last)
+    # rates run to the latest day of the ledger or of any document fact that is loaded
+    days = live(w.table("general_ledger_transactions")).agg(F.max(ledger_date()).alias("d"))
+    for name in RATED_DOCUMENTS:
+        facts = w.optional(f"silver.{name}")
+        if facts is not None:
+            days = days.unionByName(facts.agg(F.max(F.to_date(MARKET_FACTS[name][0])).alias("d")))
+    d = fx.daily_rates(series, GROUP_CURRENCY, days.agg(F.max("d").alias("max_date")))
     return d.withColumn("inverse_rate", F.try_divide(F.lit(1.0), F.col("exchange_rate").cast("double")))
 
 
@@ -692,6 +697,9 @@ MARKET_FACTS = {
 }
 
 
+RATED_DOCUMENTS = ["fact_customer_invoice", "fact_supplier_invoice", "fact_customer_payment", "fact_customer_credit_note", "fact_supplier_payment"]
+
+
 def market_fact(name: str, day: str, amounts: list[str]):
     def build(w: Warehouse) -> DataFrame:
         facts = w.table(f"silver.{name}")

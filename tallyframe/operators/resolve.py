@@ -29,8 +29,8 @@ def resolve_by_window(facts: DataFrame, windows: DataFrame, keys: list[str], seg
         return best.select(*on, day, F.struct(*take).alias(name))
 
     special = windows.filter(F.col(window_segment).isNotNull()).select(
-        *[c for c in windows.columns if c not in (window_segment, segment)], F.col(window_segment).alias(segment))
-    default = windows.filter(F.col(window_segment).isNull()).drop(window_segment)
+        *[c for c in windows.columns if c != segment], F.col(window_segment).alias(segment))
+    default = windows.filter(F.col(window_segment).isNull())
     own = newest(facts.select(*keys, segment, day).filter(F.col(segment).isNotNull()).distinct(), special, [*keys, segment], "_own")
     base = newest(facts.select(*keys, day).distinct(), default, keys, "_base")
     both = facts.join(own, [*keys, segment, day], "left").join(base, [*keys, day], "left")

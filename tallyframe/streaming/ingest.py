@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyframe.sinks.upsert import KeyedTable
+from tallyframe.sinks.upsert import KeyedTable, path_exists
 from tallyframe.sources.pages import page_key_columns, with_sidecar
 
 
@@ -21,10 +22,11 @@ def new_sidecars(spark: SparkSession, root: str, files_per_batch: int = 1000) ->
     )
 
 
-def pages_of(sidecars: DataFrame) -> DataFrame:
+def pages_of(sidecars: DataFrame, on_missing: Callable[[list[str]], None] | None = None) -> DataFrame:
     """Pages behind a micro-batch of sidecars; only the named files are opened.
 
-    The path list is bounded by the files per batch of the stream.
+    The path list is bounded by the files per batch of the stream. A sidecar whose page is
+    absent does not stop the stream: its path goes to ``on_missing`` or into a warning.
     """
     spark = sidecars.sparkSession
     metas = [r[0] for r in sidecars.select("meta_path").collect()]
@@ -32,6 +34,12 @@ def pages_of(sidecars: DataFrame) -> DataFrame:
         return None
     paths = [m[: -len(".meta.json")] for m in metas]
     paths = [p if p.endswith(".json") else p + ".json" for p in paths]
+    missing = [p for p in paths if not path_exists(spark, p)]
+    if missing:
+        (on_missing or (lambda lost: warnings.warn(f"pages without a body: {lost}", stacklevel=3)))(missing)
+        paths = [p for p in paths if p not in set(missing)]
+        if not paths:
+            return None
     body = spark.read.text(paths, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
     return with_sidecar(body.select("*", *page_key_columns(F.col("path"))), sidecars)

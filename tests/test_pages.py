@@ -85,3 +85,22 @@ def test_half_open_filters(spark):
     assert df.filter(ingest.modified_between([F.col("d")], lo, hi)).count() == 1
     assert df.filter(ingest.modified_between([F.col("d")], lo, None)).count() == 3
     assert df.filter(ingest.business_between([F.col("d")], lo, None)).count() == 2
+
+
+def test_a_missing_page_does_not_stop_the_stream(spark, landing, folder):
+    lost = next(pathlib.Path(landing).rglob("*run_2_p001.json"))
+    lost.unlink()
+    seen, missing = [], []
+
+    def handle(batch, batch_id):
+        pages = ingest.pages_of(batch, missing.extend)
+        seen.append(0 if pages is None else pages.count())
+
+    ingest.run_available(ingest.new_sidecars(spark, landing), handle, f"{folder}/cp")
+    assert sum(seen) == 3 and [m.rsplit("/", 1)[1] for m in missing] == [lost.name]
+
+
+def test_report_snapshot_keys(spark):
+    path = "file:/x/raw/erp/t1/2.0/report_trial_balance/2026-03-13/20260313T000000_r1__2026_02.json"
+    got = spark.createDataFrame([(path,)], "path string").select(*pg.page_key_columns(F.col("path"))).first()
+    assert (got["endpoint"], got["run_id"], got["period"], got["page"]) == ("report_trial_balance", "r1", "2026_02", None)
