@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallyframe.llm.textvec import Words, chunks, mix, multiset
+from tallyframe.llm.textvec import CHUNK_BYTES, Words, chunks, mix, multiset
 
 #: Bytes by kind; every other byte (letters of any script, above all) has kind 0.
 KINDS = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "symbol": b"#*$%&|<>@_=+~^{}[]\\/", "exclaim": b"!", "stop": b".?",
@@ -49,12 +49,12 @@ def dense(words: Words) -> np.ndarray:
     ])
 
 
-def map_texts(docs: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``fn`` on chunks of a few megabytes of text each."""
+def map_texts(docs: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, size: int = CHUNK_BYTES) -> DataFrame:
+    """``fn`` on chunks of about ``size`` bytes of text each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, size):
                 yield fn(part)
 
     return docs.mapInArrow(run, schema)

@@ -47,8 +47,9 @@ LENGTH = 100
 GRAM = 32
 NAME_BITS = 40
 FILTER_BITS = 26
-CROWD = 256  # contexts of one anchor from which its strings are spread
-BUFFER_ROWS = 20_000
+BUFFER_ROWS = 20_000  # contexts that a task holds at a time, some 150 bytes each
+CROWD = BUFFER_ROWS  # contexts of one anchor beyond which its strings are spread
+CHUNK = 1 << 20
 BASES = (0xD6E8FEB86659FD93, 0xA24BAED4963EE407)
 _TABLES = [mix((np.arange(1, 257, dtype=np.uint64) + np.uint64(1000 * k)) * GOLDEN) for k in (1, 2)]
 
@@ -168,7 +169,7 @@ def _anchor_names(rows: DataFrame) -> DataFrame:
         name, count = np.unique(anchors(*as_bytes(part.column("text")))[3], return_counts=True)
         return pa.RecordBatch.from_arrays([_shifted(np.concatenate([name, name[count > 1]]))], names=["name"])
 
-    return map_texts(rows, fn, "name bigint")
+    return map_texts(rows, fn, "name bigint", CHUNK)
 
 
 def _runs(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
@@ -184,7 +185,7 @@ def _runs(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
         at = first - offsets[row] << 8 | last - first
         return pa.RecordBatch.from_arrays([_shifted(k1), _shifted(y), part.column("n").take(pa.array(row)), pa.array(at)], names=["k1", "k2", "n", "at"])
 
-    return map_texts(rows, fn, "k1 bigint, k2 bigint, n bigint, at bigint")
+    return map_texts(rows, fn, "k1 bigint, k2 bigint, n bigint, at bigint", CHUNK)
 
 
 def place_name(n: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -205,7 +206,7 @@ def _contexts(rows: DataFrame, places: np.ndarray, crowds: np.ndarray) -> DataFr
         context = pa.array([raw[a:b] for a, b in zip(first, last + LENGTH)], pa.binary())
         return pa.RecordBatch.from_arrays([_shifted(name), pa.array(n), pa.array(at), context, pa.array(held(crowds, name))], names=["name", "n", "at", "context", "crowd"])
 
-    return map_texts(rows, fn, "name bigint, n bigint, at bigint, context binary, crowd boolean")
+    return map_texts(rows, fn, "name bigint, n bigint, at bigint, context binary, crowd boolean", CHUNK)
 
 
 def _strings(batch: pa.Table) -> tuple[np.ndarray, ...]:
@@ -274,7 +275,7 @@ def _later_in_crowd(rows: DataFrame) -> DataFrame:
 def repeated_starts(rows: DataFrame) -> DataFrame:
     """Spans of starts (``n``, ``first``, ``last``) of all strings that also start earlier."""
     twice = _anchor_names(rows).groupBy("name").agg(F.count("*").alias("c")).where("c > 1")
-    runs = _runs(rows, bitmap_of(twice))
+    runs = stored(_runs(rows, bitmap_of(twice)), "runs")
     named = stored(runs.groupBy("k1", "k2").agg(F.min(F.struct("n", "at")).alias("head"), F.count("*").alias("c"))
                    .select("k1", "k2", "head", "c"), "contexts")
     copies = runs.join(named.where("c > 1").select("k1", "k2", "head").hint("merge"), ["k1", "k2"]).where(F.struct("n", "at") != F.col("head")).select(
