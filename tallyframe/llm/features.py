@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallyframe.llm.textvec import CHUNK_BYTES, Words, chunks, mix, multiset
+from tallyframe.llm.textvec import CHUNK_BYTES, Words, chunks, multiset
 
 #: Bytes by kind; every other byte (letters of any script, above all) has kind 0.
 KINDS = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "symbol": b"#*$%&|<>@_=+~^{}[]\\/", "exclaim": b"!", "stop": b".?",
@@ -79,5 +79,3 @@ def featured(docs: DataFrame, keep: list[str]) -> DataFrame:
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
-
-__all__ = ["NAMES", "dense", "featured", "list_column", "map_texts", "mix", "sigmoid"]

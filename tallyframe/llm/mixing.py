@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.llm.features import NAMES, dense, map_texts
+from tallyframe.llm.features import dense, map_texts
 from tallyframe.llm.rows import stored, texts, training_rows
 from tallyframe.llm.textvec import Words, multiset
 
@@ -122,11 +122,7 @@ def posteriors(docs: DataFrame, model: dict | None) -> DataFrame:
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "thash", "tokens", *DOMAINS])
 
     kept = ", ".join(f"{d} double" for d in DOMAINS)
-    return map_texts_with_hash(docs, fn, f"doc_id bigint, thash bigint, tokens bigint, {kept}")
-
-
-def map_texts_with_hash(docs: DataFrame, fn, schema: str) -> DataFrame:
-    return map_texts(texts(docs).withColumn("thash", F.xxhash64("text")), fn, schema)
+    return map_texts(texts(docs).withColumn("thash", F.xxhash64("text")), fn, f"doc_id bigint, thash bigint, tokens bigint, {kept}")
 
 
 def step_sizes(totals: list[float], targets: list[float]) -> float:
