@@ -41,7 +41,7 @@ COVER = 3  # landmarks wanted for each toxic document
 MIN_SUPPORT, MAX_CLEAN = 3, 0.15
 STRONGEST = 8  # words of each labelled document that may stand for it
 ROUNDS = 4
-CACHE_WORDS = 1 << 20
+CACHE_CELLS = 1 << 20  # values of words that a task remembers
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -133,11 +133,15 @@ def _by_length(size: np.ndarray):
 
 
 class Scorer:
-    """Kernel values of the words of text chunks; a word seen before in the task is looked up."""
+    """Values of the words of text chunks: the kernel values, or their weighted sum if weights are given.
 
-    def __init__(self, landmarks: Landmarks):
-        self.landmarks = landmarks
-        self.seen, self.values = np.zeros(0, np.uint64), np.zeros((0, len(landmarks.strings)), np.float32)
+    A word seen before in the task is looked up; the memory starts anew when it is full.
+    """
+
+    def __init__(self, landmarks: Landmarks, weights: np.ndarray | None = None):
+        self.landmarks, self.weights = landmarks, weights
+        self.width = len(landmarks.strings) if weights is None else 1
+        self.seen, self.values = np.zeros(0, np.uint64), np.zeros((0, self.width), np.float32)
 
     def words(self, column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
         """The words, their rows of the value table, and that table."""
@@ -148,18 +152,20 @@ class Scorer:
         while len(moved := np.flatnonzero((begin < end) & ~_LETTER[words.data[end - 1]])):
             end[moved] -= 1
         new, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.seen, new), max(len(self.seen) - 1, 0))
-        known = self.seen[at] == new if len(self.seen) else np.zeros(len(new), bool)
+        at = np.searchsorted(self.seen, new)
+        known = at < len(self.seen)
+        known[known] = self.seen[at[known]] == new[known]
         fresh = first[~known]
-        table = np.zeros((len(new), len(self.landmarks.strings)), np.float32)
+        table = np.zeros((len(new), self.width), np.float32)
         table[known] = self.values[at[known]]
-        table[~known] = self.landmarks.against(words.data, begin[fresh], end[fresh])
-        if len(self.seen) + len(fresh) > CACHE_WORDS:
+        for k in range(0, len(fresh), 1 << 15):
+            part = self.landmarks.against(words.data, begin[fresh[k:k + (1 << 15)]], end[fresh[k:k + (1 << 15)]])
+            table[np.flatnonzero(~known)[k:k + (1 << 15)]] = part if self.weights is None else (part @ self.weights)[:, None]
+        if (len(self.seen) + len(fresh)) * self.width > CACHE_CELLS:
             self.seen, self.values = new, table
         else:
-            merged = np.concatenate([self.seen, new[~known]])
-            order = np.argsort(merged)
-            self.seen, self.values = merged[order], np.concatenate([self.values, table[~known]])[order]
+            self.seen = np.insert(self.seen, at[~known], new[~known])
+            self.values = np.insert(self.values, at[~known], table[~known], axis=0)
         return words, back, table
 
 
@@ -281,9 +287,9 @@ def scored(docs: DataFrame, model: dict | None) -> DataFrame:
 
     def fn(part: pa.RecordBatch) -> pa.RecordBatch:
         if not scorers:
-            scorers.append(Scorer(Landmarks(model["landmarks"])))
+            scorers.append(Scorer(Landmarks(model["landmarks"]), model["weights"]))
         words, back, table = scorers[0].words(part.column("text"))
-        best = _per_row((table @ model["weights"] + model["intercept"])[back], words.row, words.rows, model["intercept"])
+        best = _per_row(table[back, 0] + model["intercept"], words.row, words.rows, model["intercept"])
         return pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sigmoid(model["slope"] * best + model["offset"]))], names=["doc_id", "score"])
 
     return map_texts(rows, fn, "doc_id bigint, score double")
