@@ -23,7 +23,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.llm.rows import BLANKS, WORD_BREAK, bind, boxed
+from tallyframe.llm.rows import BLANKS, WORD_BREAK, bind, boxed, stored
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -135,7 +135,8 @@ def weights(model: dict) -> list[list[float]]:
 
 
 def learn(m: DataFrame) -> dict:
-    """The model of a measured corpus; only the pattern counts reach the driver."""
+    """The model of a measured corpus (best a stored one, as every vote reads several measurements);
+    only the pattern counts reach the driver."""
     return fit([(tuple(r[:-1]), r["n"]) for r in vote_counts(m).collect()])
 
 
@@ -156,5 +157,5 @@ def judged(docs: DataFrame, model: dict) -> DataFrame:
 
 def apply(docs: DataFrame, model: dict | None = None) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns they came with."""
-    model = model or learn(measured(docs))
+    model = model or learn(stored(measured(docs).drop("row"), "measured"))
     return judged(docs, model).where("kept").select("row.*")
