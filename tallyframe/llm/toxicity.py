@@ -33,7 +33,7 @@ from tallyframe.llm.features import list_column, map_texts, sigmoid
 from tallyframe.llm.rows import WORD_BREAK, stored, texts, training_rows
 from tallyframe.llm.textvec import Words
 
-TRAIN_ROWS = 10_000
+TRAIN_ROWS = 6_000
 ORDER, DECAY = 4, 0.6
 LANDMARKS = 64
 CANDIDATES = 4_000
@@ -47,30 +47,32 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def kernel(words: np.ndarray, lengths: np.ndarray, marks: np.ndarray, sizes: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
-    """Gap-weighted subsequence kernel of row k of ``words`` with row k of ``marks`` (0-padded bytes)."""
+def kernel(words: np.ndarray, marks: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
+    """Gap-weighted subsequence kernel of row k of ``words`` (padded with 0) with row k of ``marks`` (padded with 255)."""
     n, m, pairs = words.shape[1], marks.shape[1], len(words)
+    w, l = np.ascontiguousarray(words.T), np.ascontiguousarray(marks.T)
+    match = [[(l[a] == w[j]) * np.float32(decay * decay) for j in range(n)] for a in range(m)]
     out = np.zeros(pairs, np.float32)
-    before = np.ones((m + 1, n + 1, pairs), np.float32)
-    for i in range(1, order + 1):
+    before = None  # weights of common subsequences of one character less, by lengths of both beginnings
+    for i in range(1, order):
         here = np.zeros((m + 1, n + 1, pairs), np.float32)
-        for a in range(1, m + 1):
+        for a in range(i - 1, m):
             run = np.zeros(pairs, np.float32)
-            for j in range(1, n + 1):
-                match = (words[:, j - 1] == marks[:, a - 1]) & (j <= lengths) & (a <= sizes)
-                gain = np.where(match, decay * decay * before[a - 1, j - 1], 0)
-                if i == order:
-                    out += gain
-                else:
-                    run = decay * run + gain
-                    here[a, j] = decay * here[a - 1, j] + run
+            for j in range(i - 1, n):
+                run *= np.float32(decay)
+                run += match[a][j] if before is None else match[a][j] * before[a, j]
+                np.multiply(here[a, j + 1], np.float32(decay), out=here[a + 1, j + 1])
+                here[a + 1, j + 1] += run
         before = here
+    for a in range(order - 1, m):
+        for j in range(order - 1, n):
+            out += match[a][j] if before is None else match[a][j] * before[a, j]
     return out
 
 
-def padded(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def padded(strings: list[bytes], fill: int) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(s) for s in strings], np.int64)
-    out = np.zeros((len(strings), max(lengths.max(initial=1), 1)), np.uint8)
+    out = np.full((len(strings), max(lengths.max(initial=1), 1)), fill, np.uint8)
     for k, s in enumerate(strings):
         out[k, :len(s)] = np.frombuffer(s, np.uint8)
     return out, lengths
@@ -91,15 +93,16 @@ class Landmarks:
 
     def __init__(self, strings: list[str]):
         self.strings = strings
-        self.marks, self.sizes = padded([s.encode() for s in strings])
+        self.marks, self.sizes = padded([s.encode() for s in strings], 255)
         ends = np.cumsum(self.sizes)
         flat = np.concatenate([np.frombuffer(s.encode(), np.uint8) for s in strings]) if strings else np.zeros(0, np.uint8)
         self.bits = letters(flat, ends - self.sizes, ends)
         self.need = np.ceil(np.bitwise_count(self.bits) * 0.75)
-        self.own = kernel(self.marks, self.sizes, self.marks, self.sizes)
+        same, _ = padded([s.encode() for s in strings], 0)
+        self.own = kernel(same, self.marks)
         k = len(strings)
         i, j = (v.ravel() for v in np.meshgrid(np.arange(k), np.arange(k), indexing="ij"))
-        gram = kernel(self.marks[i], self.sizes[i], self.marks[j], self.sizes[j]).reshape(k, k) / np.sqrt(np.outer(self.own, self.own))
+        gram = kernel(same[i], self.marks[j]).reshape(k, k) / np.sqrt(np.outer(self.own, self.own))
         value, vector = np.linalg.eigh((gram + gram.T) / 2)
         self.root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0.05))) @ vector.T
 
@@ -111,7 +114,9 @@ class Landmarks:
             rows = np.flatnonzero((end - begin > low) & (end - begin <= high))
             near = np.bitwise_count(bits[rows][:, None] & self.bits[None, :]) >= self.need[None, :]
             which, mark = np.nonzero(near)
-            step = max(1, 4_000_000 // ((high + 3) * (self.marks.shape[1] + 1)))
+            order = np.argsort(self.sizes[mark], kind="stable")  # landmarks of like length together
+            which, mark = which[order], mark[order]
+            step = max(1, 600_000 // ((high + 3) * (self.marks.shape[1] + 1)))
             for s in range(0, len(which), step):
                 w, m = rows[which[s:s + step]], mark[s:s + step]
                 size = end[w] - begin[w]
@@ -121,7 +126,8 @@ class Landmarks:
                 inside = cell < size[:, None]
                 box[:, 1:-1] = np.where(inside, data[np.minimum(begin[w][:, None] + cell, len(data) - 1)], 0)
                 box[np.arange(len(w)), size + 1] = ord("$")
-                out[w, m] = np.minimum(kernel(box, size + 2, self.marks[m], self.sizes[m]) / self.own[m], 1)
+                marks = self.marks[m, :self.sizes[m].max()]
+                out[w, m] = np.minimum(kernel(box, marks) / self.own[m], 1)
         return out
 
 

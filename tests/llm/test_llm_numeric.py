@@ -96,10 +96,10 @@ def kernel_by_definition(s, t, order, decay):
 
 def test_subsequence_kernel():
     words = [b"^idiot$", b"^i-d-i-ot$", b"^trash$", b"^a$"]
-    w, n = toxicity.padded(words)
+    w, _ = toxicity.padded(words, 0)
     for mark in (b"^idiot$", b"^tras"):
-        m, k = toxicity.padded([mark] * len(words))
-        got = toxicity.kernel(w, n, m, k, 3, 0.6)
+        m, _ = toxicity.padded([mark] * len(words), 255)
+        got = toxicity.kernel(w, m, 3, 0.6)
         assert got == pytest.approx([kernel_by_definition(x, mark, 3, 0.6) for x in words], rel=1e-4)
 
 
