@@ -245,16 +245,34 @@ def _rest(docs: DataFrame, signed: DataFrame, entries: DataFrame, shared: DataFr
                 for i in range(len(a)):
                     j = np.flatnonzero((b_root != a_root[i]) & (b_main | (a[i] < b)))
                     equal = a_marks[i] == b_marks[j]
-                    near = equal.sum(1) >= least
-                    j, equal = j[near], equal[near]
-                    j = j[equal.reshape(len(j), bands, width).all(2).argmax(1) == band[k]]
+                    agree = equal.sum(1)
+                    near = agree >= least
+                    j, equal, agree = j[near], equal[near], agree[near]
+                    first = equal.reshape(len(j), bands, width).all(2).argmax(1) == band[k]
+                    j, agree = j[first], agree[first]
                     if len(j):
                         x = np.full(len(j), a[i])
-                        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, b[j])), pa.array(np.minimum(x, b[j]))], names=["a", "b"])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.maximum(x, b[j])), pa.array(np.minimum(x, b[j])), pa.array(agree >= similarity * bands * width)], names=["a", "b", "likely"])
 
-    pairs = few.join(every.hint("merge"), "bucket").select("band", "few", "every").mapInArrow(compare, "a bigint, b bigint")
+    pairs = few.join(every.hint("merge"), "bucket").select("band", "few", "every").mapInArrow(compare, "a bigint, b bigint, likely boolean")
     pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    return stored(verified(docs, pairs, similarity), "links") if not pairs.isEmpty() else pairs
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    # likely pairs first; of the others only those that these have not brought into one component
+    links = stored(verified(docs, pairs.where("likely").select("a", "b"), similarity), "links")
+    root = member.select(F.col("node").alias("n"), "root")
+    known = links.select(F.col("a").alias("n")).unionByName(links.select(F.col("b").alias("n"))).distinct().join(root, "n", "left")
+    joined = known.select("n", F.coalesce("root", "n").alias("old"))
+    a, b = (joined.select(F.col("n").alias(c), F.col("old").alias(f"{c}_root")) for c in "ab")
+    merged = components(links.join(a, "a").join(b, "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
+    rest = pairs.where("not likely").select("a", "b")
+    for c in "ab":
+        rest = rest.join(root.withColumnRenamed("n", c), c, "left").withColumn("old", F.coalesce("root", c)).drop("root")
+        rest = rest.join(merged.select(F.col("node").alias("old"), F.col("root").alias("new")), "old", "left")
+        rest = rest.withColumn(f"{c}_root", F.coalesce("new", "old")).drop("old", "new")
+    rest = stored(rest.where("a_root <> b_root").select("a", "b"), "pairs")
+    return links.unionByName(stored(verified(docs, rest, similarity), "links"))
 
 
 def apply(docs: DataFrame, **options) -> DataFrame:
