@@ -84,6 +84,42 @@ def test_similar_segments():
     assert compact_windows.segments(a, np.zeros(0, int)) == []
 
 
+def similar_by_definition(a, b):
+    """Whether any two spans of at least MIN_TOKENS distinct tokens have similarity 0.8."""
+    least = compact_windows.MIN_TOKENS
+    for i in range(len(a) - least + 1):
+        for j in range(i + least, len(a) + 1):
+            inside = np.isin(b, a[i:j])
+            upto = np.append(0, np.cumsum(inside))
+            for s in range(len(b) - least + 1):
+                e = np.arange(s + least, len(b) + 1)
+                common = upto[e] - upto[s]
+                if (5 * common >= 4 * ((j - i) + (e - s) - common)).any():
+                    return True
+    return False
+
+
+@pytest.mark.parametrize("words", [50, 51, 52, 55, 60, 75, 90])
+def test_edited_passages_by_definition(words):
+    """Passages with one changed word, and a second one, between other tokens."""
+    shingles = words - 4
+    for at in {0, 3, words // 3, words // 2, words - 1}:
+        for second in (None, words - 6):
+            passage = np.arange(1000, 1000 + shingles)
+            edited = passage.copy()
+            for k in (at, second):
+                if k is not None:
+                    gone = np.arange(max(0, k - 4), min(shingles, k + 1))
+                    edited[gone] = 5000 + gone
+            a = np.concatenate([np.arange(4), passage, np.arange(10, 13)])
+            b = np.concatenate([np.arange(20, 22), edited, np.arange(30, 35)])
+            got = compact_windows.segments(a, b)
+            assert bool(got) == similar_by_definition(a, b), (words, at, second)
+            for s, e, s0, e0 in got:
+                common = len(np.intersect1d(a[s:e + 1], b[s0:e0 + 1]))
+                assert min(e - s, e0 - s0) + 1 >= compact_windows.MIN_TOKENS and 5 * common >= 4 * ((e - s + 1) + (e0 - s0 + 1) - common)
+
+
 def kernel_by_definition(s, t, order, decay):
     from itertools import combinations
     total = 0.0
