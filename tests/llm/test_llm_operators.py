@@ -5,6 +5,7 @@ import hashlib
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,6 +233,33 @@ def test_repeated_passages(documents, prose):
     assert compact_windows.passages(documents(rows).limit(0)).count() == 0
 
 
+def window_values(text):
+    """Centre of every window of a text by function and value."""
+    return {(k, int(v)): int(c) for k, value, _, _, at, _ in compact_windows.windows_of(compact_windows.Words(pa.array([text], pa.large_string()))) for v, c in zip(value, at)}
+
+
+def test_repeated_passages_past_the_first_holder(documents, prose, monkeypatch):
+    """Two documents share a passage; all their common minima occur in an earlier document without it."""
+    passage = prose(60, 77)
+    rows = [(k, prose(40, k) + " " + passage + " " + prose(40, 50 + k)) for k in (10, 11)]
+    one, other = (window_values(t) for _, t in rows)
+    early = []
+    for key in one.keys() & other.keys():
+        shingle = " ".join(rows[0][1].split()[one[key]:one[key] + 5])
+        around = (f"{prose(50, s)} {shingle} {prose(50, s + 1)}" for s in range(1000, 3000, 2))
+        early.append(next(t for t in around if key in window_values(t)))
+    rows.append((1, " ".join(early)))
+    assert one.keys() & other.keys() <= window_values(rows[-1][1]).keys()
+    got = {r["doc_id"]: r["class_id"] for r in compact_windows.passages(documents(rows)).collect()}
+    assert got == {1: 1, 10: 10, 11: 10}
+    # nothing from first holders: the second pass finds the classes of many holders by itself
+    rows += [(k, prose(40, k) + " " + passage + " " + prose(40, 50 + k)) for k in range(12, 20)] + [(30, passage.upper()), (31, prose(90, 31))]
+    monkeypatch.setattr(compact_windows, "candidates", lambda windows: windows.selectExpr("n", "n as n0").limit(0))
+    monkeypatch.setattr(compact_windows, "BLOCK", 3)
+    got = {r["doc_id"]: r["class_id"] for r in compact_windows.passages(documents(rows)).collect()}
+    assert got == {1: 1, 30: 10, 31: 31, **{k: 10 for k in range(10, 20)}}
+
+
 # 8
 
 
