@@ -213,7 +213,7 @@ def _rest(docs: DataFrame, signed: DataFrame, entries: DataFrame, shared: DataFr
     Members outside a bucket's largest component are held against all members of other
     components, block by block inside tasks: their signatures are compared (one byte per
     component) and only pairs that may reach the similarity leave the task, each from the first
-    bucket it shares. A true link is missed with the chance of a signature that is
+    bucket it shares (by the bucket numbers, as marks may agree in a band that is not shared). A true link is missed with the chance of a signature that is
     ``MARGIN_SIGMAS`` standard deviations off.
     """
     inside = entries.join(shared.select("bucket").hint("merge"), "bucket", "left_semi").join(
@@ -222,11 +222,11 @@ def _rest(docs: DataFrame, signed: DataFrame, entries: DataFrame, shared: DataFr
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("n")) \
         .where("roots > 1").select("bucket", F.col("main.root").alias("main"), "n")
     mixed = inside.join(main, "bucket")
-    marks = signed.select(F.col("doc_id").alias("a"), "marks").join(mixed.select("a").distinct(), "a", "left_semi").dropDuplicates(["a"])
+    marks = signed.select(F.col("doc_id").alias("a"), "marks", "buckets").join(mixed.select("a").distinct(), "a", "left_semi").dropDuplicates(["a"])
     mixed = stored(mixed.join(marks, "a").select(
-        "bucket", "band", "a", "root", "marks", (F.col("root") == F.col("main")).alias("main"),
+        "bucket", "band", "a", "root", "marks", "buckets", (F.col("root") == F.col("main")).alias("main"),
         F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / BLOCK)).alias("block")), "mixed")
-    rows = F.collect_list(F.struct("a", "root", "marks", "main"))
+    rows = F.collect_list(F.struct("a", "root", "marks", "buckets", "main"))
     few = mixed.where("not main").groupBy("bucket", "band", "block").agg(rows.alias("few"))
     every = mixed.groupBy("bucket", "block").agg(rows.alias("every")).drop("block")
     least = (similarity - MARGIN_SIGMAS * (similarity * (1 - similarity) / (bands * width)) ** 0.5) * bands * width
@@ -234,21 +234,21 @@ def _rest(docs: DataFrame, signed: DataFrame, entries: DataFrame, shared: DataFr
     def columns(block) -> tuple[np.ndarray, ...]:
         s = block.values
         marks = np.frombuffer(b"".join(s.field("marks").to_pylist()), np.uint8).reshape(len(s), -1)
-        return s.field("a").to_numpy(), s.field("root").to_numpy(), s.field("main").to_numpy(zero_copy_only=False), marks
+        buckets = s.field("buckets").flatten().to_numpy().reshape(len(s), bands)
+        return s.field("a").to_numpy(), s.field("root").to_numpy(), s.field("main").to_numpy(zero_copy_only=False), marks, buckets
 
     def compare(batches):
         for batch in batches:
             band = batch.column("band").to_numpy()
             for k in range(len(batch)):
-                a, a_root, _, a_marks = columns(batch.column("few")[k])
-                b, b_root, b_main, b_marks = columns(batch.column("every")[k])
+                a, a_root, _, a_marks, a_buckets = columns(batch.column("few")[k])
+                b, b_root, b_main, b_marks, b_buckets = columns(batch.column("every")[k])
                 for i in range(len(a)):
                     j = np.flatnonzero((b_root != a_root[i]) & (b_main | (a[i] < b)))
-                    equal = a_marks[i] == b_marks[j]
-                    agree = equal.sum(1)
+                    agree = (a_marks[i] == b_marks[j]).sum(1)
                     near = agree >= least
-                    j, equal, agree = j[near], equal[near], agree[near]
-                    first = equal.reshape(len(j), bands, width).all(2).argmax(1) == band[k]
+                    j, agree = j[near], agree[near]
+                    first = ~(a_buckets[i, :band[k]] == b_buckets[j, :band[k]]).any(1)
                     j, agree = j[first], agree[first]
                     if len(j):
                         x = np.full(len(j), a[i])

@@ -155,6 +155,24 @@ def test_bagminhash_checks_members_the_leader_does_not_link(documents, prose):
     assert got == {40}
 
 
+def test_bagminhash_passes_on_pairs_whose_marks_agree_before_a_shared_band(documents, prose, monkeypatch):
+    """Marks of the first three bands agree for all texts; the second pass alone has to find the pairs."""
+    def bands_of(words, bands=bagminhash.BANDS, width=bagminhash.ROWS, real=bagminhash.bands_of):
+        buckets, marks, some = real(words, bands, width)
+        marks[:, :3 * width] = 0
+        return buckets, marks, some
+
+    monkeypatch.setattr(bagminhash, "bands_of", bands_of)
+    words = prose(400, 9).split()
+    docs = documents([(40, " ".join(words))] + [(40 + k, " ".join(words[:50 * k] + prose(24, k).split() + words[50 * k + 24:])) for k in range(1, 7)])
+    signed = bagminhash._signed(docs, bagminhash.BANDS, bagminhash.ROWS)
+    entries = bagminhash._entries(signed, bagminhash.BANDS)
+    shared = entries.groupBy("bucket").agg(F.min("a").alias("b"), F.max("a").alias("other")).where("b < other").select("bucket", "b")
+    none = docs.limit(0).selectExpr("doc_id as a", "doc_id as b")
+    got = bagminhash._rest(docs, signed, entries, shared, none, none.toDF("node", "root"), 0.8, bagminhash.BANDS, bagminhash.ROWS)
+    assert {(r["a"], r["b"]) for r in got.collect()} >= {(40 + k, 40) for k in range(1, 7)}
+
+
 # 1
 
 
