@@ -5,8 +5,11 @@ number ``<unit>``, capitalised words inside a sentence ``<name>``; all other wor
 case without punctuation. Windows of ``WIDTH`` template words are hashed and hash-joined, so a
 question with other numbers, names or units still meets its original. For each document and
 item that meet, the slots of all matched windows are lined up: a re-parameterised question
-replaces each value of the item by one value throughout. The pair is contaminated if enough
-windows match and at least ``MIN_CONSISTENT`` of the item's slot values have one counterpart.
+replaces each value of the item by one value throughout. Matched windows of one offset between
+document and item are one occurrence, judged by itself: it is contaminating if enough windows
+match and at least ``MIN_CONSISTENT`` of the item's slot values in them have one counterpart. A
+pair is contaminated if one of its occurrences is, or, where words were put in or left out, if
+all its windows together are; the counts reported are those of the best occurrence.
 
 The benchmark side of the join is counted first. Up to ``BROADCAST_ROWS`` windows (16 bytes
 each) it is broadcast; beyond that both sides are shuffled, the benchmark side repeated for
@@ -23,7 +26,7 @@ are passed on by ``apply``. The work is linear in the length of a text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyframe.llm.rows import BLANKS, WORD_BREAK, boxed, stored
 
@@ -110,14 +113,25 @@ def matches(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = BROADCA
         hits.withColumn("salt", F.pmod(F.xxhash64("did", "pos"), F.lit(SALTS)).cast("int")).join(salted, ["window", "salt"]).drop("salt", "window"), "matches")
 
 
+def occurrences(hits: DataFrame) -> DataFrame:
+    """Matches with ``parts``: all of the pair, those of one offset, and those of a stretch of nearby offsets."""
+    offset = F.col("pos") - F.col("at")
+    order = Window.partitionBy("did", "thash", "item_id").orderBy("pos", "at")
+    jump = F.coalesce((F.abs(offset - F.lag(offset).over(order)) > WIDTH).cast("int"), F.lit(0))
+    stretch = F.sum("jump").over(order)
+    return hits.withColumn("jump", jump).withColumn(
+        "parts", F.array(F.lit("all"), F.concat(F.lit("offset "), offset), F.concat(F.lit("stretch "), stretch))).drop("jump")
+
+
 def verdicts(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS,
              min_consistent: float = MIN_CONSISTENT, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """A row per document and item that share a template window: counts and ``contaminated``."""
-    hits = matches(docs, benchmark, broadcast_rows)
+    hits = occurrences(matches(docs, benchmark, broadcast_rows))
     same_pair = ["did", "thash", "item_id"]
-    met = hits.groupBy(*same_pair).agg(F.count_distinct("at").alias("n_matched"), F.max("n_windows").alias("n_windows"))
+    same = [*same_pair, "part"]
+    met = hits.withColumn("part", F.explode("parts")).groupBy(*same).agg(F.count_distinct("at").alias("n_matched"), F.max("n_windows").alias("n_windows"))
     with_slots = hits.where(F.size("slots") > 0)
-    slotted = with_slots.groupBy("did", "thash").agg(F.collect_list(F.struct("pos", "item_id", "slots")).alias("hits"))
+    slotted = with_slots.groupBy("did", "thash").agg(F.collect_list(F.struct("pos", "item_id", "parts", "slots")).alias("hits"))
     if with_slots.count() <= min(broadcast_rows, BROADCAST_SLOTS):
         slotted = F.broadcast(slotted)  # else the texts are shuffled to meet their matches
     raw = docs.select(F.col("doc_id").cast("bigint").alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), cleaned(F.col("text")).alias("clean"))
@@ -126,18 +140,21 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDO
         raw.join(slotted, F.col("d").eqNullSafe(F.col("did")) & (F.col("h") == F.col("thash")))
         .select("did", "thash", F.split("clean", " ").alias("raw"), "hits")
         .select("did", "thash", F.explode(F.expr(
-            "flatten(transform(hits, h -> transform(h.slots, s -> struct(h.item_id as item_id, s.kind as kind, s.value as theirs, raw[h.pos + s.k] as ours))))")).alias("s"))
-        .select("did", "thash", "s.*")
+            "flatten(transform(hits, h -> transform(h.slots, s -> struct(h.item_id as item_id, h.parts as parts, s.kind as kind, s.value as theirs, raw[h.pos + s.k] as ours))))")).alias("s"))
+        .select("did", "thash", "s.*").withColumn("part", F.explode("parts"))
     )
-    slots = pairs.groupBy(*same_pair, "kind", "theirs").agg(F.min("ours").alias("low"), F.max("ours").alias("high")).groupBy(*same_pair).agg(
+    slots = pairs.groupBy(*same, "kind", "theirs").agg(F.min("ours").alias("low"), F.max("ours").alias("high")).groupBy(*same).agg(
         F.count("*").alias("n_slots"), F.count_if(F.col("low") == F.col("high")).alias("n_consistent"),
         F.count_if((F.col("low") != F.col("theirs")) | (F.col("high") != F.col("theirs"))).alias("n_changed"))
-    s = slots.select(F.col("did").alias("d"), F.col("thash").alias("h"), F.col("item_id").alias("i"), "n_slots", "n_consistent", "n_changed")
+    s = slots.select(F.col("did").alias("d"), F.col("thash").alias("h"), F.col("item_id").alias("i"), F.col("part").alias("p"), "n_slots", "n_consistent", "n_changed")
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    out = met.join(s, F.col("did").eqNullSafe(F.col("d")) & (F.col("thash") == F.col("h")) & F.col("item_id").eqNullSafe(F.col("i")), "left").select(
+    out = met.join(s, F.col("did").eqNullSafe(F.col("d")) & (F.col("thash") == F.col("h")) & F.col("item_id").eqNullSafe(F.col("i")) & (F.col("part") == F.col("p")), "left").select(
         "did", "thash", "item_id", "n_matched", "n_windows", zero("n_slots"), zero("n_consistent"), zero("n_changed"))
-    return out.withColumn("contaminated", (F.col("n_matched") >= F.least(F.lit(min_windows), "n_windows"))
-                          & (F.col("n_consistent") >= min_consistent * F.col("n_slots")))
+    out = out.withColumn("contaminated", (F.col("n_matched") >= F.least(F.lit(min_windows), "n_windows"))
+                         & (F.col("n_consistent") >= min_consistent * F.col("n_slots")))
+    counts = ["contaminated", "n_matched", "n_windows", "n_consistent", "n_slots", "n_changed"]
+    best = out.groupBy(*same_pair).agg(F.max(F.struct(*counts)).alias("best"))
+    return best.select(*same_pair, *[f"best.{c}" for c in ("n_matched", "n_windows", "n_slots", "n_consistent", "n_changed", "contaminated")])
 
 
 def apply(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

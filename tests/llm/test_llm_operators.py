@@ -194,6 +194,18 @@ def test_decontamination_matches_reparameterised_items(spark, documents, prose):
     assert decontaminate.verdicts(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_judges_each_occurrence(spark, documents, prose):
+    item = "A train from Berlin leaves at 12 hours and travels 340 km before it meets the slow train from Munich after 12 hours of steady running"
+    change = lambda a, b, c, d: item.replace("12", a).replace("340", b).replace("Berlin", c).replace("Munich", d)
+    one, two = change("17", "95", "Lisbon", "Cadiz"), change("31", "88", "Madrid", "Porto")
+    longer = lambda t: t.replace("before it meets", "before it finally meets")
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    rows = [(1, f"{prose(20, 1)}. {one}. {prose(30, 2)}. {two}"), (2, f"{prose(9, 3)}. {item}. {one}"), (3, f"{longer(one)}. {prose(40, 5)}. {longer(two)}"), (4, longer(one)), (5, prose(60, 6))]
+    got = {r["did"]: r for r in decontaminate.verdicts(documents(rows), bench).collect()}
+    assert {k for k, r in got.items() if r["contaminated"]} == {1, 2, 3, 4}
+    assert ids(decontaminate.apply(documents(rows), bench)) == [5]
+
+
 # 5 and 7
 
 
