@@ -5,12 +5,15 @@ classifier, fitted on at most ``TRAIN_ROWS`` labelled rows, gives every document
 ``p`` over them, so a document is a member of each domain to a degree.
 
 *Rates.* With ``n_i`` tokens and rates ``r_i >= 0`` the expected tokens of domain d are
-``sum_i r_i n_i p_id``. Projected gradient descent minimises
-``1/2 sum_d (expected_d - target_d)^2 / target_d + ridge/2 sum_i n_i (r_i - 1)^2``, scaled by
-``n_i`` so that a step changes rates and not tokens: ``r_i <- max(0, r_i - step (sum_d p_id
-(expected_d / target_d - 1) + ridge (r_i - 1)))``. One step is one aggregation over all
-documents that returns a number per domain. A document's rate depends on nothing but its
-posterior and the errors of the steps so far, so each pass replays these and no rate is stored.
+``sum_i r_i n_i p_id``. Projected gradient descent, scaled by the curvature, starts from rates of 1
+and minimises ``1/2 sum_d (expected_d - target_d)^2 / target_d``: ``r_i <- max(0, r_i - sum_d p_id
+move_d)``, where the moves solve the domains' normal equations over the documents with positive
+rates, damped by ``RIDGE`` relative to the largest curvature; a step that does not lower the sum
+is taken back and damped more. Steps end when every domain is within ``TOLERANCE`` of its target
+or damping leaves no step, that is if the targets cannot be met together. One step is one
+aggregation over all documents that returns a few numbers per domain. A document's rate depends
+on nothing but its posterior and the moves so far, so each pass replays these and no rate is
+stored. ``solve`` reports the expected tokens; ``mixed`` warns of targets that are missed.
 
 Targets are ``TARGETS`` shares of the corpus' own number of tokens. A domain without a single
 expected token has no say (its target cannot be met), and the other shares are scaled up.
@@ -22,6 +25,8 @@ empty table gives an empty result; other columns, whatever their names, are pass
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,8 +40,9 @@ BUCKETS = 1 << 18
 MIN_SUPPORT = 4
 DOMAINS = ["fine", "poor", "toxic", "poor_toxic"]
 TARGETS = {"fine": 0.90, "poor": 0.08, "toxic": 0.015, "poor_toxic": 0.005}
-RIDGE = 0.01
-STEPS = 40
+RIDGE = 1e-9  # of the largest curvature
+TOLERANCE = 0.01
+STEPS = 200
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -125,42 +131,65 @@ def posteriors(docs: DataFrame, model: dict | None) -> DataFrame:
     return map_texts(texts(docs).withColumn("thash", F.xxhash64("text")), fn, f"doc_id bigint, thash bigint, tokens bigint, {kept}")
 
 
-def step_sizes(totals: list[float], targets: list[float]) -> float:
-    """A safe step: the inverse of the largest possible curvature."""
-    return 1 / (max((a / t for a, t in zip(totals, targets) if t > 0), default=1.0) + RIDGE)
-
-
-def rate(errors: list[list[float]], step: float, ridge: float = RIDGE) -> Column:
-    """The rate after the given steps: each step's domain errors (expected / target - 1) replayed."""
-    if not errors:
+def rate(moves: list[list[float]]) -> Column:
+    """The rate after the given moves, replayed from 1."""
+    if not moves:
         return F.lit(1.0)
-    rows = "array(" + ", ".join("array(" + ", ".join(f"{e!r}D" for e in es) + ")" for es in errors) + ")"
+    rows = "array(" + ", ".join("array(" + ", ".join(f"{e!r}D" for e in es) + ")" for es in moves) + ")"
     pull = " + ".join(f"{d} * e[{i}]" for i, d in enumerate(DOMAINS))
-    return F.expr(f"aggregate({rows}, 1D, (r, e) -> greatest(0D, r - {step!r}D * ({pull} + {ridge!r}D * (r - 1D))))")
+    return F.expr(f"aggregate({rows}, 1D, (r, e) -> greatest(0D, r - ({pull})))")
+
+
+def expected(p: DataFrame, r: Column) -> tuple[np.ndarray, np.ndarray]:
+    """Expected tokens per domain and, over rows with a positive rate, per two domains; one aggregation over all documents."""
+    k = len(DOMAINS)
+    tokens = F.col("tokens").cast("double")
+    sums = [F.sum(F.col("_rate") * tokens * F.col(d)) for d in DOMAINS]
+    both = [F.sum(F.when(F.col("_rate") > 0, tokens * F.col(c) * F.col(d))) for c in DOMAINS for d in DOMAINS]
+    got = np.array([float(v or 0.0) for v in p.withColumn("_rate", r).agg(*[c.alias(f"s{i}") for i, c in enumerate(sums + both)]).first()])
+    return got[:k], got[k:].reshape(k, k)
 
 
-def expected(p: DataFrame, r: Column) -> list[float]:
-    """Expected tokens per domain, one aggregation over all documents."""
-    got = p.withColumn("_rate", r).agg(*[F.sum(F.col("_rate") * F.col("tokens") * F.col(d)) for d in DOMAINS]).first()
-    return [float(v or 0.0) for v in got]
+def moves_for(now: np.ndarray, both: np.ndarray, target: np.ndarray, damp: float) -> list[float]:
+    """The domains' moves that would meet the targets if no rate became 0."""
+    scale = np.where(target > 0, 1 / np.sqrt(np.where(target > 0, target, 1.0)), 0.0)
+    curve = both * scale[:, None] * scale
+    curve += np.eye(len(now)) * max(damp * np.linalg.eigvalsh(curve).max(), 1e-300)
+    return [float(v) for v in scale * np.linalg.solve(curve, scale * (now - target))]
 
 
-def solve(p: DataFrame, shares: dict[str, float] = TARGETS, steps: int = STEPS) -> tuple[Column, dict]:
+def solve(p: DataFrame, shares: dict[str, float] = TARGETS, steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[Column, dict]:
     """The rate column and a report of targets and expected tokens."""
-    start = expected(p, F.lit(1.0))
-    share = [shares[d] if a > 0 else 0.0 for d, a in zip(DOMAINS, start)]
-    target = [s / sum(share) * sum(start) if sum(share) else 0.0 for s in share]
-    step, errors, now = step_sizes(start, target), [], start
-    for _ in range(steps if sum(start) else 0):
-        errors.append([a / t - 1 if t else 0.0 for a, t in zip(now, target)])
-        now = expected(p, rate(errors, step))
-    return rate(errors, step), {"target": dict(zip(DOMAINS, target)), "before": dict(zip(DOMAINS, start)), "after": dict(zip(DOMAINS, now))}
+    start, both = expected(p, F.lit(1.0))
+    share = np.array([shares[d] if a > 0 else 0.0 for d, a in zip(DOMAINS, start)])
+    target = share / share.sum() * start.sum() if share.sum() else share
+    asked = target > 0
+
+    def off(e: np.ndarray) -> np.ndarray:
+        return np.abs(e[asked] / target[asked] - 1)
+
+    moves, now, damp = [], start, RIDGE
+    for _ in range(steps):
+        if not asked.any() or off(now).max() <= tolerance or damp > 1e3:
+            break
+        tried = [*moves, moves_for(now, both, target, damp)]
+        then, then_both = expected(p, rate(tried))
+        if (target[asked] * off(then) ** 2).sum() < 0.999 * (target[asked] * off(now) ** 2).sum():
+            moves, now, both, damp = tried, then, then_both, max(RIDGE, damp / 100)
+        else:
+            damp *= 30
+    missed = [d for d, t, e in zip(DOMAINS, target, now) if t > 0 and abs(e / t - 1) > tolerance]
+    named = lambda v: {d: float(x) for d, x in zip(DOMAINS, v)}
+    return rate(moves), {"target": named(target), "before": named(start), "after": named(now), "missed": missed, "steps": len(moves)}
 
 
 def mixed(docs: DataFrame, labels: DataFrame, shares: dict[str, float] = TARGETS) -> DataFrame:
     """``doc_id``, ``thash``, ``tokens``, domain posteriors and ``rate`` of every row of ``docs``."""
     p = stored(posteriors(docs, learn(docs, labels)), "posteriors")
-    return p.withColumn("rate", solve(p, shares)[0])
+    rates, report = solve(p, shares)
+    if report["missed"]:
+        logging.getLogger(__name__).warning("mixing targets not met for %s: %s", ", ".join(report["missed"]), report)
+    return p.withColumn("rate", rates)
 
 
 def apply(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -344,3 +344,17 @@ def test_mixing_meets_targets(labelled):
     plain = mixing.apply(docs, labels.limit(0))
     assert plain.count() == docs.count()
     assert mixing.apply(docs.limit(0), labels).count() == 0
+
+
+@pytest.mark.parametrize("poor", [200, 20, 2])
+def test_mixing_meets_targets_of_rare_domains(spark, poor):
+    """Domains far under and far over their targets, with certain and with unsure posteriors."""
+    rows = [(100, *p) for p in [(0.0, 1.0, 0.0, 0.0)] * poor + [(0.0, 0.0, 1.0, 0.0)] * 100 + [(0.0, 0.0, 0.0, 1.0)] * 5 + [(1.0, 0.0, 0.0, 0.0)] * 800 + [(0.9, 0.02, 0.07, 0.01)] * 100]
+    p = spark.createDataFrame(rows, "tokens bigint, fine double, poor double, toxic double, poor_toxic double")
+    rate, report = mixing.solve(p)
+    after = p.withColumn("r", rate).agg(*[F.sum(F.expr(f"r * tokens * {d}")).alias(d) for d in mixing.DOMAINS]).first()
+    for d in mixing.DOMAINS:
+        assert after[d] == pytest.approx(report["target"][d], rel=0.0101)
+    # targets that no rates meet end by themselves and are reported
+    alike = p.selectExpr("tokens", *[f"0.25D as {d}" for d in mixing.DOMAINS])
+    assert mixing.solve(alike)[1].get("missed")
