@@ -16,9 +16,12 @@ each) it is broadcast; beyond that both sides are shuffled, the benchmark side r
 ``SALTS`` salts so that a passage in a third of all documents is spread. Windows of documents
 are exploded as plain numbers; texts are read again only for documents with a match.
 
-Defined cases: null and empty texts and items have no windows; items of fewer than ``WIDTH``
-words have no window and are not searched; windows with fewer than ``MIN_LITERAL`` words outside
-slots are too common to tell and are not used; rows with the same ``doc_id`` and text count once;
+Defined cases: null and empty texts and items have no windows; windows with fewer than
+``MIN_LITERAL`` words outside slots are too common to tell as templates and are not used as such.
+Items without any other window, that is those of fewer than ``WIDTH`` words or full of slots, are
+searched word by word as they stand, but for case and punctuation: in windows of ``WIDTH`` words,
+or of all their words if these are fewer. So exact copies of them are found, whatever their length;
+rows with the same ``doc_id`` and text count once;
 a null ``doc_id`` or ``item_id`` is matched like any other and reported as null; empty tables
 give an empty result (``apply`` then keeps everything); other columns, whatever their names,
 are passed on by ``apply``. The work is linear in the length of a text.
@@ -85,22 +88,53 @@ def document_windows(docs: DataFrame) -> DataFrame:
     return t.select("did", "thash", F.posexplode(window_hashes("words")).alias("pos", "window"))
 
 
+def literal(clean: Column) -> Column:
+    """Words of a cleaned text in lower case, without punctuation at either end."""
+    return F.split(F.regexp_replace(F.lower(clean), r"(?<![^ ])[^\p{L}\p{N} ]+|[^\p{L}\p{M}\p{N} ]+(?![^ ])", ""), " ")
+
+
+def literal_windows(words: str, width: str) -> Column:
+    """Hashes of all windows of ``width`` words as they stand."""
+    return F.expr(f"if(size({words}) < {width}, cast(array() as array<bigint>), "
+                  f"transform(sequence(0, greatest(size({words}) - {width}, 0)), k -> xxhash64(slice({words}, k + 1, {width}), {width}, 'literal')))")
+
+
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """``window``, ``item_id``, ``at``, ``n_windows`` and the window's slots of every usable benchmark window."""
-    clean = benchmark.select(F.col("item_id"), cleaned(F.col("text")).alias("clean"))
-    t = clean.select("item_id", F.split("clean", " ").alias("raw"), template(F.col("clean")).alias("words"))
-    w = t.select("item_id", "raw", "words", F.posexplode(window_hashes("words")).alias("at", "window"))
+    """``item_id``, ``text_of`` (set if searched as it stands), ``width``, ``at``, ``window``, ``slots`` and ``n_windows`` of every benchmark window."""
+    clean = benchmark.select(F.col("item_id"), cleaned(F.col("text")).alias("clean")).where("clean <> ''")
+    t = clean.select("item_id", "clean", F.split("clean", " ").alias("raw"), template(F.col("clean")).alias("words"))
+    t = t.withColumn("hashes", window_hashes("words"))
     slots = f"filter(transform(sequence(0, {WIDTH - 1}), k -> struct(k as k, words[at + k] as kind, raw[at + k] as value)), s -> s.kind like '<%')"
-    w = w.select("item_id", "at", "window", F.expr(slots).alias("slots")).where(F.size("slots") <= WIDTH - MIN_LITERAL)
-    w = w.groupBy("item_id", "window").agg(F.min_by("slots", "at").alias("slots"), F.min("at").alias("at"))
-    per_item = w.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    return w.join(per_item.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i"))).drop("i")
+    t = t.withColumn("found", F.expr(f"filter(transform(hashes, (h, at) -> struct(at as at, h as window, {slots} as slots)), w -> size(w.slots) <= {WIDTH - MIN_LITERAL})"))
+    none = F.lit(None).cast("bigint")
+    w = t.select("item_id", none.alias("text_of"), F.lit(WIDTH).alias("width"), F.explode("found").alias("w")).select("item_id", "text_of", "width", "w.*")
+    whole = t.where("size(found) = 0").select("item_id", F.xxhash64("clean").alias("text_of"), literal(F.col("clean")).alias("own")).withColumn(
+        "width", F.least(F.size("own"), F.lit(WIDTH)))
+    whole = whole.select("item_id", "text_of", "width", F.posexplode(literal_windows("own", "width")).alias("at", "window"))
+    w = w.unionByName(whole.withColumn("slots", F.expr("cast(array() as array<struct<k: int, kind: string, value: string>>)")))
+    w = w.groupBy("item_id", "text_of", "width", "window").agg(F.min_by("slots", "at").alias("slots"), F.min("at").alias("at"))
+    per_item = w.groupBy(F.col("item_id").alias("i"), F.col("text_of").alias("o")).agg(F.count("*").alias("n_windows"))
+    return w.join(per_item, F.col("item_id").eqNullSafe(F.col("i")) & F.col("text_of").eqNullSafe(F.col("o"))).drop("i", "o")
+
+
+def literal_document_windows(docs: DataFrame, widths: list[int]) -> DataFrame:
+    """As ``document_windows``, of words as they stand."""
+    t = docs.select(F.col("doc_id").cast("bigint").alias("did"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("thash"),
+                    literal(cleaned(F.col("text"))).alias("own"))
+    each = [t.select("did", "thash", F.posexplode(literal_windows("own", str(n))).alias("pos", "window")) for n in widths]
+    out = each[0]
+    for e in each[1:]:
+        out = out.unionByName(e)
+    return out
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Document windows that equal a benchmark window, with the item's slots."""
     items = stored(item_windows(benchmark), "item-windows")
     found = document_windows(docs)
+    widths = sorted(r["width"] for r in items.where("text_of is not null").select("width").distinct().collect())  # 1 to WIDTH
+    if widths:
+        found = found.unionByName(literal_document_windows(docs, widths))
     keys = items.select("window").distinct()
     if keys.count() <= broadcast_rows:
         hits = found.join(F.broadcast(keys), "window", "left_semi")
@@ -110,17 +144,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = BROADCA
     hits = stored(hits.distinct(), "window-hits")
     salted = items.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return stored(
-        hits.withColumn("salt", F.pmod(F.xxhash64("did", "pos"), F.lit(SALTS)).cast("int")).join(salted, ["window", "salt"]).drop("salt", "window"), "matches")
+        hits.withColumn("salt", F.pmod(F.xxhash64("did", "pos"), F.lit(SALTS)).cast("int")).join(salted, ["window", "salt"]).drop("salt", "window", "width"), "matches")
 
 
 def occurrences(hits: DataFrame) -> DataFrame:
     """Matches with ``parts``: all of the pair, those of one offset, and those of a stretch of nearby offsets."""
     offset = F.col("pos") - F.col("at")
-    order = Window.partitionBy("did", "thash", "item_id").orderBy("pos", "at")
+    order = Window.partitionBy("did", "thash", "item_id", "text_of").orderBy("pos", "at")
     jump = F.coalesce((F.abs(offset - F.lag(offset).over(order)) > WIDTH).cast("int"), F.lit(0))
     stretch = F.sum("jump").over(order)
-    return hits.withColumn("jump", jump).withColumn(
-        "parts", F.array(F.lit("all"), F.concat(F.lit("offset "), offset), F.concat(F.lit("stretch "), stretch))).drop("jump")
+    of = F.coalesce(F.concat(F.lit(" of "), "text_of"), F.lit(""))
+    return hits.withColumn("jump", jump).withColumn("parts", F.array(
+        F.concat(F.lit("all"), of), F.concat(F.lit("offset "), offset, of), F.concat(F.lit("stretch "), stretch, of))).drop("jump", "text_of")
 
 
 def verdicts(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS,

@@ -206,6 +206,16 @@ def test_decontamination_judges_each_occurrence(spark, documents, prose):
     assert ids(decontaminate.apply(documents(rows), bench)) == [5]
 
 
+def test_decontamination_finds_copies_of_short_items_and_of_items_full_of_slots(spark, documents, prose):
+    short, dense = "What is 12 + 30 * 4?", "Add 12 km 30 kg 45 mm and 7 lb 9 oz 11 s"
+    bench = spark.createDataFrame([(1, short), (2, dense), (3, None), (4, " * "), (2, "Why not?")], "item_id bigint, text string")
+    rows = ODD + [(20, prose(9, 1) + " " + short + " " + prose(9, 2)), (21, dense.upper()), (22, "What is 12 + 31 * 4?"), (23, dense.replace("45", "46")), (24, "so why not"), (25, prose(60, 6))]
+    docs = documents(rows)
+    for limit in (10**6, 0):
+        got = {(r["did"], r["item_id"]) for r in decontaminate.verdicts(docs, bench, broadcast_rows=limit).where("contaminated").collect()}
+        assert got == {(20, 1), (21, 2), (24, 2)}
+
+
 # 5 and 7
 
 
