@@ -137,7 +137,7 @@ def test_header_value(spark):
     got = {r["o"]: (r["representative"], r["agreed_value"], r["selection_method"]) for r in resolve.header_value(
         df, "o", "u", "a", "n", F.col("m"), F.col("anc")).collect()}
     assert got == {"o1": ("A", "A", "unanimous"), "o2": ("B", None, "multiple_values"), "o3": ("A", None, "unresolved_lines"),
-                   "o5": ("B", "B", "unanimous")}
+                   "o4": (None, None, "no_material_lines"), "o5": ("B", "B", "unanimous")}
 
 
 def test_resolve_by_window_prefers_segment_then_newest(spark, rows):
