@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import bagminhash, chat, compact_windows, decontaminate, line_dedup, mixing, pairwise_rank, quality_rules, suffix, toxicity
+from tallyframe.llm import bagminhash, ball_tree, chat, compact_windows, decontaminate, line_dedup, lookup_kmeans, mixing, pairwise_rank, quality_rules, suffix, toxicity
 from tallyframe.llm.rows import held_out, sha256_hex, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,19 @@ def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_windows.passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_lookup_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup_kmeans.clustered(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_lookup_kmeans"] = lookup_kmeans.ORACLE
+
+
+@query
+def op13_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_ball_tree"] = ball_tree.ORACLE

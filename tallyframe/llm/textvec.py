@@ -32,6 +32,9 @@ def unit(z: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes with A-Z in lower case.
+ASCII_LOWER = np.arange(256, dtype=np.uint8)
+ASCII_LOWER[65:91] += 32
 
 
 def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -60,14 +63,20 @@ def chunks(batch: pa.RecordBatch, size: int = CHUNK_BYTES, text: str = "text") -
 
 
 class Words:
-    """Words `[^\\x20\\x09-\\x0D]+` of a chunk: hash, row, begin and end (byte positions in ``data``)."""
+    """Words `[^\\x20\\x09-\\x0D]+` of a chunk: hash, row, begin and end (byte positions in ``data``).
 
-    def __init__(self, column: pa.Array, lower: bool = True):
-        if lower:
+    ``lower`` folds all letters; ``fold`` maps bytes instead (as ``ASCII_LOWER`` does), and ``breaks``
+    marks the bytes between words.
+    """
+
+    def __init__(self, column: pa.Array, lower: bool = True, fold: np.ndarray | None = None, breaks: np.ndarray = _BLANK):
+        if lower and fold is None:
             column = pc.utf8_lower(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
         self.data, self.offsets = as_bytes(column)
+        if fold is not None:
+            self.data = fold[self.data]
         self.rows = len(self.offsets) - 1
-        solid = ~_BLANK[self.data]
+        solid = ~breaks[self.data]
         first = solid.copy()
         first[1:] &= ~solid[:-1]
         cuts = self.offsets[:-1][self.offsets[:-1] < len(self.data)]
