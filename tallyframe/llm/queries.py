@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import bagminhash, ball_tree, chat, compact_windows, decontaminate, line_dedup, lookup_kmeans, mixing, pairwise_rank, quality_rules, suffix, toxicity
+from tallyframe.llm import bagminhash, ball_tree, chat, compact_windows, decontaminate, line_dedup, lookup_kmeans, mixing, pairwise_rank, quality_rules, suffix, suffix_tree_lm, toxicity
 from tallyframe.llm.rows import held_out, sha256_hex, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ def op13_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_ball_tree"] = ball_tree.ORACLE
+
+
+@query
+def op11_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_lm.scored(table(spark, sf_dir, "documents"))
