@@ -5,6 +5,7 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -368,3 +369,39 @@ def test_mixing_meets_targets_of_rare_domains(spark, poor):
     # targets that no rates meet end by themselves and are reported
     alike = p.selectExpr("tokens", *[f"0.25D as {d}" for d in mixing.DOMAINS])
     assert mixing.solve(alike)[1].get("missed")
+
+
+def least_change(p, tokens, target, rounds=60_000):
+    """Non-negative rates closest to 1 that meet the targets, by plain gradient ascent of the multipliers."""
+    y = np.zeros(p.shape[1])
+    for _ in range(rounds):
+        r = np.maximum(1 - p @ y, 0)
+        y += 0.5 * ((r * tokens) @ p - target) / tokens.sum()
+    return np.maximum(1 - p @ y, 0)
+
+
+def test_rates_are_the_closest_to_one(spark):
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet([0.5, 0.3, 0.3, 0.2], 300)
+    tokens = rng.integers(1, 400, 300)
+    df = spark.createDataFrame([(k, int(n), *map(float, q)) for k, (n, q) in enumerate(zip(tokens, p))], "k int, tokens bigint, fine double, poor double, toxic double, poor_toxic double")
+    shares = {"fine": 0.7, "poor": 0.15, "toxic": 0.1, "poor_toxic": 0.05}
+    rate, report = mixing.solve(df, shares, tolerance=1e-4)
+    want = least_change(p, tokens.astype(float), np.array(list(shares.values())) * tokens.sum())
+    assert [r["r"] for r in df.withColumn("r", rate).orderBy("k").collect()] == pytest.approx(want, abs=2e-3)
+    assert not report["missed"] and report["jobs"] <= 12
+
+
+def test_unreachable_domain_keeps_the_others(spark):
+    """A domain spread thinly over all documents cannot be raised: it is named, and no document is lost for it."""
+    df = spark.createDataFrame([(100, 0.98, 0.0005, 0.019, 0.0005)] * 90 + [(100, 0.1, 0.0005, 0.899, 0.0005)] * 10, "tokens bigint, fine double, poor double, toxic double, poor_toxic double")
+    rate, report = mixing.solve(df, {"fine": 0.9, "poor": 0.08, "toxic": 0.02, "poor_toxic": 0.0})
+    assert report["missed"] == ["poor"] and report["jobs"] <= 30
+    assert df.withColumn("r", rate).where("fine > 0.9 and r > 0.9").count() == 90
+
+
+def test_mixing_replaces_its_own_column_and_takes_any_name(labelled):
+    docs, labels, _ = labelled
+    odd = docs.withColumn("a.b", F.lit(1)).withColumn("mix_rate", F.lit("old")).withColumn("rate", F.lit("mine"))
+    out = mixing.apply(odd, labels)
+    assert sorted(out.columns) == sorted(odd.columns) and dict(out.dtypes)["mix_rate"] == "double"
