@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+import time
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -11,14 +14,14 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from tallyframe.operators.latest import latest_by
 
 
-def _keyed(df: DataFrame, keys: list[str]) -> Column:
+def fully_keyed(keys: list[str]) -> Column:
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).isNotNull()
     return cond
 
 
-def _content(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
+def content_hash(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
     """Hash of a row's columns that can be hashed; settles ties alike in every run."""
     plain = [c for c, kind in df.dtypes if c not in without and not kind.startswith(("map", "variant")) and "variant" not in kind and "map<" not in kind]
     return F.xxhash64(*plain)
@@ -26,8 +29,8 @@ def _content(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
 
 def collapse(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the latest by ``order``, ties by content; rows lacking a key column stay as they are."""
-    full = _keyed(batch, keys)
-    tie = [F.desc(_content(batch, tuple(order)))]
+    full = fully_keyed(keys)
+    tie = [F.desc(content_hash(batch, tuple(order)))]
     one = latest_by(batch.filter(full), keys, [*[F.desc_nulls_last(c) for c in order], *tie])
     return one.unionByName(batch.filter(~full))
 
@@ -98,15 +101,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 @contextmanager
-def single_writer(spark: SparkSession, lock: str):
-    """Hold a lock file, whose creation is atomic; raise if another writer has it."""
+def single_writer(spark: SparkSession, lock: str, lease_seconds: float = 900):
+    """Hold a lock file, whose creation is atomic; raise if another writer has it.
+
+    The holder touches the file again and again. A file that was not touched for ``lease_seconds`` belongs to
+    a writer that died and is taken over, by a rename that only one of several can make.
+    """
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(lock)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p) and time.time() - fs.getFileStatus(p).getModificationTime() / 1000 > lease_seconds:
+        stale = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{lock}.{uuid.uuid4().hex}")
+        if fs.rename(p, stale):
+            fs.delete(stale, False)
     if fs.exists(p) or not fs.createNewFile(p):
-        raise RuntimeError(f"another merge holds {lock}; remove it if that writer is gone")
+        raise RuntimeError(f"another merge holds {lock}")
+    ended = threading.Event()
+
+    def touch() -> None:
+        while not ended.wait(lease_seconds / 10):
+            fs.setTimes(p, int(time.time() * 1000), -1)
+
+    beat = threading.Thread(target=touch, daemon=True)
+    beat.start()
     try:
         yield
     finally:
+        ended.set()
+        beat.join()
         fs.delete(p, False)
 
 
@@ -120,8 +141,9 @@ class KeyedTable:
     the folders of the others; size ``buckets`` so that a folder holds about one task's
     work. The first merge stores keys and bucket count with the table, and a later merge
     with others is refused. Rows with a NULL key part are kept as they come, but not
-    once more when a batch is replayed; ``loose`` counts them. One writer at a time: a merge holds a lock folder and refuses
-    to start while another one does.
+    once more when a batch is replayed; ``loose`` counts them. One writer at a time: a merge holds a
+    lease and refuses to start while another one does. A batch that touches every folder rewrites them all;
+    :class:`~tallyframe.sinks.versioned.VersionedTable` writes only the batch.
     A declared ``schema`` saves reading the footers of all files to find the columns.
     """
 
@@ -157,7 +179,7 @@ class KeyedTable:
     def loose(self, spark: SparkSession) -> int:
         """Stored rows without a full key."""
         t = self.read(spark)
-        return t.filter(~_keyed(t, self.keys)).count()
+        return t.filter(~fully_keyed(self.keys)).count()
 
     def _check_layout(self, spark: SparkSession) -> None:
         """Store keys and bucket count, or compare them with the stored ones."""
@@ -171,10 +193,10 @@ class KeyedTable:
 
     def _without_replays(self, old: DataFrame, new: DataFrame) -> DataFrame:
         """New rows, but of those without a full key only the ones not stored yet."""
-        full = _keyed(new, self.keys)
+        full = fully_keyed(self.keys)
         plain = [c for c in new.columns if c in old.columns]
-        stored = old.filter(~_keyed(old, self.keys)).select(_content(old.select(*plain)).alias("_content"))
-        loose = new.filter(~full).withColumn("_content", _content(new.select(*plain)))
+        stored = old.filter(~fully_keyed(self.keys)).select(content_hash(old.select(*plain)).alias("_content"))
+        loose = new.filter(~full).withColumn("_content", content_hash(new.select(*plain)))
         return new.filter(full).unionByName(loose.join(stored, "_content", "left_anti").drop("_content"))
 
     def merge(self, batch: DataFrame) -> None:

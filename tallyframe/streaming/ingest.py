@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyframe.sinks.upsert import KeyedTable, path_exists
 from tallyframe.sources.pages import page_key_columns, with_sidecar
+from tallyframe.streaming.ledger import BatchSink
 
 
 def new_sidecars(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
@@ -34,7 +36,8 @@ def pages_of(sidecars: DataFrame, on_missing: Callable[[list[str]], None] | None
         return None
     paths = [m[: -len(".meta.json")] for m in metas]
     paths = [p if p.endswith(".json") else p + ".json" for p in paths]
-    missing = [p for p in paths if not path_exists(spark, p)]
+    with ThreadPoolExecutor(32) as pool:  # waiting for the file system, side by side
+        missing = [p for p, there in zip(paths, pool.map(lambda p: path_exists(spark, p), paths)) if not there]
     if missing:
         (on_missing or (lambda lost: warnings.warn(f"pages without a body: {lost}", stacklevel=3)))(missing)
         paths = [p for p in paths if p not in set(missing)]
@@ -62,16 +65,28 @@ def keep_latest(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     return handle
 
 
-def route(parsers: dict[str, Callable[[DataFrame], None]], endpoint: str,
-          on_drift: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
-    """Batch handler that hands each endpoint's records to its parser and the rest to ``on_drift``."""
+def deliver(sink: Callable, df: DataFrame, batch_id: int) -> None:
+    """Hand rows to a sink: one that knows batches gets the number and takes each batch once."""
+    if isinstance(sink, BatchSink):
+        sink(df, batch_id)
+    else:
+        sink(df)
 
-    def handle(batch: DataFrame, _batch_id: int) -> None:
+
+def route(parsers: dict[str, Callable], endpoint: str, on_drift: Callable) -> Callable[[DataFrame, int], None]:
+    """Batch handler that hands each endpoint's records to its parser and the rest to ``on_drift``.
+
+    A stream repeats a batch whose handler failed half-way. Parsers that append should be a
+    :class:`BatchSink`, which takes no batch twice; any other callable gets the rows again and must bear that,
+    as the keyed merges do.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
         try:
             for name, parse in parsers.items():
-                parse(held.filter(F.col(endpoint) == name))
-            on_drift(held.filter(~F.coalesce(F.col(endpoint).isin(list(parsers)), F.lit(False))))
+                deliver(parse, held.filter(F.col(endpoint) == name), batch_id)
+            deliver(on_drift, held.filter(~F.coalesce(F.col(endpoint).isin(list(parsers)), F.lit(False))), batch_id)
         finally:
             held.unpersist()
 

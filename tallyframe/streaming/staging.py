@@ -108,9 +108,12 @@ def backfill(spark: SparkSession, landing: str, staging_root: str, endpoints: li
         merge_endpoint(landed_envelopes(spark, landing, endpoint=e, **where), e, staging_root, buckets)
 
 
-def arriving(spark: SparkSession, staging_root: str, endpoints: list[str], on_drift: Callable[[DataFrame], None],
+def arriving(spark: SparkSession, staging_root: str, endpoints: list[str], on_drift: Callable,
              buckets: int = 64) -> Callable[[DataFrame, int], None]:
-    """Batch handler for the sidecar stream: pages to envelopes, each endpoint to its tables."""
+    """Batch handler for the sidecar stream: pages to envelopes, each endpoint to its tables.
+
+    A repeated batch merges the same rows again, which changes nothing, and a ``BatchSink`` for drift takes it once.
+    """
     parsers = {e: (lambda env, e=e: merge_endpoint(env, e, staging_root, buckets)) for e in endpoints}
 
     def handle(sidecars: DataFrame, batch_id: int) -> None:
@@ -120,7 +123,7 @@ def arriving(spark: SparkSession, staging_root: str, endpoints: list[str], on_dr
         held = pages.persist()
         try:
             present = {r[0] for r in held.select("endpoint").distinct().collect()}
-            on_drift(held.filter(~F.coalesce(F.col("endpoint").isin(endpoints), F.lit(False))))
+            ingest.deliver(on_drift, held.filter(~F.coalesce(F.col("endpoint").isin(endpoints), F.lit(False))), batch_id)
             env = pg.record_envelopes(held.filter(F.col("endpoint").isin(endpoints)), endpoint_config(spark)).persist()
             try:
                 for e in endpoints:
