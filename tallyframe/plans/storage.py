@@ -11,12 +11,14 @@ from tallyframe.functions.numbers import money
 from tallyframe.plans.registry import query
 from tallyframe.session import work_path
 from tallyframe.sinks import tables as sink, upsert as up
+from tallyframe.sinks.versioned import VersionedTable
 from tallyframe.sources import pages as pg
 from tallyframe.sources.calendar import calendar
 from tallyframe.sources.endpoints import endpoint_config
 from tallyframe.sources.registry import SCHEMAS, Tables
 from tallyframe.sources.seeds import seed
-from tallyframe.streaming import ingest
+from tallyframe.streaming import ingest, state
+from tallyframe.streaming.ledger import BatchSink
 
 RECORDS_PER_PAGE = 100
 
@@ -186,6 +188,36 @@ def k1_disk(t: Tables) -> DataFrame:
     return table.read(t.spark)
 
 
+KEYED_ORACLE = """
+SELECT o_orderkey, CAST(CASE WHEN o_orderstatus = 'P' THEN CAST(o_totalprice AS DECIMAL(18,2)) + 1 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DOUBLE) AS o_totalprice,
+  CASE WHEN o_orderstatus = 'P' THEN CAST(o_orderdate AS DATE) + 10 ELSE CAST(o_orderdate AS DATE) END AS synced_on{extra} FROM orders
+UNION ALL SELECT -o_orderkey - 1, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE), CAST(o_orderdate AS DATE){extra} FROM orders WHERE o_orderstatus = 'O'"""
+
+
+def versioned_orders(t: Tables) -> VersionedTable:
+    """Orders as a base with two delta runs on top, the second a replay of the first under the same number."""
+    table = VersionedTable(work_path(t.spark, "versioned"), ["o_orderkey"], ["synced_on"], buckets=8)
+    table.merge(order_target(t), "orders", 0)
+    table.compact(t.spark)
+    table.merge(order_batch(t), "orders", 1)
+    table.merge(order_batch(t), "orders", 1)
+    table.merge(order_batch(t))  # a replay without a number, told by its rows
+    return table
+
+
+@query("K1_versioned_deltas", KEYED_ORACLE.format(extra=", 2 AS live_deltas"))
+def k1_deltas(t: Tables) -> DataFrame:
+    table = versioned_orders(t)
+    return table.read(t.spark).withColumn("live_deltas", F.lit(len(table.snapshot(t.spark).deltas)))
+
+
+@query("K1_versioned_compacted", KEYED_ORACLE.format(extra=", 0 AS live_deltas"))
+def k1_compacted(t: Tables) -> DataFrame:
+    table = versioned_orders(t)
+    table.compact(t.spark)
+    return table.read(t.spark).withColumn("live_deltas", F.lit(len(table.snapshot(t.spark).deltas)))
+
+
 @query("K2_conflicting_duplicates", """
 SELECT l_orderkey, l_linenumber, count(*) AS copies,
   count(DISTINCT (l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)) AS variants
@@ -220,6 +252,19 @@ def k3(t: Tables) -> DataFrame:
     return t.spark.read.option("mergeSchema", "true").parquet(path)
 
 
+@query("K3_nested_evolution", """
+SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus AS status,
+  CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderpriority END AS priority FROM orders""")
+def k3_nested(t: Tables) -> DataFrame:
+    day, cut = F.col("o_orderdate"), F.lit("1998-01-01").cast("timestamp_ntz")
+    table = VersionedTable(work_path(t.spark, "evolving"), ["o_orderkey"], ["o_orderdate"], buckets=4)
+    # a 32-bit number and a struct of one field first, then a wider number and a field more inside the struct
+    table.merge(t.orders.filter(day < cut).select("o_orderkey", "o_orderdate", F.col("o_custkey").cast("int").alias("o_custkey"), F.struct(F.col("o_orderstatus").alias("status")).alias("head")))
+    table.merge(t.orders.filter(day >= cut).select("o_orderkey", "o_orderdate", F.col("o_custkey").cast("bigint").alias("o_custkey"),
+                                                   F.struct(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")).alias("head")))
+    return table.read(t.spark).select("o_orderkey", "o_custkey", "head.status", "head.priority")
+
+
 @query("K4_materialized_model", """
 SELECT p_brand, count(*) AS line_count, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
 FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1""")
@@ -298,6 +343,32 @@ def t2(t: Tables) -> DataFrame:
     return t.spark.read.schema("event_id bigint, sink string").parquet(out)
 
 
+@query("T2_retried_batches", """
+SELECT event_id, CASE WHEN event_type IN ('purchase', 'signup', 'view') THEN event_type ELSE 'drift' END AS sink FROM events""")
+def t2_retried(t: Tables) -> DataFrame:
+    out = work_path(t.spark, "routed-once")
+    sinks = {n: BatchSink(f"{out}/{n}") for n in [*(n for (n,) in REGISTERED_TYPES), "drift"]}
+    handler = ingest.route({n: sinks[n] for (n,) in REGISTERED_TYPES}, "event_type", sinks["drift"])
+
+    def dies_once(batch: DataFrame, batch_id: int) -> None:
+        """Handles every batch twice, as a stream does whose handler fails after its last sink."""
+        handler(batch, batch_id)
+        handler(batch, batch_id)
+
+    ingest.run_available(event_stream(t, "to-route-once", 4, 2), dies_once, work_path(t.spark, "cp"))
+    parts = [s.read(t.spark, SCHEMAS["events"]).select("event_id", F.lit(n).alias("sink")) for n, s in sinks.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("T3_state_store", """
+SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def t3_state(t: Tables) -> DataFrame:
+    table = VersionedTable(work_path(t.spark, "latest-state"), ["user_id"], ["ts", "event_id"], buckets=4)
+    arriving = event_stream(t, "to-state", 3, 1).select("user_id", "ts", "event_id", "event_type", "value")
+    state.run_latest(arriving, ["user_id"], ["ts", "event_id"], lambda df, b: table.merge(df, "latest", b), work_path(t.spark, "cp"))
+    return table.read(t.spark).select("user_id", "event_id", "event_type", "value")
+
+
 @query("T3_stateful_keep_latest", """
 SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def t3(t: Tables) -> DataFrame:
