@@ -376,8 +376,7 @@ def price_class_periods(w: Warehouse, as_of: Column | None = None) -> DataFrame:
         "tenant_id", "price_class_id", F.col("effective_on").alias("valid_from"), "valid_to")
     direct = located_orders(w).groupBy("tenant_id", "customer_id", "price_class_id", "order_date").agg(F.sum("n").alias("n")).withColumn("_pr", F.lit(1))
     evidence = direct.unionByName(signature_matches(w).withColumn("_pr", F.lit(2))).filter("order_date IS NOT NULL")
-    days = orders(w).select(F.col("order_date").alias("day"))
-    placed = lookups.validity_join(evidence, span, ["tenant_id", "price_class_id"], "order_date", "valid_from", "valid_to", days=days)
+    placed = lookups.validity_join(evidence, span, ["tenant_id", "price_class_id"], "order_date", "valid_from", "valid_to")
     key = ["tenant_id", "customer_id", "price_class_id", "valid_from", "valid_to"]
     per = placed.groupBy(*key, "_pr").agg(F.sum("n").alias("evidence_count"), F.min("order_date").alias("first_order_date_in_window"),
                                           F.max("order_date").alias("last_order_date_in_window"))

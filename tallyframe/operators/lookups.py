@@ -7,12 +7,12 @@ nested loop or an all-pairs step.
 
 from __future__ import annotations
 
-from itertools import combinations
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.functions.dates import month_index, within
 from tallyframe.functions.text import words
+from tallyframe.operators import ranges
 from tallyframe.operators.latest import latest_by
 
 
@@ -24,64 +24,52 @@ def star_lookup(facts: DataFrame, dims: list[tuple[DataFrame, Column]]) -> DataF
 
 
 def validity_join(facts: DataFrame, windows: DataFrame, keys: list[str], day: str,
-                  start: str, end: str, how: str = "inner", days: DataFrame | None = None) -> DataFrame:
+                  start: str, end: str, how: str = "inner", pairs: DataFrame | None = None) -> DataFrame:
     """Rows of ``facts`` with every window of the same key that covers ``day``.
 
-    Windows are spread over the months they cover and joined on (key, month), so a row
-    only meets windows touching its month. Open ends are clamped to the last fact day,
-    which changes nothing for the facts at hand. ``days`` may name a cheaper relation
-    whose column ``day`` spans the fact days, where the facts are costly to derive.
+    The distinct (key, day) pairs are looked up by dyadic spans (see ``ranges``), so a window makes at most
+    44 rows however long it is, and the facts meet the result by equality. ``pairs`` may name a cheaper
+    relation that has all keys and days of the facts, where these are costly to derive.
     """
-    span = facts.select(F.col(day).alias("day")) if days is None else days
-    ends = span.agg(F.struct(F.min("day").alias("lo"), F.max("day").alias("hi")).alias("b")).scalar()
-    lo = F.greatest(F.col(start), F.col("_lo"))
-    hi = F.least(F.coalesce(F.col(end), F.col("_hi")), F.col("_hi"))
-    spread = (
-        windows.select("*", ends["lo"].alias("_lo"), ends["hi"].alias("_hi"))
-        .filter(lo <= hi)
-        .withColumn("_m", F.explode(F.sequence(month_index(lo), month_index(hi))))
-        .drop("_lo", "_hi")
-    )
-    w = spread.select(*[F.col(k).alias(f"_w_{k}") for k in keys], "_m",
-                      *[c for c in spread.columns if c not in keys and c != "_m"])
-    on = F.col("_m") == month_index(day)
+    found = ranges.covering((facts if pairs is None else pairs).select(*keys, day).distinct(), windows, keys, day, start, end)
+    on = F.col(day) == F.col("_p_day")
     for k in keys:
-        on = on & (F.col(k) == F.col(f"_w_{k}"))
-    on = on & within(day, start, end)
-    return facts.join(w, on, how).drop("_m", *[f"_w_{k}" for k in keys])
+        on = on & (F.col(k) == F.col(f"_p_{k}"))
+    return facts.join(found, on, how).drop("_p_day", *[f"_p_{k}" for k in keys])
 
 
 def wildcard_lookup(facts: DataFrame, rules: DataFrame, exact: dict[str, str], optional: dict[str, str],
                     take: list[str], tie: list[Column] | None = None) -> DataFrame:
     """Attach the most specific matching rule; a NULL rule column matches anything.
 
-    ``exact`` and ``optional`` map rule columns to fact columns; earlier optional columns
-    weigh more when two rules fix the same number of them. One equi-join per set of
-    fixed columns replaces the OR-join, and nothing fans out.
+    ``exact`` and ``optional`` map rule columns to fact columns; earlier optional columns weigh more when two
+    rules fix the same number of them. Rules are told apart by their mask, the set of optional columns they
+    fix. A distinct combination of fact values asks once for each mask that occurs among the rules, all
+    in one equi-join, and keeps its best hit; the facts then meet the result by equality.
     """
-    opt = list(optional)
     tie = tie or [F.asc(c) for c in take]
-    masks = [m for n in range(len(opt), -1, -1) for m in combinations(opt, n)]
-    hits = []
-    out = facts
-    for i, mask in enumerate(masks):
-        sel = rules
-        for c in opt:
-            sel = sel.filter(F.col(c).isNotNull() if c in mask else F.col(c).isNull())
-        fixed = list(exact) + list(mask)
-        sel = latest_by(sel.select(*fixed, *take), fixed, tie)
-        sel = sel.select(*[F.col(c).alias(f"_k{i}_{c}") for c in fixed],
-                         F.struct(*take).alias(f"_hit{i}"))
-        both = {**exact, **optional}
-        on = None
-        for c in fixed:
-            term = F.col(both[c]) == F.col(f"_k{i}_{c}")
-            on = term if on is None else on & term
-        out = out.join(sel, on, "left").drop(*[f"_k{i}_{c}" for c in fixed])
-        hits.append(f"_hit{i}")
-    best = F.coalesce(*hits)
-    return out.withColumn("_best", best).select(
-        *facts.columns, *[F.col(f"_best.{c}").alias(c) for c in take])
+    opt = list(optional)
+    bits = [1 << (len(opt) - 1 - k) for k in range(len(opt))]  # earlier columns are higher bits
+    mask = reduce(lambda x, y: x + y, [F.when(F.col(c).isNotNull(), b).otherwise(0) for c, b in zip(opt, bits)], F.lit(0))
+    masked = rules.select(*exact, *opt, *[c for c in take if c not in exact and c not in opt]).withColumn("_mask", mask)
+    one = latest_by(masked, ["_mask", *exact, *opt], tie).select(
+        "_mask", *[F.col(c).alias(f"_r_{c}") for c in [*exact, *opt]], F.struct(*take).alias("_rule"))
+    masks = masked.agg(F.collect_set("_mask").alias("m")).scalar()  # 2^columns at most
+    names = {**exact, **optional}
+    asked = facts.select(*[F.col(names[c]).alias(f"_f_{c}") for c in names]).distinct()
+    asked = asked.withColumn("_asked", F.explode(masks))
+    on = F.col("_asked") == F.col("_mask")
+    for c in exact:
+        on = on & (F.col(f"_f_{c}") == F.col(f"_r_{c}"))
+    for c, b in zip(opt, bits):  # a column that the mask leaves out is NULL on both sides
+        on = on & F.when(F.col("_asked").bitwiseAND(b) != 0, F.col(f"_f_{c}")).eqNullSafe(F.col(f"_r_{c}"))
+    best = asked.join(one, on).groupBy(*[f"_f_{c}" for c in names]).agg(
+        F.max_by("_rule", F.struct(F.bit_count("_mask"), "_mask")).alias("_best"))
+    back = None
+    for c, f in names.items():
+        term = F.col(f).eqNullSafe(F.col(f"_f_{c}"))
+        back = term if back is None else back & term
+    return facts.join(best, back, "left").select(*facts.columns, *[F.col(f"_best.{c}").alias(c) for c in take])
 
 
 def either_key_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_keys: list[str], take: list[str],
@@ -116,23 +104,31 @@ def either_key_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_keys:
 def word_match(items: DataFrame, name: str, labels: DataFrame, label: str) -> DataFrame:
     """Pairs of item and label where the label occurs in the name as whole words.
 
-    The first word of the label is the equi-join key; longer labels are then checked
-    against the whole padded name.
+    The equi-join key is the label's rarest word by its count over all names, so a label that starts with
+    a common word brings no more candidates than its rarest word does; a label with a word that no
+    name has is done with there. Longer labels are then checked against the whole padded name.
     """
     pad = lambda c: F.concat(F.lit(" "), F.concat_ws(" ", c), F.lit(" "))
-    lab = labels.select(
-        *labels.columns, words(label).alias("_lw")
-    ).filter(F.size("_lw") > 0).select(*labels.columns, F.col("_lw")[0].alias("_first"), pad(F.col("_lw")).alias("_lp"))
     it = items.select(*items.columns, words(name).alias("_w")).select(
         *items.columns, pad(F.col("_w")).alias("_np"),
         F.explode(F.array_distinct("_w")).alias("_tok"))
-    return it.join(lab, (F.col("_tok") == F.col("_first")) & F.contains("_np", "_lp")).select(
+    texts = labels.select(F.col(label).alias("_label")).distinct().withColumn("_lw", words("_label")).filter(F.size("_lw") > 0)
+    often = items.select(F.explode(F.array_distinct(words(name))).alias("_word")).groupBy("_word").agg(F.count(F.lit(1)).alias("_often"))
+    asked = texts.select("_label", "_lw", F.explode(F.array_distinct("_lw")).alias("_word")).join(often, "_word", "left")
+    key = asked.groupBy("_label", "_lw").agg(
+        F.min_by("_word", F.struct("_often", "_word")).alias("_key"), F.count_if(F.col("_often").isNull()).alias("_unknown"))
+    key = key.filter("_unknown = 0").select("_label", "_key", pad(F.col("_lw")).alias("_lp"))
+    lab = labels.join(key, F.col(label) == F.col("_label")).drop("_label")
+    return it.join(lab, (F.col("_tok") == F.col("_key")) & F.contains("_np", "_lp")).select(
         *items.columns, *labels.columns)
 
 
 def band_lookup(facts: DataFrame, bands: DataFrame, value: Column, bucket: Column, band_bucket: str,
                 low: str, high: str, how: str = "left") -> DataFrame:
-    """Attach the band of the row's bucket whose closed range holds ``value``."""
+    """Attach the band of the row's bucket whose closed range holds ``value``; for few bands a bucket.
+
+    Every band of a bucket meets every row of it; ``scans.predecessor_lookup`` is for many.
+    """
     return facts.join(bands, (bucket == F.col(band_bucket)) & value.between(F.col(low), F.col(high)), how)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.functions.numbers import money, sum_money
-from tallyframe.operators import lookups
+from tallyframe.operators import lookups, scans
 from tallyframe.operators.asof import asof_join
 from tallyframe.plans import derived
 from tallyframe.plans.registry import query
@@ -219,6 +219,16 @@ def j14(t: Tables) -> DataFrame:
                                "digits", "lo", "hi").select("p_partkey", "p_size", "band")
 
 
+@query("J14_many_bands", """
+SELECT l_orderkey, l_linenumber, o_orderkey AS band_order FROM lineitem
+LEFT JOIN orders ON o_custkey % 3 = l_suppkey % 3 AND l_orderkey * 10 + l_linenumber * 2 BETWEEN o_orderkey * 10 AND o_orderkey * 10 + 8""")
+def j14_many(t: Tables) -> DataFrame:
+    """As many bands as orders in three buckets, so that every band meets every row of a third of the table if joined as such."""
+    bands = t.orders.select((F.col("o_custkey") % 3).alias("b"), (F.col("o_orderkey") * 10).alias("lo"), (F.col("o_orderkey") * 10 + 8).alias("hi"), F.col("o_orderkey").alias("band_order"))
+    facts = t.lineitem.select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 3).alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber") * 2).alias("v"))
+    return scans.predecessor_lookup(facts, bands, "k", "v", "b", "lo", "hi").select("l_orderkey", "l_linenumber", "band_order")
+
+
 # Mapping by brand and type, then by type.
 BRAND_TYPE_MAP = [("Brand#1", "PROMO", "A1"), ("Brand#2", "SMALL", "A2"), ("Brand#3", "LARGE", "A3")]
 TYPE_MAP = [("PROMO", "T1"), ("SMALL", "T2"), ("ECONOMY", "T3")]

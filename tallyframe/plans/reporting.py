@@ -223,8 +223,9 @@ SELECT tenant_id, journal_id, CAST(line_no AS BIGINT) AS line_no, side, tenant_i
 FROM gl_rated g LEFT JOIN scd s ON s.custkey = g.customer_id AND posting_date BETWEEN valid_from AND coalesce(valid_to, DATE '9999-12-31')""", uses="gl_rated scd")
 def d32(t: Tables) -> DataFrame:
     g = gl_rated(t).withColumn("custkey", F.col("customer_id"))
-    days = t.orders.select(derived.posting_date(F.col("o_orderkey")).alias("day"))
-    g = lookups.validity_join(g, derived.scd(t), ["custkey"], "posting_date", "valid_from", "valid_to", "left", days)
+    # every posting has the customer and the day of its order
+    pairs = t.orders.select(F.col("o_custkey").alias("custkey"), derived.posting_date(F.col("o_orderkey")).alias("posting_date"))
+    g = lookups.validity_join(g, derived.scd(t), ["custkey"], "posting_date", "valid_from", "valid_to", "left", pairs)
     zero = F.lit(0).cast("decimal(18,2)")
     return g.select(
         "tenant_id", "journal_id", F.col("line_no").cast("bigint").alias("line_no"), "side",

@@ -11,6 +11,7 @@ from tallyframe.functions.numbers import money
 from tallyframe.plans.registry import query
 from tallyframe.session import work_path
 from tallyframe.sinks import tables as sink, upsert as up
+from tallyframe.sinks.refresh import RefreshedModel
 from tallyframe.sinks.versioned import VersionedTable
 from tallyframe.sources import pages as pg
 from tallyframe.sources.calendar import calendar
@@ -277,6 +278,30 @@ def k4(t: Tables) -> DataFrame:
     return sink.as_view(sink.materialize(model, path), "brand_revenue")
 
 
+@query("K4_refreshed_model", """
+SELECT status, count(*) AS orders, CAST(sum(price) AS DOUBLE) AS revenue, 1 AS splits_recomputed FROM (
+  SELECT o_orderkey AS k, o_orderstatus AS status, CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS price FROM orders) GROUP BY 1""")
+def k4_refreshed(t: Tables) -> DataFrame:
+    """Revenue per status over orders split by status: one split gets a batch, and only that one is recomputed."""
+    table = VersionedTable(work_path(t.spark, "orders-by-status"), ["o_orderstatus", "o_orderkey"], ["version"], 2, ["o_orderstatus"])
+
+    def part(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("_split", F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("s"))
+
+    def finish(parts: DataFrame) -> DataFrame:
+        return parts.groupBy("status").agg(F.sum("n").alias("orders"), F.sum("s").cast("double").alias("revenue"))
+
+    model = RefreshedModel(work_path(t.spark, "revenue"), table, part, finish)
+    rows = t.orders.select("o_orderstatus", "o_orderkey", money("o_totalprice").alias("price"), F.lit(0).alias("version"))
+    table.merge(rows)
+    model.refresh(t.spark)
+    one = F.lit(1).cast("decimal(18,2)")
+    table.merge(rows.filter("o_orderstatus = 'P'").select("o_orderstatus", "o_orderkey", (F.col("price") + one).cast("decimal(18,2)").alias("price"), F.lit(1).alias("version")))
+    table.compact(t.spark)
+    recomputed = model.refresh(t.spark)
+    return model.read(t.spark).withColumn("splits_recomputed", F.lit(len(recomputed)))
+
+
 @query("K5_append_snapshots", """
 SELECT event_type || '|' || strftime(ts, '%Y-%m-%d') AS record_id, count(*) AS event_count,
   CASE WHEN CAST(ts AS DATE) < DATE '2024-01-16' THEN 'first' ELSE 'second' END AS run FROM events GROUP BY 1, 3""")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyframe.operators import intervals
+from tallyframe.functions.numbers import money
+from tallyframe.operators import intervals, scans
 from tallyframe.operators.latest import attach_group, latest_by, latest_flag
 from tallyframe.operators.lookups import word_match
 from tallyframe.plans import derived
@@ -66,6 +67,23 @@ def w6(t: Tables) -> DataFrame:
     return intervals.island_ids(derived.win(t), ["custkey"], "d_from", "d_to").select("custkey", "d_from", "island_id")
 
 
+@query("W5_running_max_of_moments", """
+SELECT event_type, ts, max(value) OVER (PARTITION BY event_type ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS highest_before
+FROM (SELECT event_type, ts, max(value) AS value FROM events GROUP BY 1, 2)""")
+def w5_moments(t: Tables) -> DataFrame:
+    # a handful of keys with a moment per event: nothing bounds a key by the calendar
+    at = t.events.groupBy("event_type", "ts").agg(F.max("value").alias("value"))
+    return scans.running(at, ["event_type"], "ts", {"highest_before": ("max", "value")}, before=True).drop("value")
+
+
+@query("W6_running_sum_of_moments", """
+SELECT event_id, event_type, ts, CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY event_type ORDER BY ts) AS DOUBLE) AS running_value FROM events""")
+def w6_moments(t: Tables) -> DataFrame:
+    events = t.events.select("event_id", "event_type", "ts", money("value").alias("v"))
+    out = scans.running_sum(events, ["event_type"], "ts", "v", "s")
+    return out.select("event_id", "event_type", "ts", F.col("s").cast("double").alias("running_value"))
+
+
 @query("W7_count_over_partition", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, count(*) OVER (PARTITION BY l_orderkey) AS lines_in_order FROM lineitem""")
 def w7(t: Tables) -> DataFrame:

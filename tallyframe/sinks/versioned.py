@@ -2,7 +2,7 @@
 
 A table is a folder of *runs*, written once and never changed, and of numbered *snapshots*, small
 JSON files that list what is live: for every folder (split and bucket) the run that holds its base,
-the delta runs on top, the columns, and the last batch of each writer. A merge collapses its batch,
+the delta runs on top, the columns, the last batch of each writer and the last merge into each folder. A merge collapses its batch,
 writes it as one delta run and adds a snapshot. ``read`` takes the newest snapshot: folders without
 deltas are read as they are, in the others the latest row of a key wins, as in
 :func:`tallyframe.sinks.upsert.upsert`. ``compact`` rewrites only folders that have deltas.
@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -65,6 +66,7 @@ class Snapshot:
     base: dict[str, str] = field(default_factory=dict)
     deltas: list[dict] = field(default_factory=list)
     applied: dict[str, int] = field(default_factory=dict)
+    changed: dict[str, int] = field(default_factory=dict)
 
     @property
     def schema(self) -> StructType:
@@ -186,6 +188,25 @@ class VersionedTable:
             out = out.unionByName(self._current(spark, snap, touched))
         return out.drop(*_PLACE)
 
+    @staticmethod
+    def _split_of(folder: str) -> str:
+        return unquote(folder.split("/")[0].removeprefix("_split="))
+
+    def changed_splits(self, spark: SparkSession, since: int | None, until: int) -> list[str]:
+        """Splits that a merge after snapshot ``since`` touched; all for no first one. Compaction changes nothing."""
+        changed = self.snapshot(spark, until).changed
+        return sorted({self._split_of(f) for f, n in changed.items() if n > (since or 0)})
+
+    def read_splits(self, spark: SparkSession, splits: list[str], number: int | None = None) -> DataFrame:
+        """The rows of some splits, with ``_split``; no other folder is opened."""
+        snap = self.snapshot(spark, number)
+        wanted = {f for f in {*snap.base, *[f for d in snap.deltas for f in d["folders"]]} if self._split_of(f) in set(splits)}
+        touched = {f for d in snap.deltas for f in d["folders"]} & wanted
+        out = self._files(spark, snap, {f: r for f, r in snap.base.items() if f in wanted and f not in touched})
+        if touched:
+            out = out.unionByName(self._current(spark, snap, touched))
+        return out.drop(*[c for c in _PLACE if c != "_split"])
+
     # ------------------------------------------------------------ writers
     def merge(self, batch: DataFrame, writer: str | None = None, batch_id: int | None = None, compact_after: int | None = None) -> bool:
         """Add a batch as one delta run; False if this writer's batch was merged before.
@@ -206,7 +227,8 @@ class VersionedTable:
             columns = wider(snap.schema, batch.schema) if snap.columns else batch.schema
             applied = snap.applied | ({writer: batch_id} if writer is not None else {})
             deltas = [*snap.deltas, {"run": run, "folders": folders}] if folders else snap.deltas
-            if self._commit(spark, Snapshot(snap.number + 1, self._own_layout(), json.loads(columns.json()), snap.base, deltas, applied)):
+            changed = snap.changed | dict.fromkeys(folders, snap.number + 1)
+            if self._commit(spark, Snapshot(snap.number + 1, self._own_layout(), json.loads(columns.json()), snap.base, deltas, applied, changed)):
                 break
             snap = self.snapshot(spark)
             if self._done(snap, writer, batch_id):
@@ -237,7 +259,7 @@ class VersionedTable:
                 return 0
             base = {f: r for f, r in now.base.items() if f not in touched} | dict.fromkeys(written, run)
             left = [d for d in now.deltas if d["run"] not in done]
-            if self._commit(spark, Snapshot(now.number + 1, now.layout, now.columns, base, left, now.applied)):
+            if self._commit(spark, Snapshot(now.number + 1, now.layout, now.columns, base, left, now.applied, now.changed)):
                 return len(written)
             now = self.snapshot(spark)
 

@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyframe.operators.digests import missing_keys
 from tallyframe.sinks.upsert import KeyedTable, path_exists
 from tallyframe.sources.pages import page_key_columns, with_sidecar
 from tallyframe.streaming.ledger import BatchSink
@@ -126,5 +127,5 @@ def business_between(keys: list[Column], start: Column | None, end: Column | Non
 
 
 def deleted_keys(table: DataFrame, reread: DataFrame, keys: list[str], inside: Column) -> DataFrame:
-    """Keys of the re-read window that a full read of it no longer returns."""
-    return table.filter(inside).join(reread.select(*keys), keys, "left_anti")
+    """Rows of the re-read window whose keys a full read of it no longer returns; see ``digests.missing_keys``."""
+    return missing_keys(table.filter(inside), reread, keys)
