@@ -46,7 +46,8 @@ from tallyframe.llm.textvec import GOLDEN, Words, mix, multiset, unit
 SIMILARITY = 0.8
 BANDS, ROWS = 48, 8
 MARGIN_SIGMAS = 4
-BLOCK = 500  # members of a bucket that are compared at a time
+SKETCH_BITS = 18
+SKETCH = 1 << SKETCH_BITS
 
 
 def signatures(h: np.ndarray, row: np.ndarray, weight: np.ndarray, rows: int, size: int) -> np.ndarray:
@@ -127,7 +128,7 @@ def _signed(docs: DataFrame, bands: int, width: int) -> DataFrame:
 
 
 def _entries(signed: DataFrame, bands: int) -> DataFrame:
-    """``bucket``, ``band``, ``a`` of buckets that may hold several texts (a bitmap of fixed size drops most others)."""
+    """``bucket``, ``a`` of buckets that may hold several texts (a bitmap of fixed size drops most others)."""
     names = signed.select(F.explode("buckets").alias("name")).groupBy("name").agg(F.count("*").alias("c")).where("c > 1")
     bitmap = bitmap_of(names)
 
@@ -136,9 +137,9 @@ def _entries(signed: DataFrame, bands: int) -> DataFrame:
             flat = batch.column("buckets").flatten().to_numpy()
             keep = np.flatnonzero(held(bitmap, flat.view(np.uint64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[keep]), pa.array((keep % bands).astype(np.int32)), batch.column("doc_id").take(pa.array(keep // bands))], names=["bucket", "band", "a"])
+                [pa.array(flat[keep]), batch.column("doc_id").take(pa.array(keep // bands))], names=["bucket", "a"])
 
-    return signed.select("doc_id", "buckets").mapInArrow(fn, "bucket bigint, band int, a bigint")
+    return signed.select("doc_id", "buckets").mapInArrow(fn, "bucket bigint, a bigint")
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -206,57 +207,107 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     return out.groupBy("doc_id").agg(F.min("class_id").alias("class_id")).unionByName(wordless.distinct())
 
 
+def _sketch(packed: DataFrame) -> np.ndarray:
+    """How often elements fall into each of ``SKETCH`` slots: a table of fixed size that only orders elements."""
+
+    def fn(batches):
+        seen = np.zeros(SKETCH, np.int64)
+        for batch in batches:
+            for _, _, _, h in _elements(batch):
+                seen += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=SKETCH)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["slot", "n"])
+
+    counts = packed.mapInArrow(fn, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(SKETCH, np.uint32)
+    out[counts.column("slot").to_numpy()] = np.minimum(counts.column("n").to_numpy(), 0xFFFFFFFF)
+    return out
+
+
+def _elements(batch):
+    """``a``, ``root``, rows and hashes of the elements (shingle, how many before it in the text) of packed texts, a few texts at a time."""
+    unpress = zstandard.ZstdDecompressor()
+    for k in range(0, len(batch), 64):
+        part = batch.slice(k, 64)
+        words = Words(pa.array([unpress.decompress(v).decode() for v in part.column("packed").to_pylist()], pa.large_string()))
+        h, row, _ = words.shingles()
+        order = np.lexsort((h, row))
+        h, row = h[order], row[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+        at = np.flatnonzero(new)
+        turn = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
+        yield part.column("a"), part.column("root"), row, mix(h + turn.astype(np.uint64) * GOLDEN)
+
+
+def _prefixes(packed: DataFrame, similarity: float) -> DataFrame:
+    """``key``, ``a``, ``root``, ``size`` and ``short`` of the rarest elements of each text.
+
+    Two sets of similarity s or more share an element among the rarest ``n - ceil(s n) + 1`` of the larger
+    one and the rarest ``m - ceil(2 s / (1 + s) m) + 1`` (``short``) of the smaller one, in any common order.
+    """
+    order_by = _sketch(packed)
+
+    def fn(batches):
+        for batch in batches:
+            for a, root, row, h in _elements(batch):
+                if not len(h):
+                    continue
+                order = np.lexsort((h, order_by[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], row))
+                h, row = h[order], row[order]
+                size = np.bincount(row)
+                place = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
+                least = [np.ceil(share * size - 1e-9).astype(np.int64)[row] for share in (similarity, 2 * similarity / (1 + similarity))]
+                n = size[row]
+                keep = place <= n - least[0]
+                same = pa.array(row[keep])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[keep].view(np.int64)), a.take(same), root.take(same), pa.array(n[keep]), pa.array((place <= n - least[1])[keep])],
+                    names=["key", "a", "root", "size", "short"])
+
+    return packed.mapInArrow(fn, "key bigint, a bigint, root bigint, size bigint, short boolean")
+
+
+def _agreeing(pairs: DataFrame, signed: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Pairs whose signatures do not rule the similarity out, and whether they are ``likely``."""
+    least = (similarity - MARGIN_SIGMAS * (similarity * (1 - similarity) / size) ** 0.5) * size
+    marks = signed.select("doc_id", "marks").groupBy("doc_id").agg(F.min("marks").alias("marks"), F.count("*").alias("n"))
+    a, b = (marks.select(F.col("doc_id").alias(c), F.col("marks").alias(f"{c}_marks"), F.col("n").alias(f"{c}_n")) for c in "ab")
+
+    def fn(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(f"{c}_marks").to_pylist()), np.uint8).reshape(len(batch), size) for c in "ab")
+            agree = (x == y).sum(1)
+            # a document with several texts has several signatures: its pairs are checked in any case
+            several = (batch.column("a_n").to_numpy() > 1) | (batch.column("b_n").to_numpy() > 1)
+            keep = pa.array((agree >= least) | several)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array((agree >= similarity * size) | several).filter(keep)], names=["a", "b", "likely"])
+
+    return pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "a_marks", "b_marks", "a_n", "b_n").mapInArrow(fn, "a bigint, b bigint, likely boolean")
+
+
 def _rest(docs: DataFrame, signed: DataFrame, entries: DataFrame, shared: DataFrame, tried: DataFrame,
           member: DataFrame, similarity: float, bands: int, width: int) -> DataFrame:
-    """Links between members of one bucket that are still in different components.
+    """Links between documents that share a bucket with a member of another component.
 
-    Members outside a bucket's largest component are held against all members of other
-    components, block by block inside tasks: their signatures are compared (one byte per
-    component) and only pairs that may reach the similarity leave the task, each from the first
-    bucket it shares (by the bucket numbers, as marks may agree in a band that is not shared). A true link is missed with the chance of a signature that is
-    ``MARGIN_SIGMAS`` standard deviations off.
+    These documents are joined on their rarest elements (see ``_prefixes``), which every near
+    duplicate shares and which unlike members of a bucket do not, so a bucket of n unlike texts makes
+    no n^2 rows. Pairs that their signatures rule out (chance of a signature that is
+    ``MARGIN_SIGMAS`` standard deviations off) are not verified.
     """
     inside = entries.join(shared.select("bucket").hint("merge"), "bucket", "left_semi").join(
-        member.select(F.col("node").alias("a"), "root"), "a", "left").select("bucket", "band", "a", F.coalesce("root", "a").alias("root"))
-    sizes = inside.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("n")) \
-        .where("roots > 1").select("bucket", F.col("main.root").alias("main"), "n")
-    mixed = inside.join(main, "bucket")
-    marks = signed.select(F.col("doc_id").alias("a"), "marks", "buckets").join(mixed.select("a").distinct(), "a", "left_semi").dropDuplicates(["a"])
-    mixed = stored(mixed.join(marks, "a").select(
-        "bucket", "band", "a", "root", "marks", "buckets", (F.col("root") == F.col("main")).alias("main"),
-        F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / BLOCK)).alias("block")), "mixed")
-    rows = F.collect_list(F.struct("a", "root", "marks", "buckets", "main"))
-    few = mixed.where("not main").groupBy("bucket", "band", "block").agg(rows.alias("few"))
-    every = mixed.groupBy("bucket", "block").agg(rows.alias("every")).drop("block")
-    least = (similarity - MARGIN_SIGMAS * (similarity * (1 - similarity) / (bands * width)) ** 0.5) * bands * width
-
-    def columns(block) -> tuple[np.ndarray, ...]:
-        s = block.values
-        marks = np.frombuffer(b"".join(s.field("marks").to_pylist()), np.uint8).reshape(len(s), -1)
-        buckets = s.field("buckets").flatten().to_numpy().reshape(len(s), bands)
-        return s.field("a").to_numpy(), s.field("root").to_numpy(), s.field("main").to_numpy(zero_copy_only=False), marks, buckets
-
-    def compare(batches):
-        for batch in batches:
-            band = batch.column("band").to_numpy()
-            for k in range(len(batch)):
-                a, a_root, _, a_marks, a_buckets = columns(batch.column("few")[k])
-                b, b_root, b_main, b_marks, b_buckets = columns(batch.column("every")[k])
-                for i in range(len(a)):
-                    j = np.flatnonzero((b_root != a_root[i]) & (b_main | (a[i] < b)))
-                    agree = (a_marks[i] == b_marks[j]).sum(1)
-                    near = agree >= least
-                    j, agree = j[near], agree[near]
-                    first = ~(a_buckets[i, :band[k]] == b_buckets[j, :band[k]]).any(1)
-                    j, agree = j[first], agree[first]
-                    if len(j):
-                        x = np.full(len(j), a[i])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.maximum(x, b[j])), pa.array(np.minimum(x, b[j])), pa.array(agree >= similarity * bands * width)], names=["a", "b", "likely"])
-
-    pairs = few.join(every.hint("merge"), "bucket").select("band", "few", "every").mapInArrow(compare, "a bigint, b bigint, likely boolean")
-    pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        member.select(F.col("node").alias("a"), "root"), "a", "left").select("bucket", "a", F.coalesce("root", "a").alias("root"))
+    mixed = inside.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
+    members = stored(inside.join(mixed.hint("merge"), "bucket", "left_semi").select("a", "root").distinct(), "mixed")
+    packed = stored(_packed(texts(docs)).withColumnRenamed("doc_id", "a").join(members.hint("merge"), "a").select("a", "root", "packed"), "mixed-texts")
+    rare = stored(_prefixes(packed, similarity), "rare-elements")
+    short = rare.where("short").select("key", F.col("a").alias("b"), F.col("root").alias("b_root"), F.col("size").alias("b_size"))
+    met = rare.join(short.hint("merge"), "key").where(
+        (F.col("root") != F.col("b_root")) & (F.col("b_size") <= F.col("size")) & (F.col("b_size") >= F.col("size") * similarity - 1e-6))
+    pairs = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    pairs = stored(_agreeing(pairs, signed, similarity, bands * width), "pairs")
     if pairs.isEmpty():
         return pairs.select("a", "b")
     # likely pairs first; of the others only those that these have not brought into one component
