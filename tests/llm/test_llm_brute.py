@@ -53,8 +53,11 @@ def families(prose, seed):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_bagminhash_classes_equal_all_pairs(documents, prose, seed):
+@pytest.mark.parametrize("seed, cell, many", [(1, 4 << 20, 16), (2, 2000, 16), (1, 2000, 1)])
+def test_bagminhash_classes_equal_all_pairs(documents, prose, monkeypatch, seed, cell, many):
+    """Groups in one cell, in several blocks, and too large for blocks."""
+    monkeypatch.setattr(bagminhash, "CELL_BYTES", cell)
+    monkeypatch.setattr(bagminhash, "MANY_BLOCKS", many)
     rows = ODD + families(prose, seed)
     got = {r["doc_id"]: r["class_id"] for r in bagminhash.classes(documents(rows, extra=True).repartition(3)).collect()}
     bags = [(i, shingles(t)) for i, t in rows if i is not None]
@@ -67,18 +70,26 @@ def test_bagminhash_classes_equal_all_pairs(documents, prose, seed):
     assert len(set(got.values())) < len(got) - 30
 
 
-def test_unlike_members_of_a_bucket_make_no_pairs(documents, prose, monkeypatch):
-    """300 texts in one bucket, none similar to another: no pair is looked at but those with the first."""
+@pytest.mark.parametrize("many", [16, 0])
+def test_unlike_members_of_a_bucket_make_no_pairs(documents, prose, monkeypatch, many):
+    """300 texts in one bucket, none similar to another: hardly a pair is looked at but those with the first."""
+    monkeypatch.setattr(bagminhash, "MANY_BLOCKS", many)
     base = prose(100, 3)
     rng = np.random.default_rng(0)
     docs = documents([(k, edited(base, rng, 0.06)) for k in range(300)])
     seen = []
-    real = bagminhash._agreeing
+    real, rest = bagminhash._agreeing, bagminhash._rest
     monkeypatch.setattr(bagminhash, "_agreeing", lambda pairs, *a: seen.append(pairs.count()) or real(pairs, *a))
+    monkeypatch.setattr(bagminhash, "_rest", lambda *a: kept(rest(*a), seen))
     bagminhash.classes(docs).count()
     assert sum(seen) < 2000
 
 
+def kept(df, counts):
+    counts.append(df.count())
+    return df
+
+
 def similar_texts(x, y):
     """Whether two lists of tokens have similar passages, by the exact check on whole texts."""
     return bool(compact_windows.segments(x, y))

@@ -246,6 +246,28 @@ def test_quality_scores(labelled):
     assert pairwise_rank.scored(docs.limit(0), none).count() == 0
 
 
+def test_toxicity_of_several_words(spark, documents, prose):
+    """Insults spelled with blanks, and insults of two words neither of which is one; with a word between them, too."""
+    rows, labels = [], []
+    for k in range(300):
+        words = prose(70 + k % 30, 7000 + k).split()
+        toxic = k % 3 == 0
+        insert = {0: "scumbag", 1: "worthless", 2: "rotten turnip"}[k // 3 % 3] if toxic else ("rotten", "turnip", "fresh turnip", "rotten apple", "a b c")[k % 5]
+        rows.append((k, " ".join([*words[:20], insert, *words[20:]])))
+        labels.append((k, 1, int(toxic)))
+    plain = prose(60, 1).split()
+    probes = {1000: "s c u m b a g", 1001: "W O R T H L E S S,", 1002: "rotten turnip", 1003: "rotten old turnip", 1004: "scum-bag", 1005: "x y z w", 1006: "rotten day turnip soup", 1007: "fresh"}
+    rows += [(k, " ".join([*plain[:30], v, *plain[30:]])) for k, v in probes.items()]
+    docs, labels = documents(rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = toxicity.learn(docs, labels)
+    assert any(" " in m for m in model["landmarks"])
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, model).collect()}
+    assert all(got[k] >= 0.5 for k in (1000, 1001, 1002, 1003)) and max(got[k] for k in (1005, 1007)) < 0.5
+    assert got[1004] > 2 * got[1005]
+    truth = [(k, got[k] >= 0.5) for k in range(300) if zlib.crc32(str(k).encode()) % 5 == 0]
+    assert sum((k % 3 == 0) == hit for k, hit in truth) >= 0.95 * len(truth)
+
+
 def test_toxicity_scores(labelled):
     docs, labels, truth = labelled
     got = toxicity.scored(docs, toxicity.learn(docs, labels)).collect()
