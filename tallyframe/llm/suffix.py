@@ -84,12 +84,15 @@ class Names:
 
 
 def grams(data: np.ndarray, width: int = GRAM) -> np.ndarray:
-    """Hash of the gram at every position (those that run over the end are never used)."""
-    h, n = _TABLES[0][data], 1
-    while n < width:
-        h = np.concatenate([mix(h[:-n] * GOLDEN + h[n:]), np.zeros(min(n, len(h)), np.uint64)])[:len(data)]
-        n *= 2
-    return h
+    """Hash of the gram at every position, from prefix sums (those that run over the end are never used)."""
+    bits = max(16, int(len(data) + 1).bit_length())
+    out = np.zeros(len(data), np.uint64)
+    count = len(data) - width + 1
+    if count > 0:
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_TABLES[0][data] * _powers(BASES[0], bits)[:len(data)], out=sums[1:])
+        out[:count] = mix((sums[width:] - sums[:count]) * _powers(pow(BASES[0], -1, 1 << 64), bits)[:count])
+    return out
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -99,7 +102,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return none, none, none, none.astype(np.uint64)
     h = grams(data)
     bits = np.uint64(max(20, int(len(data)).bit_length()))
-    low = mix(h + GOLDEN) >> bits << bits | np.arange(len(data), dtype=np.uint64)
+    low = h * GOLDEN >> bits << bits | np.arange(len(data), dtype=np.uint64)
     window, n = LENGTH - GRAM + 1, 1
     while 2 * n <= window:
         low = np.minimum(low[:-n], low[n:])
@@ -107,10 +110,9 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if window > n:
         low = np.minimum(low[:-(window - n)], low[window - n:])
     at = (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    start = np.arange(len(at))
-    row = np.searchsorted(offsets, start, side="right") - 1
-    inside = start + LENGTH <= offsets[row + 1]
-    start, at, row = start[inside], at[inside], row[inside]
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(at)]
+    start = np.flatnonzero(np.arange(LENGTH, len(at) + LENGTH) <= offsets[1:][row])
+    at, row = at[start], row[start]
     new = np.ones(len(start), bool)
     new[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
