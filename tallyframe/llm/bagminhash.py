@@ -40,12 +40,14 @@ from pyspark.sql import DataFrame, functions as F
 from tallyframe.llm.components import components
 from tallyframe.llm.features import map_texts
 from tallyframe.llm.rows import boxed, stored, texts
-from tallyframe.llm.suffix import bitmap_of, held
+from tallyframe.llm.suffix import among, bitmap_of, held
 from tallyframe.llm.textvec import GOLDEN, Words, mix, multiset, unit
 
 SIMILARITY = 0.8
 BANDS, ROWS = 48, 8
 MARGIN_SIGMAS = 4
+CELL_BYTES = 2 << 20  # of packed text that are compared with each other in one task
+MANY_BLOCKS = 16
 SKETCH_BITS = 18
 SKETCH = 1 << SKETCH_BITS
 
@@ -165,7 +167,7 @@ def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
 def verified(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The ``pairs(a, b)`` whose texts are near duplicates; texts travel compressed."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    packed = stored(_packed(texts(docs)).join(ids.hint("merge"), "doc_id", "left_semi"), "pair-texts")
+    packed = stored(_packed(among(texts(docs), ids, "doc_id")).join(ids.hint("merge"), "doc_id", "left_semi"), "pair-texts")
     a, b = (packed.select(F.col("doc_id").alias(c), F.col("packed").alias(f"{c}_text")) for c in "ab")
 
     def check(batches):
@@ -288,26 +290,152 @@ def _agreeing(pairs: DataFrame, signed: DataFrame, similarity: float, size: int)
     return pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "a_marks", "b_marks", "a_n", "b_n").mapInArrow(fn, "a bigint, b bigint, likely boolean")
 
 
+def _sets(packed: list[bytes]) -> list[np.ndarray]:
+    """Sorted elements of packed texts, read a megabyte of text at a time."""
+    unpress = zstandard.ZstdDecompressor()
+    out: list[np.ndarray] = []
+    texts_of: list[str] = []
+    size = 0
+    for k, v in enumerate(packed):
+        texts_of.append(unpress.decompress(v).decode())
+        size += len(texts_of[-1])
+        if size < 1 << 20 and k + 1 < len(packed):
+            continue
+        words = Words(pa.array(texts_of, pa.large_string()))
+        h, row, _ = words.shingles()
+        order = np.lexsort((h, row))
+        h, row = h[order], row[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+        at = np.flatnonzero(new)
+        turn = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
+        h = mix(h + turn.astype(np.uint64) * GOLDEN)
+        out += [np.sort(x) for x in np.split(h, np.cumsum(np.bincount(row, minlength=words.rows))[:-1])]
+        texts_of, size = [], 0
+    return out
+
+
+def _cell_links(root: np.ndarray, block: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Near duplicates among the texts of a cell, as many as join what belongs together; ``root`` tells known components.
+
+    Texts are joined on their rarest elements (see ``_prefixes``), counted within the cell. Pairs that are in one
+    component by now are passed over. With two blocks, pairs inside a block belong to another cell.
+    """
+    component = np.unique(root, return_inverse=True)[1]
+    size = np.array([len(x) for x in sets], np.int64)
+    count = len(sets)
+    across = block[0] != block[-1]
+    found: list[tuple[int, int]] = []
+
+    def check(i: int, others: np.ndarray) -> None:
+        for j in others.tolist():
+            if component[i] != component[j] and size[i] and size[j]:
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if common >= similarity * (size[i] + size[j] - common) - 1e-9:
+                    found.append((i, j))
+                    component[component == component[j]] = component[i]
+
+    if count <= 8:
+        for i in range(1, count):
+            check(i, np.flatnonzero(block[:i] != block[i]) if across else np.arange(i))
+        return found
+    owner = np.repeat(np.arange(count), size)
+    element = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    often = np.bincount(element)
+    order = np.lexsort((element, often[element], owner))
+    element = element[order]
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+    long, short = (place <= size[owner] - np.ceil(share * size - 1e-9).astype(np.int64)[owner] for share in (similarity, 2 * similarity / (1 + similarity)))
+    several = often[element] > 1
+    listed, asking = np.flatnonzero(short & several), np.flatnonzero(long & several)
+    listed = listed[np.argsort(element[listed], kind="stable")]
+    keys, holder = element[listed], owner[listed]
+    low, high = np.searchsorted(keys, element[asking]), np.searchsorted(keys, element[asking], side="right")
+    first = np.searchsorted(owner[asking], np.arange(count + 1))
+    for i in range(count):
+        spans = range(first[i], first[i + 1])
+        if not len(spans):
+            continue
+        met, times = np.unique(np.concatenate([holder[low[k]:high[k]] for k in spans]), return_counts=True)
+        fit = (size[met] <= size[i]) & (size[met] >= similarity * size[i] - 1e-9) & (component[met] != component[i])
+        if across:
+            fit &= block[met] != block[i]
+        check(i, met[fit][np.argsort(-times[fit], kind="stable")])
+    return found
+
+
+def _in_cells(rows: DataFrame, similarity: float) -> DataFrame:
+    """Links from ``group, blocks, a, root, packed``: each text travels once to its group, or once per block of a large one."""
+    own = F.pmod(F.xxhash64("a", "packed"), F.col("blocks"))
+    cells = rows.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).select(
+        "group", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "a", "root", "packed")
+    cells = cells.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y", "own", "a")
+
+    def fn(batches):
+        held: list[tuple] = []
+        size = 0
+
+        def done():
+            group, x, y, block, a, root, packed = zip(*held)
+            sets = _sets(list(packed))
+            cell = list(zip(group, x, y))
+            cuts = [0, *[k for k in range(1, len(cell)) if cell[k] != cell[k - 1]], len(cell)]
+            for s, e in zip(cuts[:-1], cuts[1:]):
+                for i, j in _cell_links(np.array(root[s:e]), np.array(block[s:e]), sets[s:e], similarity):
+                    yield max(a[s + i], a[s + j]), min(a[s + i], a[s + j])
+
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for row in zip(*[batch.column(c).to_pylist() for c in ("group", "x", "y", "own", "a", "root", "packed")]):
+                if size > CELL_BYTES // 16 and row[:3] != held[-1][:3]:  # small cells are read together
+                    out += done()
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[-1])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out)], names=["a", "b"])
+        if held and (out := list(done())):
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out)], names=["a", "b"])
+
+    return cells.mapInArrow(fn, "a bigint, b bigint").distinct()
+
+
 def _rest(docs: DataFrame, signed: DataFrame, entries: DataFrame, shared: DataFrame, tried: DataFrame,
           member: DataFrame, similarity: float, bands: int, width: int) -> DataFrame:
     """Links between documents that share a bucket with a member of another component.
 
-    These documents are joined on their rarest elements (see ``_prefixes``), which every near
-    duplicate shares and which unlike members of a bucket do not, so a bucket of n unlike texts makes
-    no n^2 rows. Pairs that their signatures rule out (chance of a signature that is
-    ``MARGIN_SIGMAS`` standard deviations off) are not verified.
+    These documents form groups, connected by such buckets. The texts of a group are sent to one task, or in
+    blocks of ``CELL_BYTES`` to one per two blocks, which returns links that join what belongs together and
+    no other pairs. Groups of more than ``MANY_BLOCKS`` blocks go through a join on rarest elements instead.
     """
-    inside = entries.join(shared.select("bucket").hint("merge"), "bucket", "left_semi").join(
-        member.select(F.col("node").alias("a"), "root"), "a", "left").select("bucket", "a", F.coalesce("root", "a").alias("root"))
+    inside = entries.join(shared.hint("merge"), "bucket").join(
+        member.select(F.col("node").alias("a"), "root"), "a", "left").select("bucket", "b", "a", F.coalesce("root", "a").alias("root"))
     mixed = inside.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("bucket")
-    members = stored(inside.join(mixed.hint("merge"), "bucket", "left_semi").select("a", "root").distinct(), "mixed")
-    packed = stored(_packed(texts(docs)).withColumnRenamed("doc_id", "a").join(members.hint("merge"), "a").select("a", "root", "packed"), "mixed-texts")
+    inside = stored(inside.join(mixed.hint("merge"), "bucket", "left_semi"), "mixed-buckets")
+    groups = components(inside.where("a <> b").select("a", "b").distinct()).select(F.col("node").alias("a"), F.col("root").alias("group"))
+    members = stored(inside.select("a", "root").distinct().join(groups, "a"), "mixed")
+    packed = stored(_packed(among(texts(docs), members.select("a").distinct(), "doc_id")).withColumnRenamed("doc_id", "a").join(members.hint("merge"), "a").select("group", "a", "root", "packed"), "mixed-texts")
+    total = packed.groupBy("group").agg(F.ceil(F.sum(F.octet_length("packed")) / CELL_BYTES).alias("blocks"))
+    sized = packed.join(total.hint("merge"), "group")
+    found = stored(_in_cells(sized.where(F.col("blocks") <= MANY_BLOCKS), similarity), "links")
+    packed = sized.where(F.col("blocks") > MANY_BLOCKS).select("a", "root", "packed")
+    if packed.isEmpty():
+        return found
+    return found.unionByName(_by_rarest(docs, signed, packed, tried, member, similarity, bands * width))
+
+
+def _by_rarest(docs: DataFrame, signed: DataFrame, packed: DataFrame, tried: DataFrame, member: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Links between the packed texts of different components that share a rare element, whatever the size of their group.
+
+    Pairs that their signatures rule out (chance of a signature that is ``MARGIN_SIGMAS`` standard deviations
+    off) are not verified.
+    """
     rare = stored(_prefixes(packed, similarity), "rare-elements")
     short = rare.where("short").select("key", F.col("a").alias("b"), F.col("root").alias("b_root"), F.col("size").alias("b_size"))
     met = rare.join(short.hint("merge"), "key").where(
         (F.col("root") != F.col("b_root")) & (F.col("b_size") <= F.col("size")) & (F.col("b_size") >= F.col("size") * similarity - 1e-6))
     pairs = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    pairs = stored(_agreeing(pairs, signed, similarity, bands * width), "pairs")
+    pairs = stored(_agreeing(pairs, signed, similarity, size), "pairs")
     if pairs.isEmpty():
         return pairs.select("a", "b")
     # likely pairs first; of the others only those that these have not brought into one component

@@ -146,6 +146,20 @@ def bitmap_of(names: DataFrame) -> np.ndarray:
     return out
 
 
+def among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` may be in the one column of ``ids``.
+
+    A bitmap of fixed size tells, so that most other rows need not be packed and shuffled for an exact join.
+    """
+    bitmap = bitmap_of(ids.toDF("name").where("name is not null"))
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(held(bitmap, batch.column(key).fill_null(0).to_numpy().view(np.uint64))))
+
+    return rows.mapInArrow(fn, rows.schema)
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with ``n``, the document's place (its id if ids are unique and present), and one row per place."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
