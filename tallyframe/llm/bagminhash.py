@@ -46,8 +46,8 @@ from tallyframe.llm.textvec import GOLDEN, Words, mix, multiset, unit
 SIMILARITY = 0.8
 BANDS, ROWS = 48, 8
 MARGIN_SIGMAS = 4
-CELL_BYTES = 2 << 20  # of packed text that are compared with each other in one task
-MANY_BLOCKS = 16
+CELL_BYTES = 512 << 10  # of packed text that are compared with each other in one task
+MANY_BLOCKS = 32
 SKETCH_BITS = 18
 SKETCH = 1 << SKETCH_BITS
 
@@ -226,20 +226,25 @@ def _sketch(packed: DataFrame) -> np.ndarray:
     return out
 
 
+def _occurring(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every element: a shingle and how many of it the text has before."""
+    h, row, _ = words.shingles()
+    order = np.lexsort((h, row))
+    h, row = h[order], row[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    at = np.flatnonzero(new)
+    turn = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
+    return row, mix(h + turn.astype(np.uint64) * GOLDEN)
+
+
 def _elements(batch):
     """``a``, ``root``, rows and hashes of the elements (shingle, how many before it in the text) of packed texts, a few texts at a time."""
     unpress = zstandard.ZstdDecompressor()
     for k in range(0, len(batch), 64):
         part = batch.slice(k, 64)
-        words = Words(pa.array([unpress.decompress(v).decode() for v in part.column("packed").to_pylist()], pa.large_string()))
-        h, row, _ = words.shingles()
-        order = np.lexsort((h, row))
-        h, row = h[order], row[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-        at = np.flatnonzero(new)
-        turn = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
-        yield part.column("a"), part.column("root"), row, mix(h + turn.astype(np.uint64) * GOLDEN)
+        row, h = _occurring(Words(pa.array([unpress.decompress(v).decode() for v in part.column("packed").to_pylist()], pa.large_string())))
+        yield part.column("a"), part.column("root"), row, h
 
 
 def _prefixes(packed: DataFrame, similarity: float) -> DataFrame:
@@ -301,16 +306,8 @@ def _sets(packed: list[bytes]) -> list[np.ndarray]:
         size += len(texts_of[-1])
         if size < 1 << 20 and k + 1 < len(packed):
             continue
-        words = Words(pa.array(texts_of, pa.large_string()))
-        h, row, _ = words.shingles()
-        order = np.lexsort((h, row))
-        h, row = h[order], row[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-        at = np.flatnonzero(new)
-        turn = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
-        h = mix(h + turn.astype(np.uint64) * GOLDEN)
-        out += [np.sort(x) for x in np.split(h, np.cumsum(np.bincount(row, minlength=words.rows))[:-1])]
+        row, h = _occurring(Words(pa.array(texts_of, pa.large_string())))
+        out += [np.sort(x) for x in np.split(h, np.cumsum(np.bincount(row, minlength=len(texts_of)))[:-1])]
         texts_of, size = [], 0
     return out
 
@@ -387,7 +384,7 @@ def _in_cells(rows: DataFrame, similarity: float) -> DataFrame:
         for batch in batches:
             out: list[tuple[int, int]] = []
             for row in zip(*[batch.column(c).to_pylist() for c in ("group", "x", "y", "own", "a", "root", "packed")]):
-                if size > CELL_BYTES // 16 and row[:3] != held[-1][:3]:  # small cells are read together
+                if size > CELL_BYTES // 4 and row[:3] != held[-1][:3]:  # small cells are read together
                     out += done()
                     held, size = [], 0
                 held.append(row)
