@@ -16,6 +16,7 @@ from tallyframe.sinks.versioned import VersionedTable
 from tallyframe.sources import pages as pg
 from tallyframe.sources.calendar import calendar
 from tallyframe.sources.endpoints import endpoint_config
+from tallyframe.sources.landing import BucketedLanding
 from tallyframe.sources.registry import SCHEMAS, Tables
 from tallyframe.sources.seeds import seed
 from tallyframe.streaming import ingest, state
@@ -48,6 +49,17 @@ def s2(t: Tables) -> DataFrame:
                                                  F.length("html").cast("bigint").alias("body_chars"))
 
 
+@query("S2_bucketed_landing", """
+SELECT page_id, url AS meta_url, CAST(length(html) AS BIGINT) AS body_chars FROM pages WHERE page_id % 5 <> 0""")
+def s2_bucketed(t: Tables) -> DataFrame:
+    """Pages and sidecars in matching buckets; every fifth page has no sidecar."""
+    name = F.concat(F.lit("raw/"), F.col("page_id").cast("string"))
+    bodies = t.pages.select(F.concat(name, F.lit(".json")).alias("path"), "page_id", "html")
+    metas = t.pages.filter("page_id % 5 <> 0").select(F.concat(name, F.lit(".meta.json")).alias("meta_path"), F.create_map(F.lit("x-url"), F.col("url")).alias("meta"))
+    landing = BucketedLanding.create(bodies, metas, 8)
+    return landing.joined(t.spark).select("page_id", F.col("meta")["x-url"].alias("meta_url"), F.length("html").cast("bigint").alias("body_chars"))
+
+
 @query("S3_envelope_unwrap", """
 SELECT CASE o_orderstatus WHEN 'F' THEN 'invoices' WHEN 'O' THEN 'purchase_orders' ELSE 'quotes' END AS endpoint,
   CAST(o_orderkey AS VARCHAR) AS record_id, o_totalprice AS total FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'""")

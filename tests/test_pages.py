@@ -104,3 +104,19 @@ def test_report_snapshot_keys(spark):
     path = "file:/x/raw/erp/t1/2.0/report_trial_balance/2026-03-13/20260313T000000_r1__2026_02.json"
     got = spark.createDataFrame([(path,)], "path string").select(*pg.page_key_columns(F.col("path"))).first()
     assert (got["endpoint"], got["run_id"], got["period"], got["page"]) == ("report_trial_balance", "r1", "2026_02", None)
+
+
+def test_bucketed_landing_moves_no_body(spark, folder):
+    from tallyframe.sources.landing import BucketedLanding
+
+    pages = spark.range(200).selectExpr("concat('raw/', id, if(id % 2 = 0, '.json', '')) as path", "id", "repeat('x', 500) as body").repartition(5)
+    sides = spark.range(200).where("id % 3 <> 0").selectExpr("concat('raw/', id, if(id % 4 = 0, '.json', ''), '.meta.json') as meta_path", "map('k', string(id)) as meta")
+    landing = BucketedLanding.create(pages, sides, 8, f"{folder}/landing")
+    out = landing.joined(spark)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "SortMergeJoin" in text
+    want = pg.with_sidecar(pages, sides)
+    assert sorted(out.columns) == sorted(want.columns)
+    assert sorted((r["id"], r["meta"]["k"]) for r in out.collect()) == sorted((r["id"], r["meta"]["k"]) for r in want.collect())
+    landing.drop(spark)
+    assert not spark.catalog.tableExists(f"{landing.name}_pages")
