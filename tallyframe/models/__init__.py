@@ -1 +1,3 @@
-"""Named relations built from staging tables, each a function of the relations it reads."""
+"""Models by name; importing the package registers those of the second source."""
+
+from tallyframe.models import erp_masters as erp_masters

@@ -8,23 +8,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.operators.aggregates import distinct_samples, only_value
 from tallyframe.operators.latest import latest_by
-from tallyframe.operators.lookups import validity_join
+from tallyframe.operators.ranges import covering
 
 
 def resolve_by_window(facts: DataFrame, windows: DataFrame, keys: list[str], segment: str, day: str,
-                      start: str, end: str, window_segment: str, take: list[str],
-                      days: DataFrame | None = None) -> DataFrame:
+                      start: str, end: str, window_segment: str, take: list[str], rule: str | None = None) -> DataFrame:
     """Window value per row: the segment's own window before the default, then the newest.
 
     Resolution runs on distinct combinations: (keys, segment, day) meets only windows of its
     own segment, (keys, day) only the default ones, both by equi-join, so the segments and
     windows of a key are never paired. The results go back by equi-join. A row without a
-    segment takes the default.
+    segment takes the default. ``rule`` names a column that tells which of the two gave the value.
     """
-    span = facts.select(F.col(day).alias("day")) if days is None else days
 
     def newest(need: DataFrame, some: DataFrame, on: list[str], name: str) -> DataFrame:
-        cand = validity_join(need, some, on, day, start, end, days=span)
+        cand = covering(need, some, on, day, start, end).withColumnsRenamed({**{f"_p_{k}": k for k in on}, "_p_day": day})
         best = latest_by(cand, [*on, day], [F.desc(start), *[F.asc(c) for c in take]])
         return best.select(*on, day, F.struct(*take).alias(name))
 
@@ -35,7 +33,8 @@ def resolve_by_window(facts: DataFrame, windows: DataFrame, keys: list[str], seg
     base = newest(facts.select(*keys, day).distinct(), default, keys, "_base")
     both = facts.join(own, [*keys, segment, day], "left").join(base, [*keys, day], "left")
     value = F.coalesce("_own", "_base")
-    return both.select(*[F.col(c) for c in facts.columns], *[value[c].alias(c) for c in take])
+    which = [F.when(F.col("_own").isNotNull(), "segment").when(F.col("_base").isNotNull(), "default").otherwise("none").alias(rule)] if rule else []
+    return both.select(*[F.col(c) for c in facts.columns], *[value[c].alias(c) for c in take], *which)
 
 
 def current_member(windows: DataFrame, keys: list[str], as_of: Column, start: str, end: str,

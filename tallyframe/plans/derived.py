@@ -79,10 +79,6 @@ def posting_date(key):
 
 SQL_POSTING = "(DATE '2024-01-01' + CAST({k} % 30 AS INT))"
 
-def order_days(t: Tables) -> DataFrame:
-    """Order days as ``day``: a one-column scan that spans everything dated by its order."""
-    return t.orders.select(F.to_date("o_orderdate").alias("day"))
-
 
 # -- li: latest version of a line ------------------------------------------------
 SQL["li"] = ([], """
