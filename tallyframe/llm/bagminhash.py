@@ -126,7 +126,8 @@ def _signed(docs: DataFrame, bands: int, width: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([*[part.column(c).filter(pa.array(some)) for c in ("doc_id", "same")], lists, marks], names=["doc_id", "same", "buckets", "marks"])
 
     rows = texts(docs).where("doc_id is not null").withColumn("same", F.unhex(F.md5("text")))
-    return map_texts(rows, fn, "doc_id bigint, same binary, buckets array<bigint>, marks binary")
+    # some 150 bytes of work arrays per byte of text
+    return map_texts(rows, fn, "doc_id bigint, same binary, buckets array<bigint>, marks binary", 1 << 20)
 
 
 def _entries(signed: DataFrame, bands: int) -> DataFrame:
