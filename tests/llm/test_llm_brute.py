@@ -98,7 +98,7 @@ def similar_texts(x, y):
 @pytest.mark.parametrize("cell", [2048, 5])
 def test_passage_classes_equal_all_pairs(documents, prose, monkeypatch, cell):
     """Passages shared exactly and with edits between own words, beside a line that all have; also with keys split by rare tokens."""
-    monkeypatch.setattr(compact_windows, "CELL", cell)
+    monkeypatch.setattr(compact_windows, "BLOCK", cell)
     rng = np.random.default_rng(4)
     line = prose(60, 500)
     shared = [prose(70, 600 + k) for k in range(5)]
