@@ -27,8 +27,8 @@ def validity_join(facts: DataFrame, windows: DataFrame, keys: list[str], day: st
                   start: str, end: str, how: str = "inner", pairs: DataFrame | None = None) -> DataFrame:
     """Rows of ``facts`` with every window of the same key that covers ``day``.
 
-    The distinct (key, day) pairs are looked up by dyadic spans (see ``ranges``), so a window makes at most
-    44 rows however long it is, and the facts meet the result by equality. ``pairs`` may name a cheaper
+    The distinct (key, day) pairs are looked up by aligned spans (see ``ranges``), so a window makes some 30
+    rows however long it is, and the facts meet the result by equality. ``pairs`` may name a cheaper
     relation that has all keys and days of the facts, where these are costly to derive.
     """
     found = ranges.covering((facts if pairs is None else pairs).select(*keys, day).distinct(), windows, keys, day, start, end)

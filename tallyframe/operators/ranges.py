@@ -1,4 +1,4 @@
-"""Dyadic day ranges: windows and days meet by equality on aligned spans of 1, 2, 4, ... days."""
+"""Aligned day ranges: windows and days meet by equality on spans of 1, 4, 16, ... days."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: 2^22 days from year 1 reach past year 9999.
 LEVELS = 22
-_SPAN = "shiftleft(1, {levels} - j) + {place}".format
+_STEPS = f"sequence(0, {LEVELS}, 2)"  # a span holds four of the next smaller ones
+_SPAN = f"shiftleft(1, {LEVELS} - j) + "
 
 
 def day_number(day) -> Column:
@@ -15,19 +16,21 @@ def day_number(day) -> Column:
 
 
 def spans_of_day(number: str) -> Column:
-    """All aligned spans that hold a day: one per level."""
-    return F.expr(f"transform(sequence(0, {LEVELS}), j -> {_SPAN(levels=LEVELS, place=f'shiftright({number}, j)')})")
+    """All aligned spans that hold a day: one per size."""
+    return F.expr(f"transform({_STEPS}, j -> {_SPAN} shiftright({number}, j))")
 
 
 def spans_of_range(first: str, last: str) -> Column:
-    """The fewest aligned spans that make up a closed range: two per level at most, none for an empty range.
+    """The fewest aligned spans that make up a closed range: three per size at either end at most, none for an empty range.
 
-    At each level, what is left of the range after whole larger spans is at most one span at either end.
+    At each size, what is left of the range after whole larger spans is less than one of these at either end.
     """
     left, right = f"shiftright({first} + shiftleft(1, j) - 1, j)", f"shiftright({last} + 1, j)"
-    ends = (f"array(if({left} < {right} and {left} % 2 = 1, {_SPAN(levels=LEVELS, place=left)}, null), "
-            f"if({left} < {right} and {right} % 2 = 1, {_SPAN(levels=LEVELS, place=f'{right} - 1')}, null))")
-    return F.expr(f"array_compact(flatten(transform(sequence(0, {LEVELS}), j -> {ends})))")
+    inner_left, inner_right = f"shiftleft(shiftright({left} + 3, 2), 2)", f"shiftleft(shiftright({right}, 2), 2)"
+    def places(a: str, b: str) -> str:
+        return f"if({left} < {right} and {a} < {b}, sequence({a}, {b} - 1), array())"
+    ends = f"concat({places(left, f'least({inner_left}, {right})')}, {places(f'greatest({inner_right}, {inner_left})', right)})"
+    return F.expr(f"flatten(transform({_STEPS}, j -> transform({ends}, x -> {_SPAN} x)))")
 
 
 def spread(windows: DataFrame, start: str, end: str, span: str = "_span") -> DataFrame:
