@@ -35,7 +35,7 @@ def validity_join(facts: DataFrame, windows: DataFrame, keys: list[str], day: st
     on = F.col(day) == F.col("_p_day")
     for k in keys:
         on = on & (F.col(k) == F.col(f"_p_{k}"))
-    return facts.join(found, on, how).drop("_p_day", *[f"_p_{k}" for k in keys])
+    return facts.join(found.hint("merge"), on, how).drop("_p_day", *[f"_p_{k}" for k in keys])
 
 
 def wildcard_lookup(facts: DataFrame, rules: DataFrame, exact: dict[str, str], optional: dict[str, str],

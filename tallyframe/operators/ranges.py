@@ -45,11 +45,12 @@ def covering(pairs: DataFrame, windows: DataFrame, keys: list[str], day: str, st
     """``keys``, ``day`` and the window's other columns for every window of the key that covers the day.
 
     A window covers a day exactly if one of its spans holds it, and then one only: an equi-join, without a
-    condition on the range.
+    condition on the range. It is a merge join, as Spark takes either side for as small as it was before
+    its rows were multiplied and would send it through the driver.
     """
     days = pairs.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.col(day).alias("_p_day"), day_number(day).alias("_n"))
     days = days.filter("_p_day IS NOT NULL").withColumn("_p_span", F.explode(spans_of_day("_n"))).drop("_n")
     on = F.col("_p_span") == F.col("_span")
     for k in keys:
         on = on & (F.col(f"_p_{k}") == F.col(k))
-    return days.join(spread(windows, start, end), on).drop("_span", "_p_span", *keys)
+    return days.join(spread(windows, start, end).hint("merge"), on).drop("_span", "_p_span", *keys)

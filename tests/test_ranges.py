@@ -39,6 +39,21 @@ def test_every_day_meets_a_window_once(spark):
     assert "<=" not in text.split("Join")[1].split("\n")[0] and "NestedLoop" not in text
 
 
+def written(spark, folder, name, rows, schema):
+    """Rows as a file, whose size Spark knows and takes for small."""
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}")
+    return spark.read.schema(schema).parquet(f"{folder}/{name}")
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_windows_and_days_are_not_broadcast(spark, folder, how):
+    facts = written(spark, folder, "facts", [(i, i % 7, day(i)) for i in range(50)], "i int, k int, d date")
+    wins = written(spark, folder, "wins", [(k, day(3 * k), None) for k in range(7)], "k int, s date, e date")
+    got = lookups.validity_join(facts, wins, ["k"], "d", "s", "e", how)
+    assert "Broadcast" not in plan(got) and "SortMergeJoin" in plan(got)
+    assert got.where("s IS NOT NULL").count() == sum(3 * (i % 7) <= i for i in range(50))
+
+
 @pytest.mark.parametrize("n", [1, 4, 23])
 def test_running_values_of_a_hot_key_with_moments(spark, n):
     """One key with thousands of moments, and small ones; nulls, equal moments, a null key."""
