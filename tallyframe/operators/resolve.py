@@ -31,7 +31,7 @@ def resolve_by_window(facts: DataFrame, windows: DataFrame, keys: list[str], seg
     default = windows.filter(F.col(window_segment).isNull())
     own = newest(facts.select(*keys, segment, day).filter(F.col(segment).isNotNull()).distinct(), special, [*keys, segment], "_own")
     base = newest(facts.select(*keys, day).distinct(), default, keys, "_base")
-    both = facts.join(own, [*keys, segment, day], "left").join(base, [*keys, day], "left")
+    both = facts.join(own.hint("merge"), [*keys, segment, day], "left").join(base.hint("merge"), [*keys, day], "left")
     value = F.coalesce("_own", "_base")
     which = [F.when(F.col("_own").isNotNull(), "segment").when(F.col("_base").isNotNull(), "default").otherwise("none").alias(rule)] if rule else []
     return both.select(*[F.col(c) for c in facts.columns], *[value[c].alias(c) for c in take], *which)

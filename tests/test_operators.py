@@ -207,3 +207,12 @@ def test_resolve_by_window_does_not_pair_segments_with_windows(spark):
     assert out.where("unit = concat('u', substring(seg, 2))").count() == 400
     none = resolve.resolve_by_window(facts.limit(1).withColumn("seg", F.lit(None).cast("string")), wins, ["k"], "seg", "d", "s", "e", "ws", ["unit"])
     assert none.first()["unit"] == "base"
+
+
+def test_resolve_by_window_broadcasts_nothing(spark, folder):
+    spark.range(40).selectExpr("id % 5 AS k", "IF(id % 2 = 0, 'R', NULL) AS seg", "DATE'2024-01-10' AS d").write.parquet(f"{folder}/facts")
+    spark.range(5).selectExpr("id AS k", "IF(id < 2, 'R', NULL) AS ws", "DATE'2024-01-01' AS s", "CAST(NULL AS DATE) AS e", "concat('u', id) AS unit").write.parquet(f"{folder}/wins")
+    facts, wins = spark.read.parquet(f"{folder}/facts"), spark.read.parquet(f"{folder}/wins")
+    out = resolve.resolve_by_window(facts, wins, ["k"], "seg", "d", "s", "e", "ws", ["unit"])
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.where("unit = concat('u', k)").count() == 32
