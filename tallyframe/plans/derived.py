@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyframe.functions.numbers import money
 from tallyframe.operators.latest import latest_by
 from tallyframe.operators.intervals import windows_from_dates
+from tallyframe.operators.partitions import dealt
 from tallyframe.sources.registry import Tables
 from tallyframe.sources.seeds import seed
 
@@ -89,8 +90,9 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
 
 
 def li(t: Tables) -> DataFrame:
+    keys = ["l_orderkey", "l_linenumber"]
     return latest_by(
-        t.lineitem, ["l_orderkey", "l_linenumber"],
+        dealt(t.lineitem, t.lineitem.count(), *keys), keys,
         [F.desc("l_shipdate"), F.desc("l_extendedprice"), F.asc("l_partkey"), F.asc("l_suppkey")],
     )
 
@@ -170,7 +172,7 @@ FROM orders JOIN li ON l_orderkey = o_orderkey
 
 
 def ln(t: Tables) -> DataFrame:
-    lines = li(t)
+    lines = dealt(li(t), t.lineitem.count(), "l_orderkey")
     return t.orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("order_date"),
         F.when(F.col("o_orderkey") % 3 == 0, "Inclusive").otherwise("Exclusive").alias("amount_types"),

@@ -8,6 +8,7 @@ from tallyframe.functions import jsonx, text
 from tallyframe.functions.numbers import money
 from tallyframe.operators import aggregates as agg, intervals, lookups, resolve
 from tallyframe.operators.latest import attach_group, latest_by
+from tallyframe.operators.partitions import dealt
 from tallyframe.operators.quality import classify
 from tallyframe.plans import derived
 from tallyframe.operators.documents import flatten_child
@@ -146,8 +147,16 @@ FROM ln JOIN part ON p_partkey = part_id""")
 def brand_lines(t: Tables) -> DataFrame:
     p = t.part.select("p_partkey", F.when(F.col("p_brand") != "Brand#25", F.col("p_brand")).alias("unit"),
                       (F.col("p_type") == "PROMO").alias("ancillary"))
-    return derived.ln(t).join(p, F.col("p_partkey") == F.col("part_id")).select(
+    rows = t.lineitem.count()
+    lines = dealt(derived.ln(t), rows, "part_id").join(p, F.col("p_partkey") == F.col("part_id")).select(
         "o_orderkey", "line_no", "supp_id", "amount", "quantity", "unit", "ancillary", (F.col("quantity") >= 5).alias("material"))
+    return dealt(lines, rows, "o_orderkey")
+
+
+def held_by_order(df: DataFrame, name: str) -> DataFrame:
+    """Stored rows of orders, dealt by order."""
+    held = stored(df, name)
+    return dealt(held, held.count(), "o_orderkey")
 
 
 @query("D16_header_value_from_lines", """
@@ -162,7 +171,7 @@ SELECT o_orderkey, coalesce(material_lines, 0) AS material_lines, coalesce(unres
 FROM (SELECT DISTINCT o_orderkey FROM bl) h LEFT JOIN st USING (o_orderkey) LEFT JOIN top USING (o_orderkey)""", uses="bl")
 def d16(t: Tables) -> DataFrame:
     return resolve.header_value(brand_lines(t), "o_orderkey", "unit", "amount", "line_no", F.col("material"), F.col("ancillary"),
-                                hold=lambda df: stored(df, "brand-rollup"))
+                                hold=lambda df: held_by_order(df, "brand-rollup"))
 
 
 @query("D17_dominant_from_lines", """
@@ -191,7 +200,7 @@ SELECT o_orderkey, supp_id, count(*) AS line_count, count(*) FILTER (material) A
   CAST(sum(quantity) AS DOUBLE) AS quantity, CAST(sum(amount) AS DOUBLE) AS amount, units > 1 AS has_multiple_units
 FROM bl JOIN (SELECT o_orderkey, count(DISTINCT supp_id) AS units FROM bl GROUP BY 1) USING (o_orderkey) GROUP BY ALL""", uses="bl")
 def d18(t: Tables) -> DataFrame:
-    split = stored(brand_lines(t).groupBy("o_orderkey", "supp_id").agg(
+    split = held_by_order(brand_lines(t).groupBy("o_orderkey", "supp_id").agg(
         F.count(F.lit(1)).alias("line_count"), F.count_if("material").alias("material_lines"),
         F.count_if("ancillary").alias("ancillary_lines"), F.sum("quantity").cast("double").alias("quantity"),
         F.sum("amount").cast("double").alias("amount")), "order-split")
