@@ -2,14 +2,12 @@
 
 *Model.* Tokens are words, A-Z in lower case, and one end per text. With training counts ``n``, the root
 predicts ``P(x) = (n(x) + 1) / (N + V + 1)``. A context ``s`` of up to ``DEPTH`` words is *tried* if it
-occurs often enough, its suffix (without the first word) is a state and its prefix (without the last
-word) was tried. Often enough is ``MIN_COUNT`` times, or the square root of N over ``ROOT`` if that is
-more: the number of contexts grows with the corpus, but no faster than its size, so that a round
-costs the same for each token of a small and of a large one. A tried context becomes a *state* if its next tokens diverge from
+occurs at least ``MIN_COUNT`` times, in a corpus of any size, its suffix (without the first word) is a state
+and its prefix (without the last word) was tried. A tried context becomes a *state* if its next tokens diverge from
 those of its suffix: some token x with ``n(sx) >= 2`` has ``n(sx) ln(n(sx) / (n(s) P(x | suffix))) >=
 RETAIN`` nats. A state is smoothed with its suffix by the number ``k(s)`` of different tokens that
 followed it (Witten and Bell): ``P(x | s) = (n(sx) + k(s) P(x | suffix)) / (n(s) + k(s))``. A token is scored by the longest state that the words before it end in. No part of
-the tree is capped.
+the tree is capped: it grows with the corpus.
 
 *Distribution.* Texts are read once and become chunks of some ``CHUNK_TOKENS`` tokens: one row with the
 chunk's dictionary of word hashes and its tokens as numbers. Chunks are written in buckets, so that
@@ -30,7 +28,6 @@ empty result; other columns are ignored. Words and contexts are compared by 64-b
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Iterator
 
@@ -45,7 +42,6 @@ from tallyframe.session import work_path
 
 DEPTH = 3
 MIN_COUNT = 4
-ROOT = 600
 RETAIN = 8.0
 CHUNK_TOKENS = 700_000
 GROUP_TOKENS = 1_000_000
@@ -139,11 +135,6 @@ class Tree:
         self.groups, self.n, self.v = groups, 0, 0
         self.hot: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    @property
-    def least(self) -> int:
-        """Occurrences a context needs to be tried."""
-        return max(MIN_COUNT, math.ceil(math.sqrt(self.n) / ROOT))
-
     def is_hot(self, n: np.ndarray) -> np.ndarray:
         return n.astype(float) * 4 * self.groups > self.n
 
@@ -260,7 +251,7 @@ def walk(row: dict, answers: dict[int, dict[int, tuple[bytes, bytes]]], tree: Tr
     mask = (1 << width) - 1
     for d in range(1, deepest + 1):
         n = np.where(place[pos] >= d, last[np.maximum(pos - 1, 0)], -1)
-        tried = n >= tree.least
+        tried = n >= MIN_COUNT
         pos, context, n = pos[tried], context[tried], n[tried]
         name, context = distinct(context.astype(np.int64) << width | ids[pos - d], len(s).bit_length() + width)
         s = mix(s[name >> width] + mix(sym[name & mask] + np.array([d], np.uint64) * GOLDEN))

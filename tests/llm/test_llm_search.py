@@ -80,6 +80,16 @@ def test_suffix_tree_scores(documents, prose, monkeypatch, tokens, group):
     assert all(r[6] > r[5] + 20 for r in copies)
 
 
+def test_suffix_tree_contexts_do_not_depend_on_the_size(documents, prose):
+    """A corpus of 5.8 million training words scores a phrase it holds four times by its contexts."""
+    phrase, filler = prose(12, 7), "so " * 2_900_000
+    ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % 7 != 2]
+    rows = [(k, phrase) for k in ids[:4]] + [(k, filler) for k in ids[4:6]]
+    got = {r["doc_id"]: r for r in suffix_tree_lm.scored(documents(rows)).collect()}
+    one = got[ids[0]]
+    assert one["train_tokens"] > 5_760_000 and one["score"] > one["base_score"] + 20
+
+
 def test_suffix_tree_edges(documents):
     assert suffix_tree_lm.scored(documents(ODD).limit(0)).count() == 0
     only = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2)
