@@ -352,6 +352,15 @@ def test_repeated_bytes(documents, prose, monkeypatch, crowd):
     assert {r["doc_id"]: tuple(r[1:]) for r in got} == bytes_oracle(rows)
 
 
+def test_repeated_bytes_judged_anchor_by_anchor(documents, prose, monkeypatch):
+    monkeypatch.setattr(suffix, "JUDGED_ROWS", 1)
+    monkeypatch.setattr(suffix, "BUFFER_ROWS", 50)
+    a, b = prose(60, 1), prose(200, 2)
+    rows = [(k, prose(20, 100 + k) + b[7 * k:] + a[k:]) for k in range(12)] + [(30, a + a), (31, "q" * 300), (32, "ab" * 200 + b[:99])]
+    got = suffix.without_repeats(documents(rows)).selectExpr("doc_id", "n_bytes", "aggregate(spans, 0L, (x, s) -> x + s.end - s.start) as r", "cast(size(spans) as bigint) as s", "sha2(kept, 256) as h").collect()
+    assert {r["doc_id"]: tuple(r[1:]) for r in got} == bytes_oracle(rows)
+
+
 def test_repeated_bytes_with_odd_ids(documents, prose):
     a = prose(60, 1)
     rows = [(None, a), (None, a), (3, a), (3, "other " + a), (2, None)]
