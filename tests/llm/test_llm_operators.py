@@ -323,6 +323,26 @@ def test_repeated_passages_past_the_first_holder(documents, prose, monkeypatch):
     assert got == {1: 1, 30: 10, 31: 31, **{k: 10 for k in range(10, 20)}}
 
 
+@pytest.mark.parametrize("cell", [256 << 10, 1500])
+def test_repeated_passages_lists_every_link(documents, prose, monkeypatch, cell):
+    """Links are those of all pairs, not only with first holders, and copies count with their text."""
+    monkeypatch.setattr(compact_windows, "CELL_BYTES", cell)
+    first, second = prose(70, 77), prose(70, 78)
+    rows = [(k, " ".join([prose(30, 100 + k), *[p for p, own in ((first, k < 9), (second, k > 6)) if own], prose(30, 200 + k)])) for k in range(14)]
+    rows += [(30 + k, rows[j][1]) for k, j in enumerate((3, 3, 8, 12))] + [(40, prose(90, 5)), (41, "few words"), (42, "few words")]
+    got = {r["doc_id"]: r for r in compact_windows.passages(documents(rows).repartition(3)).collect()}
+    token = {i: compact_windows.Words(pa.array([t])).shingles(compact_windows.SHINGLE)[0] for i, t in rows}
+    linked = {i: {j for j in token if j != i and compact_windows.segments(token[max(i, j)], token[min(i, j)])} for i in token}
+    assert {i: r["n_links"] for i, r in got.items()} == {i: len(v) for i, v in linked.items()} and sum(map(len, linked.values())) == 198
+    head = {i: min(j for j, u in rows if u == t) for i, t in rows}
+    for i in range(14):
+        assert {s["source"] for s in got[i]["spans"]} == {j for j in linked[i] if j < i}
+    for i in range(30, 34):
+        assert {s["source"] for s in got[i]["spans"]} == {j for j in linked[head[i]] if j < head[i]} | {head[i]}
+        assert (0, len(dict(rows)[i].split()), head[i]) in {tuple(s) for s in got[i]["spans"]}
+    assert {r["class_id"] for i, r in got.items() if i < 40} == {0} and got[41]["n_links"] == got[42]["n_links"] == got[40]["n_links"] == 0
+
+
 # 8
 
 
