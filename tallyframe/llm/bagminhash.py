@@ -46,7 +46,8 @@ from tallyframe.llm.textvec import GOLDEN, Words, mix, multiset, unit
 SIMILARITY = 0.8
 BANDS, ROWS = 48, 8
 MARGIN_SIGMAS = 4
-CELL_BYTES = 512 << 10  # of packed text that are compared with each other in one task
+CELL_BYTES = 256 << 10  # of packed text that are compared with each other in one task
+SIGNED_BYTES = 256 << 10  # of text that is signed at a time, with work arrays of some 60 MB
 MANY_BLOCKS = 32
 SKETCH_BITS = 18
 SKETCH = 1 << SKETCH_BITS
@@ -126,8 +127,7 @@ def _signed(docs: DataFrame, bands: int, width: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([*[part.column(c).filter(pa.array(some)) for c in ("doc_id", "same")], lists, marks], names=["doc_id", "same", "buckets", "marks"])
 
     rows = texts(docs).where("doc_id is not null").withColumn("same", F.unhex(F.md5("text")))
-    # some 150 bytes of work arrays per byte of text
-    return map_texts(rows, fn, "doc_id bigint, same binary, buckets array<bigint>, marks binary", 1 << 20)
+    return map_texts(rows, fn, "doc_id bigint, same binary, buckets array<bigint>, marks binary", SIGNED_BYTES)
 
 
 def _entries(signed: DataFrame, bands: int) -> DataFrame:

@@ -85,6 +85,14 @@ def test_unlike_members_of_a_bucket_make_no_pairs(documents, prose, monkeypatch,
     assert sum(seen) < 2000
 
 
+def test_signatures_of_a_chunk_stay_small(prose):
+    words = Words(pa.array([prose(150, k) for k in range(bagminhash.SIGNED_BYTES // 880)]))
+    tracemalloc.start()
+    buckets, _, some = bagminhash.bands_of(words)
+    assert tracemalloc.get_traced_memory()[1] < 80e6 and some.all() and buckets.shape[1] == bagminhash.BANDS
+    tracemalloc.stop()
+
+
 def kept(df, counts):
     counts.append(df.count())
     return df
