@@ -10,8 +10,8 @@ hold the shingle often share the points of the lower blocks. A process serves al
 at once: points come in order of time, each with a random component and a random weight inside
 the block, and count only if that weight is below ``w``. A component's value is its earliest
 point, equal in two texts with probability exactly their weighted Jaccard similarity. Points are
-drawn up to a time at which all components have very likely been hit; texts that miss one are
-drawn again up to twice that time, so the result is exact.
+drawn up to a time at which all components have likely been hit; texts that miss one go on from
+there until none is missed, so the result is exact.
 
 *Candidates.* ``BANDS`` bands of ``ROWS`` components are hashed to buckets. Identical texts are
 folded to one representative first. In each bucket all members are checked against the least
@@ -48,6 +48,7 @@ BANDS, ROWS = 48, 8
 MARGIN_SIGMAS = 4
 CELL_BYTES = 256 << 10  # of packed text that are compared with each other in one task
 SIGNED_BYTES = 256 << 10  # of text that is signed at a time, with work arrays of some 60 MB
+DRAWN = 1 << 15  # points drawn at a time, one per process at least
 MANY_BLOCKS = 32
 SKETCH_BITS = 18
 SKETCH = 1 << SKETCH_BITS
@@ -67,37 +68,49 @@ def signatures(h: np.ndarray, row: np.ndarray, weight: np.ndarray, rows: int, si
     owner, limit = row[at], weight[at].astype(float)
     todo = np.flatnonzero(total > 0)
     horizon = np.zeros(rows)
-    horizon[todo] = (math.log(size) + 2.5) / total[todo]
-    part = np.arange(len(at))
+    horizon[todo] = (math.log(size) + 0.5) / total[todo]
+    pace, whole = rate * size, limit >= low + rate
+    best, value = np.full(rows * size, np.inf), np.zeros(rows * size, np.uint64)
+    x, part = np.zeros(len(at)), np.arange(len(at))  # time of the last point of every process; ``seed`` goes on with it
     while len(todo):
-        place = np.full(rows, -1)
-        place[todo] = np.arange(len(todo))
-        best = np.full(len(todo) * size, np.inf)
+        until = horizon[owner]
         keys, times, marks = [], [], []
-        live, x, turn = part, np.zeros(len(part)), 0
+        live = part
         while len(live):
-            turn += 1
+            # a process of a short text has many points: the fewer are left, the more points are drawn at a time
+            steps = np.arange(1, max(1, min(256, DRAWN // len(live))) + 1, dtype=np.uint64)
             with np.errstate(over="ignore"):
-                z = mix(seed[live] + np.uint64(turn) * GOLDEN)
-                z2 = mix(z + GOLDEN)
-            x = x - np.log(unit(z)) / (rate[live] * size)
-            soon = x <= horizon[owner[live]]
-            live, x, z, z2 = live[soon], x[soon], z[soon], z2[soon]
-            component = ((z2 >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
-            inside = low[live] + (z2 & np.uint64(0xFFFFFFFF)).astype(float) * 2.0**-32 * rate[live] < limit[live]
-            key = place[owner[live[inside]]] * size + component[inside]
-            np.minimum.at(best, key, x[inside])
+                z = mix(seed[live][:, None] + steps * GOLDEN)
+            t = -np.log(unit(z)) / pace[live][:, None]
+            t[:, 0] += x[live]
+            t = np.cumsum(t, axis=1)
+            soon = t <= until[live][:, None]
+            done = soon.sum(1)
+            some = done > 0
+            x[live[some]] = t[some, done[some] - 1]
+            with np.errstate(over="ignore"):
+                seed[live] += done.astype(np.uint64) * GOLDEN
+            own, z, t = np.repeat(live, done), z[soon], t[soon]
+            live = live[done == len(steps)]
+            z2 = mix(z + GOLDEN)
+            key = owner[own] * size + ((z2 >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
+            cut = np.flatnonzero(~whole[own])
+            if len(cut):
+                weight_at = low[own[cut]] + (z2[cut] & np.uint64(0xFFFFFFFF)).astype(float) * 2.0**-32 * rate[own[cut]]
+                inside = np.ones(len(own), bool)
+                inside[cut] = weight_at < limit[own[cut]]
+                key, t, z = key[inside], t[inside], z[inside]
+            np.minimum.at(best, key, t)
             keys.append(key)
-            times.append(x[inside])
-            marks.append(z[inside])
+            times.append(t)
+            marks.append(z)
         key, t, z = (np.concatenate(v) for v in (keys, times, marks))
-        value = np.zeros(len(todo) * size, np.uint64)
         won = t == best[key]
         value[key[won]] = z[won]
-        full = np.isfinite(best).reshape(-1, size).all(1)
-        out[todo[full]] = value.reshape(-1, size)[full]
+        full = np.isfinite(best.reshape(rows, size)[todo]).all(1)
+        out[todo[full]] = value.reshape(rows, size)[todo[full]]
         todo = todo[~full]
-        horizon[todo] *= 2
+        horizon[todo] += 1 / total[todo]
         again = np.zeros(rows, bool)
         again[todo] = True
         part = part[again[owner[part]]]

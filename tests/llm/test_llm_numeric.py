@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from tallyframe.llm import bagminhash, compact_windows, pairwise_rank, quality_rules, suffix, toxicity
-from tallyframe.llm.textvec import Words, chunks, multiset
+from tallyframe.llm.textvec import GOLDEN, Words, chunks, mix, multiset, unit
 
 TEXTS = ["the cat sat on the mat and the cat sat on it", "", None, "one", "  \n\t ", "é à ü ß  Wörter\x0bhier", "a b c d e f", "A B C D E F"]
 
@@ -41,6 +41,38 @@ def test_signature_agreement_is_the_weighted_jaccard(a, b):
     assert (sig[2] == 0).all()
 
 
+def earliest_points(h, weight, size):
+    """The signature of one weighted set by its definition, point by point."""
+    best, turn = {}, 0
+    blocks = [(k, b) for k, w in zip(h, weight) for b in range(max(int(w) - 1, 0).bit_length() + 1)]
+    low = np.array([2.0 ** (b - 1) if b else 0.0 for _, b in blocks])
+    rate, limit = np.maximum(low, 1), np.array([dict(zip(h.tolist(), weight))[int(k)] for k, _ in blocks])
+    x, seed = np.zeros(len(blocks)), np.array([mix(k[None] ^ mix(np.array([b + 1], np.uint64) * GOLDEN))[0] for k, b in blocks])
+    while len(best) < size or (x < max(t for t, _ in best.values())).any():
+        turn += 1
+        z = mix(seed + np.array([turn], np.uint64) * GOLDEN)
+        x = x - np.log(unit(z)) / (rate * size)
+        z2 = mix(z + GOLDEN)
+        component = (z2 >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)
+        inside = low + (z2 & np.uint64(0xFFFFFFFF)).astype(float) * 2.0**-32 * rate < limit
+        for c, t, v in zip(component[inside].tolist(), x[inside].tolist(), z[inside].tolist()):
+            best[c] = min(best.get(c, (np.inf, 0)), (t, v))
+    return [best[c][1] for c in range(size)]
+
+
+def test_signatures_hold_the_earliest_points_and_short_texts_take_few_steps(monkeypatch):
+    """A set of one element draws some 3,000 points; they are drawn many at a time."""
+    steps = []
+    monkeypatch.setattr(bagminhash, "unit", lambda z: steps.append(z.size) or unit(z))
+    sets = [[1], [5], [1, 1, 1, 2], [3] * 40, [1] * 300]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    h = mix(np.arange(len(row), dtype=np.uint64) + GOLDEN)
+    sig = bagminhash.signatures(h, row, np.concatenate(sets), len(sets), 384)
+    for k, weight in enumerate(sets):
+        assert sig[k].tolist() == earliest_points(h[row == k], weight, 384)
+    assert len(steps) < 200 and sum(steps) < 100_000
+
+
 def test_weighted_jaccard():
     assert bagminhash.weighted_jaccard(np.array([1, 1, 2]), np.array([1, 2, 2])) == pytest.approx(0.5)
     assert bagminhash.weighted_jaccard(np.array([], int), np.array([], int)) == 0
