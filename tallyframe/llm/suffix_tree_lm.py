@@ -15,7 +15,9 @@ later joins bring answers to them and move no chunk. For each depth there is one
 asks for its distinct (context, token) pairs once, however often they occur in it; pairs are dealt to
 groups by the context's hash, summed there over all chunks, the divergence test is made (a chunk sends
 with each pair the count that would pass), and answers go back in the order of the questions: the
-count of each pair, and k(s) of each context, or 0 if it is no state. A context with more than a quarter
+count of each pair, and k(s) of each context, or 0 if it is no state. At depth 0 words get numbers, by
+which deeper rounds name tokens and contexts. A token that occurs once in training after a context, and in no
+held-out text, occurs once after the longer context too: such pairs are not asked for, only counted in k(s). A context with more than a quarter
 of an average group's tokens is dealt by pair instead, and its k(s) goes through the driver: there
 are at most ``4 x groups`` such contexts. So a hot word or pair makes at most one entry per chunk and spreads over all
 groups. The number of groups grows with the corpus.
@@ -23,7 +25,8 @@ groups. The number of groups grows with the corpus.
 Defined cases: a null text is empty, an empty text is its end alone; a null ``doc_id`` counts as empty
 text in the choice of training rows; rows with the same ``doc_id`` are scored each by itself; with no
 training row the root is uniform over the one unknown token (probability 1); an empty table gives an
-empty result; other columns are ignored. Words and contexts are compared by 64-bit hashes.
+empty result; other columns are ignored. Words are compared by 64-bit hashes, contexts by the numbers of their words or, if these
+do not fit into 63 bits, by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -43,8 +46,8 @@ from tallyframe.session import work_path
 DEPTH = 3
 MIN_COUNT = 4
 RETAIN = 8.0
-CHUNK_TOKENS = 700_000
-GROUP_TOKENS = 1_000_000
+CHUNK_TOKENS = 600_000
+GROUP_TOKENS = 3_000_000
 #: The hash of the end token; words have at least one byte.
 END = mix(np.array([3], np.uint64) * GOLDEN)[0]
 
@@ -55,16 +58,20 @@ def not_trained(doc_id: str):
 
 
 def pack(values: np.ndarray) -> bytes:
-    """An array of non-negative integers, in the smallest type that holds it, compressed."""
+    """An array of non-negative integers, in the smallest type that holds it, byte by byte of all values, compressed."""
     top = int(values.max(initial=0))
     kind = next(k for k in "BHIQ" if top < 1 << 8 * np.dtype(k).itemsize)
-    raw = np.ascontiguousarray(values, np.dtype(kind)).tobytes()
+    raw = np.ascontiguousarray(values, np.dtype(kind)).view(np.uint8)
+    raw = (raw if kind == "B" else raw.reshape(-1, np.dtype(kind).itemsize).T).tobytes()
     return kind.encode() + len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unpack(data: bytes) -> np.ndarray:
     raw = pa.decompress(data[9:], int.from_bytes(data[1:9], "little"), "zstd", asbytes=True)
-    return np.frombuffer(raw, np.dtype(chr(data[0])))
+    kind = np.dtype(chr(data[0]))
+    if kind.itemsize == 1:
+        return np.frombuffer(raw, kind)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
 def distinct(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +82,10 @@ def distinct(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     low = max(1, len(key).bit_length())
     if bits + low > 64 or not len(key):
         return np.unique(key, return_inverse=True)
-    both = np.sort(key.astype(np.uint64) << np.uint64(low) | np.arange(len(key), dtype=np.uint64))
+    both = key.astype(np.uint64)
+    both <<= np.uint64(low)
+    both |= np.arange(len(key), dtype=np.uint64)
+    both.sort()
     at = (both & np.uint64((1 << low) - 1)).astype(np.int64)
     both >>= np.uint64(low)
     new = np.ones(len(both), bool)
@@ -94,6 +104,16 @@ def distinct_hashes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (words, place) if (words[place] == h).all() else np.unique(h, return_inverse=True)
 
 
+def asked_counts(trained: np.ndarray, all_of: np.ndarray) -> np.ndarray:
+    """Training counts twice, plus 1 where a held-out text has the word or pair too."""
+    return 2 * trained + (all_of > trained)
+
+
+def answered_counts(total: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Training counts plus 1; 1 for those of a single training occurrence that no held-out text asks for, 0 for none."""
+    return np.where(total > 0, np.where((total == 1) & ~held, 1, total + 1), 0)
+
+
 # chunks
 
 _CHUNK = "chunk bigint, tokens bigint, doc_id array<bigint>, held_out array<boolean>, lengths binary, words binary, seen binary, ids binary"
@@ -111,12 +131,13 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, at = distinct_hashes(np.concatenate(hashes))
         out = [v for x in out for v in x]
         seen = np.bincount(at[np.repeat(~np.array(out, bool), lengths)], minlength=len(words))
+        seen = asked_counts(seen, np.bincount(at, minlength=len(words)))
         values = [[number], [len(at)], [[v for x in ids for v in x]], [out], [pack(lengths)], [pack(words)], [pack(seen)], [pack(at)]]
         types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names=["chunk", "tokens", "doc_id", "held_out", "lengths", "words", "seen", "ids"])
 
     for batch in batches:
-        for part in chunks(batch):
+        for part in chunks(batch, CHUNK_TOKENS):  # some sixth of a chunk
             words = Words(part.column("text"), fold=ASCII_LOWER)
             hashes = np.insert(words.hash, words.at[1:], END)
             held.append((part.column("doc_id").to_pylist(), part.column("held_out").to_pylist(), hashes, words.count + 1))
@@ -129,10 +150,10 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Tree:
-    """What all tasks know of the model: N, V, the number of groups, and per depth the hot contexts that are states, with their k."""
+    """What all tasks know of the model: N, V, the number of groups, a bound of the words' numbers, and per depth the hot contexts that are states, with their k."""
 
     def __init__(self, groups: int):
-        self.groups, self.n, self.v = groups, 0, 0
+        self.groups, self.n, self.v, self.bound = groups, 0, 0, 0
         self.hot: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def is_hot(self, n: np.ndarray) -> np.ndarray:
@@ -142,15 +163,22 @@ class Tree:
 class Questions:
     """The distinct (context, token) pairs of a chunk at one depth, in the order in which they are asked.
 
-    ``context`` and ``token`` are numbers within the chunk, sorted by context; ``s`` hashes by context.
+    ``context`` and ``token`` are numbers within the chunk, sorted by context; ``s`` names by context, ``sym`` by token.
+    ``alone`` counts for each context the tokens that follow it but are not asked for; a context may have no others.
     """
 
-    def __init__(self, context: np.ndarray, token: np.ndarray, s: np.ndarray, sym: np.ndarray, hot: np.ndarray, groups: int):
+    def __init__(self, context: np.ndarray, token: np.ndarray, s: np.ndarray, sym: np.ndarray, hot: np.ndarray, groups: int, alone: np.ndarray):
+        bare = np.flatnonzero((alone > 0) & (np.bincount(context, minlength=len(s)) == 0))
+        # a context without pairs has one entry without a token
+        context, token = np.append(context, bare), np.append(token, np.full(len(bare), -1))
+        order = np.argsort(context, kind="stable") if len(bare) else slice(None)
+        context, token = context[order], token[order]
+        self.asked = np.flatnonzero(token >= 0)
         group = mix(s[context] + GOLDEN) % np.uint64(groups)
         by_pair = mix(s[context] ^ mix(sym[token])) % np.uint64(groups) + np.uint64(groups)
         group = np.where(hot[context], by_pair, group).astype(np.int64)
         self.order = np.argsort(group, kind="stable")
-        self.context, self.token, self.s, self.sym, self.hot = context, token, s, sym, hot
+        self.context, self.token, self.s, self.sym, self.hot, self.alone = context, token, s, sym, hot, alone
         self.groups, starts = np.unique(group[self.order], return_index=True)
         self.bounds = list(zip(self.groups.tolist(), starts.tolist(), [*starts[1:].tolist(), len(self.order)]))
 
@@ -160,33 +188,47 @@ class Questions:
         return np.flatnonzero(np.append(True, c[1:] != c[:-1])) if len(c) else np.zeros(0, np.int64)
 
     def rows(self, chunk: int, n: np.ndarray, need: np.ndarray) -> pa.RecordBatch:
-        out: list[list] = [[] for _ in range(7)]
+        """Questions by group; ``n`` (see ``asked_counts``) and ``need`` are given for the pairs that have a token."""
+        out: list[list] = [[] for _ in range(8)]
+        pair = np.cumsum(self.token >= 0) - 1
         for group, a, b in self.bounds:
             own = self.order[a:b]
             starts = self.runs(own)
-            row = (group, chunk, pack(self.s[self.context[own[starts]]]), pack(np.diff(np.append(starts, len(own)))),
-                   pack(self.sym[self.token[own]]), pack(n[own]), pack(need[own]))
+            contexts = self.context[own[starts]]
+            there = self.token[own] >= 0
+            runs = np.add.reduceat(there.astype(np.int64), starts)
+            own = own[there]
+            row = (group, chunk, pack(self.s[contexts]), pack(runs), pack(self.alone[contexts]),
+                   pack(self.sym[self.token[own]]), pack(n[pair[own]]), pack(need[pair[own]]))
             for column, v in zip(out, row):
                 column.append(v)
-        types = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=["g", "chunk", "s", "runs", "sym", "n", "need"])
+        types = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], names=["g", "chunk", "s", "runs", "alone", "sym", "n", "need"])
 
-    def answered(self, answers: dict[int, tuple[bytes, bytes]], hot: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Corpus count of every pair, and k of each context (0: no state)."""
+    def answered(self, answers: dict[int, tuple[bytes, ...]], hot: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Corpus count of every pair, whether it has its one occurrence here, and k of each context (0: no state)."""
         n, kinds = np.zeros(len(self.order), np.int64), np.zeros(len(self.s), np.int64)
         for group, a, b in self.bounds:
             own = self.order[a:b]
-            counts, states = answers[group]
-            n[own] = unpack(counts)
+            counts, states = answers[group][:2]
+            n[own[self.token[own] >= 0]] = unpack(counts)
             kinds[self.context[own[self.runs(own)]]] = unpack(states)
         names, k = hot
         at = np.searchsorted(names, self.s[self.hot])
         kinds[self.hot] = np.append(k, 0)[np.where(np.append(names, 0)[at] == self.s[self.hot], at, len(names))]
-        return n, kinds
+        n = n[self.asked]
+        return n - (n > 1), n == 1, kinds
+
+    def numbers(self, answers: dict[int, tuple[bytes, ...]]) -> np.ndarray:
+        """The numbers of the words asked for at depth 0."""
+        out = np.zeros(len(self.order), np.uint64)
+        for group, a, b in self.bounds:
+            out[self.order[a:b]] = unpack(answers[group][2])
+        return out
 
 
-_QUESTION = "g bigint, chunk bigint, s binary, runs binary, sym binary, n binary, need binary"
-_ANSWER = "chunk bigint, depth int, g bigint, n binary, states binary, hot array<struct<s: bigint, k: bigint, passed: boolean>>, total bigint, kinds bigint"
+_QUESTION = "g bigint, chunk bigint, s binary, runs binary, alone binary, sym binary, n binary, need binary"
+_ANSWER = "chunk bigint, depth int, g bigint, n binary, states binary, words binary, hot array<struct<s: bigint, k: bigint, passed: boolean>>, total bigint, kinds bigint, names bigint"
 
 
 def needed(n: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -204,37 +246,60 @@ def answers_of(depth: int, groups: int):
 
     def fn(table: pa.Table) -> pa.Table:
         group = table.column("g")[0].as_py()
-        s, runs, sym, n, need = ([unpack(v) for v in table.column(c).to_pylist()] for c in ("s", "runs", "sym", "n", "need"))
+        s, runs, alone, sym, n, need = ([unpack(v) for v in table.column(c).to_pylist()] for c in ("s", "runs", "alone", "sym", "n", "need"))
         sizes, contexts = np.array([len(x) for x in sym]), np.array([len(x) for x in s])
-        s, runs, sym, n, need = (np.concatenate([x.astype(np.uint64) for x in v]) for v in (s, runs, sym, n, need))
-        runs = runs.astype(np.int64)
-        start = np.cumsum(runs) - runs
-        pair, at = np.unique(mix(np.repeat(s, runs) + mix(sym + GOLDEN)), return_inverse=True)
-        total = np.bincount(at, n.astype(float), minlength=len(pair)).astype(np.int64)
-        passed = (need > 0) & (total[at] >= need.astype(np.int64))
+        joined = lambda v, kind: np.concatenate([x.astype(kind) for x in v])
+        s, runs, sym = joined(s, np.uint64), joined(runs, np.int64), joined(sym, np.uint64)
         names, which = np.unique(s, return_inverse=True)
+        owner = np.repeat(which, runs)
+        pair, at = np.unique(mix(np.repeat(s, runs) + mix(sym + GOLDEN)), return_inverse=True)
+        n = joined(n, np.int64)
+        total = np.bincount(at, n >> 1, minlength=len(pair)).astype(np.int64)
+        held = np.bincount(at, n & 1, minlength=len(pair)) > 0
+        need = joined(need, np.int64)
         state = np.zeros(len(names), bool)
-        state[which[np.logical_or.reduceat(passed, start)]] = True
-        # different tokens of each context: pairs with a training count
-        owner = np.zeros(len(pair), np.int64)
-        owner[at] = np.repeat(which, runs)
-        kinds = np.bincount(owner[total > 0], minlength=len(names))
+        state[owner[(need > 0) & (total[at] >= need)]] = True
+        # different tokens of each context: pairs with a training count, and those that a chunk has alone
+        of_pair = np.zeros(len(pair), np.int64)
+        of_pair[at] = owner
+        kinds = (np.bincount(of_pair[total > 0], minlength=len(names)) + np.bincount(which, joined(alone, np.int64), minlength=len(names))).astype(np.int64)
         hot = group >= groups
         states = np.zeros(len(s), np.int64) if hot else np.where(state, kinds, 0)[which]
         ends, c_ends = np.cumsum(sizes), np.cumsum(contexts)
         first = [1] + [0] * (len(sizes) - 1)  # what is said once for the whole group
         own = [{"s": int(x), "k": int(k), "passed": bool(f)} for x, k, f in zip(names.view(np.int64), kinds, state)] if hot else []
+        words = [None] * len(first)
+        if depth == 0:  # frequent words get small numbers
+            number = np.empty(len(pair), np.int64)
+            number[np.argsort(-total, kind="stable")] = np.arange(len(pair)) * groups + group - groups
+            words = [pack(x) for x in np.split(number[at], ends[:-1])]
+        counts = answered_counts(total, held)[at]
         return pa.table({
             "chunk": table.column("chunk"), "depth": pa.array([depth] * len(first), pa.int32()), "g": table.column("g"),
-            "n": pa.array([pack(x) for x in np.split(total[at], ends[:-1])], pa.binary()),
+            "n": pa.array([pack(x) for x in np.split(counts, ends[:-1])], pa.binary()),
             "states": pa.array([pack(x) for x in np.split(states, c_ends[:-1])], pa.binary()),
+            "words": pa.array(words, pa.binary()),
             "hot": pa.array([own if f else [] for f in first], pa.list_(pa.struct([("s", pa.int64()), ("k", pa.int64()), ("passed", pa.bool_())]))),
-            "total": pa.array([int(total.sum()) * f for f in first], pa.int64()), "kinds": pa.array([int((total > 0).sum()) * f for f in first], pa.int64())})
+            "total": pa.array([int(total.sum()) * f for f in first], pa.int64()), "kinds": pa.array([int((total > 0).sum()) * f for f in first], pa.int64()),
+            "names": pa.array([len(pair)] * len(first), pa.int64())})
 
     return fn
 
 
-def walk(row: dict, answers: dict[int, dict[int, tuple[bytes, bytes]]], tree: Tree, depth: int | None) -> pa.RecordBatch:
+def word_questions(sym: np.ndarray, groups: int) -> Questions:
+    """The questions at depth 0, one for each word of a chunk."""
+    none = np.zeros(1, np.int64)
+    return Questions(np.zeros(len(sym), np.int64), np.arange(len(sym)), np.zeros(1, np.uint64), sym, np.ones(1, bool), groups, none)
+
+
+def named(s: np.ndarray, number: np.ndarray, depth: int, bound: int) -> np.ndarray:
+    """Names of contexts from those without the first word and its number: the numbers put together if they fit, else a hash."""
+    if bound**depth < 1 << 63:
+        return s * np.uint64(bound) + number
+    return mix(s + mix(number + np.array([depth], np.uint64) * GOLDEN))
+
+
+def walk(row: dict, answers: dict[int, dict[int, tuple[bytes, ...]]], tree: Tree, depth: int | None) -> pa.RecordBatch:
     """A chunk's questions at ``depth`` (all shallower ones answered), or its scores if that is None."""
     ids, lengths, sym = unpack(row["ids"]).astype(np.int32), unpack(row["lengths"]).astype(np.int64), unpack(row["words"])
     ends = np.cumsum(lengths)
@@ -242,10 +307,11 @@ def walk(row: dict, answers: dict[int, dict[int, tuple[bytes, bytes]]], tree: Tr
     trained = np.repeat(~np.array(row["held_out"], bool), lengths)
     size = len(sym)
 
-    words = Questions(np.zeros(size, np.int64), np.arange(size), np.zeros(1, np.uint64), sym, np.ones(1, bool), tree.groups)
-    count, _ = words.answered(answers[0], (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    words = word_questions(sym, tree.groups)
+    count, single, _ = words.answered(answers[0], (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    number = words.numbers(answers[0])
     root = (count + 1) / (tree.n + tree.v + 1)
-    p, last = root[ids], count[ids]
+    p, last, alone = root[ids], count[ids], single[ids]
     pos, context = np.arange(len(ids), dtype=np.int32), np.zeros(len(ids), np.int32)
     s, deepest, width = np.zeros(1, np.uint64), DEPTH if depth is None else depth, max(1, size.bit_length())
     mask = (1 << width) - 1
@@ -254,23 +320,32 @@ def walk(row: dict, answers: dict[int, dict[int, tuple[bytes, bytes]]], tree: Tr
         tried = n >= MIN_COUNT
         pos, context, n = pos[tried], context[tried], n[tried]
         name, context = distinct(context.astype(np.int64) << width | ids[pos - d], len(s).bit_length() + width)
-        s = mix(s[name >> width] + mix(sym[name & mask] + np.array([d], np.uint64) * GOLDEN))
+        s = named(s[name >> width], number[name & mask], d, tree.bound)
         n_of = np.zeros(len(name), np.int64)
         n_of[context] = n
-        pair, at = distinct(context.astype(np.int64) << width | ids[pos], len(name).bit_length() + width)
+        hot = tree.is_hot(n_of)
+        # the one training occurrence of a token after a shorter context is the one after this context
+        known = alone[pos] & ~hot[context]
+        unasked = np.bincount(context[known], minlength=len(name))
+        ask = np.flatnonzero(~known)
+        pair, at = distinct(context[ask].astype(np.int64) << width | ids[pos[ask]], len(name).bit_length() + width)
         of, token = pair >> width, pair & mask
-        before = np.zeros(len(pair))
-        before[at] = p[pos]
-        asked = Questions(of, token, s, sym, tree.is_hot(n_of), tree.groups)
+        asked = Questions(of, token, s, number, hot, tree.groups, unasked)
         if d == depth:
-            return asked.rows(row["chunk"], np.bincount(at[trained[pos]], minlength=len(pair)), needed(n_of[of], before))
-        total, kinds = asked.answered(answers.get(d, {}), tree.hot[d])
-        last = np.full(len(ids), -1, np.int64)
-        last[pos] = total[at]
-        now = (total + kinds[of] * before) / (n_of[of] + kinds[of])
+            before = np.zeros(len(pair))
+            before[at] = p[pos[ask]]
+            all_of, seen = (np.bincount(v, minlength=len(pair)) for v in (at, at[trained[pos[ask]]]))
+            return asked.rows(row["chunk"], asked_counts(seen, all_of), needed(n_of[of], before))
+        total, single, kinds = asked.answered(answers.get(d, {}), tree.hot[d])
+        found = np.ones(len(pos), np.int64)
+        found[ask] = total[at]
+        alone[pos[ask]] = single[at]
+        last.fill(-1)
+        last[pos] = found
         kept = kinds[context] > 0
-        pos, context, at = pos[kept], context[kept], at[kept]
-        p[pos] = now[at]
+        pos, context, found = pos[kept], context[kept], found[kept]
+        k = kinds[context]
+        p[pos] = (found + k * p[pos]) / (n_of[context] + k)
     start = ends - lengths
     sums = lambda v: np.add.reduceat(v, start)
     return pa.RecordBatch.from_arrays(
@@ -293,13 +368,13 @@ def _walked(spark: SparkSession, chunk_table: str, answers: list[str], tree: Tre
     """``walk`` over all chunks next to their answers; all lie in the same buckets, so that nothing is moved."""
     joined = spark.table(chunk_table).drop("seen")
     for d, name in enumerate(answers):
-        own = spark.table(name).groupBy("chunk").agg(F.collect_list(F.struct("g", "n", "states")).alias(f"answers_{d}"))
+        own = spark.table(name).groupBy("chunk").agg(F.collect_list(F.struct("g", "n", "states", *["words"] * (d == 0))).alias(f"answers_{d}"))
         joined = joined.join(own.hint("merge"), "chunk", "left")
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in (batch.slice(k, 1).to_pylist()[0] for k in range(len(batch))):
-                got = {d: {a["g"]: (a["n"], a["states"]) for a in row[f"answers_{d}"] or ()} for d in range(len(answers))}
+                got = {d: {a["g"]: (a["n"], a["states"], a["words"] if d == 0 else None) for a in row[f"answers_{d}"] or ()} for d in range(len(answers))}
                 yield walk(row, got, tree, depth)
 
     return joined.mapInArrow(fn, _SCORE if depth is None else _QUESTION)
@@ -317,8 +392,7 @@ def scored(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 sym, seen = unpack(row["words"]), unpack(row["seen"])
-                q = Questions(np.zeros(len(sym), np.int64), np.arange(len(sym)), np.zeros(1, np.uint64), sym, np.ones(1, bool), tree.groups)
-                yield q.rows(row["chunk"], seen, np.zeros(len(sym), np.int64))
+                yield word_questions(sym, tree.groups).rows(row["chunk"], seen, np.zeros(len(sym), np.int64))
 
     tokens = spark.table(table).agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     tree = Tree(max(1, -(-tokens // GROUP_TOKENS)))
@@ -328,7 +402,8 @@ def scored(docs: DataFrame) -> DataFrame:
         answers.append(_bucketed(asked.groupBy("g").applyInArrow(answers_of(depth, tree.groups), _ANSWER).repartition(buckets, "chunk"), buckets, "answers"))
         got = spark.table(answers[-1])
         if depth == 0:
-            tree.n, tree.v = got.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+            tree.n, tree.v, most = got.agg(*[F.coalesce(f, F.lit(0)) for f in (F.sum("total"), F.sum("kinds"), F.max("names"))]).first()
+            tree.bound = most * tree.groups
         if depth:
             hot = got.select(F.explode("hot").alias("h")).groupBy("h.s").agg(F.sum("h.k").alias("k"), F.max("h.passed").alias("passed")).where("passed").collect()
             hot = sorted((r["s"] % (1 << 64), r["k"]) for r in hot)

@@ -90,6 +90,34 @@ def test_suffix_tree_contexts_do_not_depend_on_the_size(documents, prose):
     assert one["train_tokens"] > 5_760_000 and one["score"] > one["base_score"] + 20
 
 
+def test_suffix_tree_chunks_and_questions_stay_small(monkeypatch):
+    """Chunks keep to their size, and a round sends a fraction of the 8 bytes that a pair's hash takes."""
+    monkeypatch.setattr(suffix_tree_lm, "CHUNK_TOKENS", 50_000)
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{k}" for k in range(200_000)])
+    pick = lambda: " ".join(words[np.minimum(rng.zipf(1.3, 300), len(words)) - 1])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array([k % 7 == 2 for k in range(1000)]), pa.array([pick() for _ in range(1000)])], names=["doc_id", "held_out", "text"])
+    rows = [r.to_pylist()[0] | {"chunk": k} for k, r in enumerate(suffix_tree_lm._chunk_rows(iter([batch])))]
+    assert max(r["tokens"] for r in rows) < 65_000 and sum(r["tokens"] for r in rows) == 301_000
+    tree = suffix_tree_lm.Tree(2)
+    answers = [{} for _ in rows]
+
+    def ask(depth, asked):
+        asked = pa.Table.from_batches(asked)
+        out = []
+        for g in set(asked.column("g").to_pylist()):
+            one = asked.filter(pa.compute.equal(asked.column("g"), g))
+            out += suffix_tree_lm.answers_of(depth, tree.groups)(one).to_pylist()
+        for r in out:
+            answers[r["chunk"]].setdefault(depth, {})[r["g"]] = (r["n"], r["states"], r["words"])
+        return out, sum(len(v or b"") for c in ("s", "runs", "sym", "n", "need", "alone") for v in (asked.column(c).to_pylist() if c in asked.column_names else ()))
+
+    out, _ = ask(0, [suffix_tree_lm.word_questions(suffix_tree_lm.unpack(r["words"]), 2).rows(r["chunk"], suffix_tree_lm.unpack(r["seen"]), np.zeros(len(suffix_tree_lm.unpack(r["words"])), int)) for r in rows])
+    tree.n, tree.v, tree.bound = sum(r["total"] for r in out), sum(r["kinds"] for r in out), 2 * max(r["names"] for r in out)
+    _, size = ask(1, [suffix_tree_lm.walk(r, a, tree, 1) for r, a in zip(rows, answers)])
+    assert size < 301_000
+
+
 def test_suffix_tree_edges(documents):
     assert suffix_tree_lm.scored(documents(ODD).limit(0)).count() == 0
     only = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2)
