@@ -147,3 +147,17 @@ def test_a_long_text_of_one_word_stays_small():
     key, *_ = compact_windows.overlaps(*arrays)
     assert tracemalloc.get_traced_memory()[1] < 200e6 and len(key) < 400_000
     tracemalloc.stop()
+
+
+def test_windows_of_a_large_batch_are_found_in_small_chunks():
+    class Rows:
+        def mapInArrow(self, fn, schema):
+            return fn
+
+    text = " ".join(f"w{k}" for k in range(1000))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array([f"{k} {text}" for k in range(400)])], names=["n", "text"])
+    for fn in (compact_windows._value_names(Rows()), compact_windows._windows(Rows(), np.full(1 << 20, np.uint64(2**64 - 1)))):
+        tracemalloc.start()
+        assert sum(len(b) for b in fn(iter([batch]))) > 400
+        assert tracemalloc.get_traced_memory()[1] < 30e6
+        tracemalloc.stop()
