@@ -17,8 +17,9 @@ groups by the context's hash, summed there over all chunks, the divergence test
 with each pair the count that would pass), and answers go back in the order of the questions: the
 count of each pair, and k(s) of each context, or 0 if it is no state. At depth 0 words get numbers, by
 which deeper rounds name tokens and contexts. A token that occurs once in training after a context, and in no
-held-out text, occurs once after the longer context too: such pairs are not asked for, only counted in k(s). A context with more than a quarter
-of an average group's tokens is dealt by pair instead, and its k(s) goes through the driver: there
+held-out text, occurs once after the longer context too: such pairs are not asked for, only counted in k(s); nor are those that
+do not occur in training after the shorter context. What is asked for rises within a group, contexts by name and the tokens of each
+by number, and is sent as steps. A context with more than a quarter of an average group's tokens is dealt by pair instead, and its k(s) goes through the driver: there
 are at most ``4 x groups`` such contexts. So a hot word or pair makes at most one entry per chunk and spreads over all
 groups. The number of groups grows with the corpus.
 
@@ -57,8 +58,25 @@ def not_trained(doc_id: str):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-def pack(values: np.ndarray) -> bytes:
-    """An array of non-negative integers, in the smallest type that holds it, byte by byte of all values, compressed."""
+def steps(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """What each value adds to the one before, as 64-bit numbers that wrap around; values at ``starts`` are as they are."""
+    out = values.astype(np.uint64)
+    out[1:] -= values[:-1].astype(np.uint64)
+    out[starts] = values[starts]
+    return out
+
+
+def summed(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The inverse of ``steps``; ``starts`` ascend from 0."""
+    out = np.cumsum(values, dtype=np.uint64)
+    return out - np.repeat(out[starts] - values[starts], np.diff(np.append(starts, len(values))))
+
+
+def pack(values: np.ndarray, rising: bool = False) -> bytes:
+    """An array of non-negative integers, in the smallest type that holds it, byte by byte of all values, compressed; of ``rising`` ones the steps."""
+    if rising:
+        data = pack(steps(values, np.arange(min(1, len(values)))))
+        return data[:1].lower() + data[1:]
     top = int(values.max(initial=0))
     kind = next(k for k in "BHIQ" if top < 1 << 8 * np.dtype(k).itemsize)
     raw = np.ascontiguousarray(values, np.dtype(kind)).view(np.uint8)
@@ -67,6 +85,8 @@ def pack(values: np.ndarray) -> bytes:
 
 
 def unpack(data: bytes) -> np.ndarray:
+    if data[:1].islower():
+        return np.cumsum(unpack(data[:1].upper() + data[1:]), dtype=np.uint64)
     raw = pa.decompress(data[9:], int.from_bytes(data[1:9], "little"), "zstd", asbytes=True)
     kind = np.dtype(chr(data[0]))
     if kind.itemsize == 1:
@@ -132,7 +152,7 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = [v for x in out for v in x]
         seen = np.bincount(at[np.repeat(~np.array(out, bool), lengths)], minlength=len(words))
         seen = asked_counts(seen, np.bincount(at, minlength=len(words)))
-        values = [[number], [len(at)], [[v for x in ids for v in x]], [out], [pack(lengths)], [pack(words)], [pack(seen)], [pack(at)]]
+        values = [[number], [len(at)], [[v for x in ids for v in x]], [out], [pack(lengths)], [pack(words, rising=True)], [pack(seen)], [pack(at)]]
         types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names=["chunk", "tokens", "doc_id", "held_out", "lengths", "words", "seen", "ids"])
 
@@ -164,11 +184,11 @@ class Questions:
     """The distinct (context, token) pairs of a chunk at one depth, in the order in which they are asked.
 
     ``context`` and ``token`` are numbers within the chunk, sorted by context; ``s`` names by context, ``sym`` by token.
-    ``alone`` counts for each context the tokens that follow it but are not asked for; a context may have no others.
+    ``alone`` counts for each context the tokens that occur once after it and are not asked for; a context may have no others.
     """
 
     def __init__(self, context: np.ndarray, token: np.ndarray, s: np.ndarray, sym: np.ndarray, hot: np.ndarray, groups: int, alone: np.ndarray):
-        bare = np.flatnonzero((alone > 0) & (np.bincount(context, minlength=len(s)) == 0))
+        bare = np.flatnonzero(np.bincount(context, minlength=len(s)) == 0)
         # a context without pairs has one entry without a token
         context, token = np.append(context, bare), np.append(token, np.full(len(bare), -1))
         order = np.argsort(context, kind="stable") if len(bare) else slice(None)
@@ -176,11 +196,12 @@ class Questions:
         self.asked = np.flatnonzero(token >= 0)
         group = mix(s[context] + GOLDEN) % np.uint64(groups)
         by_pair = mix(s[context] ^ mix(sym[token])) % np.uint64(groups) + np.uint64(groups)
-        group = np.where(hot[context], by_pair, group).astype(np.int64)
+        group = np.where(hot[context], by_pair, group).astype(np.uint16 if groups < 1 << 15 else np.int64)  # short numbers sort fast
         self.order = np.argsort(group, kind="stable")
         self.context, self.token, self.s, self.sym, self.hot, self.alone = context, token, s, sym, hot, alone
-        self.groups, starts = np.unique(group[self.order], return_index=True)
-        self.bounds = list(zip(self.groups.tolist(), starts.tolist(), [*starts[1:].tolist(), len(self.order)]))
+        group = group[self.order]
+        starts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+        self.bounds = list(zip(group[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(group)]))
 
     def runs(self, own: np.ndarray) -> np.ndarray:
         """Where each context starts among the pairs of a group."""
@@ -191,6 +212,7 @@ class Questions:
         """Questions by group; ``n`` (see ``asked_counts``) and ``need`` are given for the pairs that have a token."""
         out: list[list] = [[] for _ in range(8)]
         pair = np.cumsum(self.token >= 0) - 1
+        alone = self.alone.copy()
         for group, a, b in self.bounds:
             own = self.order[a:b]
             starts = self.runs(own)
@@ -198,8 +220,9 @@ class Questions:
             there = self.token[own] >= 0
             runs = np.add.reduceat(there.astype(np.int64), starts)
             own = own[there]
-            row = (group, chunk, pack(self.s[contexts]), pack(runs), pack(self.alone[contexts]),
-                   pack(self.sym[self.token[own]]), pack(n[pair[own]]), pack(need[pair[own]]))
+            sym = steps(self.sym[self.token[own]], (np.cumsum(runs) - runs)[runs > 0])
+            row = (group, chunk, pack(self.s[contexts], rising=True), pack(runs), pack(alone[contexts]), pack(sym), pack(n[pair[own]]), pack(need[pair[own]]))
+            alone[contexts] = 0  # a hot context has entries in several groups and is counted in one
             for column, v in zip(out, row):
                 column.append(v)
         types = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
@@ -250,9 +273,10 @@ def answers_of(depth: int, groups: int):
         sizes, contexts = np.array([len(x) for x in sym]), np.array([len(x) for x in s])
         joined = lambda v, kind: np.concatenate([x.astype(kind) for x in v])
         s, runs, sym = joined(s, np.uint64), joined(runs, np.int64), joined(sym, np.uint64)
-        names, which = np.unique(s, return_inverse=True)
+        sym = summed(sym, (np.cumsum(runs) - runs)[runs > 0])
+        names, which = distinct_hashes(s)
         owner = np.repeat(which, runs)
-        pair, at = np.unique(mix(np.repeat(s, runs) + mix(sym + GOLDEN)), return_inverse=True)
+        pair, at = distinct_hashes(mix(np.repeat(s, runs) + mix(sym + GOLDEN)))
         n = joined(n, np.int64)
         total = np.bincount(at, n >> 1, minlength=len(pair)).astype(np.int64)
         held = np.bincount(at, n & 1, minlength=len(pair)) > 0
@@ -268,12 +292,13 @@ def answers_of(depth: int, groups: int):
         ends, c_ends = np.cumsum(sizes), np.cumsum(contexts)
         first = [1] + [0] * (len(sizes) - 1)  # what is said once for the whole group
         own = [{"s": int(x), "k": int(k), "passed": bool(f)} for x, k, f in zip(names.view(np.int64), kinds, state)] if hot else []
-        words = [None] * len(first)
-        if depth == 0:  # frequent words get small numbers
-            number = np.empty(len(pair), np.int64)
-            number[np.argsort(-total, kind="stable")] = np.arange(len(pair)) * groups + group - groups
+        words, counts, several = [None] * len(first), answered_counts(total, held), 0
+        if depth == 0:  # frequent words get small numbers; those that no deeper round asks for need none
+            several = int((counts > 1).sum())
+            number = np.zeros(len(pair), np.int64)
+            number[np.argsort(np.where(counts > 1, -total, 1), kind="stable")[:several]] = np.arange(several) * groups + group - groups
             words = [pack(x) for x in np.split(number[at], ends[:-1])]
-        counts = answered_counts(total, held)[at]
+        counts = counts[at]
         return pa.table({
             "chunk": table.column("chunk"), "depth": pa.array([depth] * len(first), pa.int32()), "g": table.column("g"),
             "n": pa.array([pack(x) for x in np.split(counts, ends[:-1])], pa.binary()),
@@ -281,7 +306,7 @@ def answers_of(depth: int, groups: int):
             "words": pa.array(words, pa.binary()),
             "hot": pa.array([own if f else [] for f in first], pa.list_(pa.struct([("s", pa.int64()), ("k", pa.int64()), ("passed", pa.bool_())]))),
             "total": pa.array([int(total.sum()) * f for f in first], pa.int64()), "kinds": pa.array([int((total > 0).sum()) * f for f in first], pa.int64()),
-            "names": pa.array([len(pair)] * len(first), pa.int64())})
+            "names": pa.array([several] * len(first), pa.int64())})
 
     return fn
 
@@ -310,6 +335,11 @@ def walk(row: dict, answers: dict[int, dict[int, tuple[bytes, ...]]], tree: Tree
     words = word_questions(sym, tree.groups)
     count, single, _ = words.answered(answers[0], (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
     number = words.numbers(answers[0])
+    # from here on the chunk's words are in the order of their numbers, so that names of contexts and tokens rise
+    order = np.argsort(number, kind="stable")
+    rank = np.empty(size, np.int32)
+    rank[order] = np.arange(size, dtype=np.int32)
+    ids, number, count, single = rank[ids], number[order], count[order], single[order]
     root = (count + 1) / (tree.n + tree.v + 1)
     p, last, alone = root[ids], count[ids], single[ids]
     pos, context = np.arange(len(ids), dtype=np.int32), np.zeros(len(ids), np.int32)
@@ -321,13 +351,19 @@ def walk(row: dict, answers: dict[int, dict[int, tuple[bytes, ...]]], tree: Tree
         pos, context, n = pos[tried], context[tried], n[tried]
         name, context = distinct(context.astype(np.int64) << width | ids[pos - d], len(s).bit_length() + width)
         s = named(s[name >> width], number[name & mask], d, tree.bound)
+        if (s[1:] < s[:-1]).any():  # hashes
+            order = np.argsort(s, kind="stable")
+            rank = np.empty(len(s), np.int32)
+            rank[order] = np.arange(len(s), dtype=np.int32)
+            s, context = s[order], rank[context]
         n_of = np.zeros(len(name), np.int64)
         n_of[context] = n
         hot = tree.is_hot(n_of)
-        # the one training occurrence of a token after a shorter context is the one after this context
-        known = alone[pos] & ~hot[context]
+        # the one training occurrence of a token after a shorter context is the one after this context; where there is none, none
+        known = alone[pos]
         unasked = np.bincount(context[known], minlength=len(name))
-        ask = np.flatnonzero(~known)
+        shorter = last[pos]
+        ask = np.flatnonzero(~known & (shorter > 0))
         pair, at = distinct(context[ask].astype(np.int64) << width | ids[pos[ask]], len(name).bit_length() + width)
         of, token = pair >> width, pair & mask
         asked = Questions(of, token, s, number, hot, tree.groups, unasked)
@@ -337,7 +373,7 @@ def walk(row: dict, answers: dict[int, dict[int, tuple[bytes, ...]]], tree: Tree
             all_of, seen = (np.bincount(v, minlength=len(pair)) for v in (at, at[trained[pos[ask]]]))
             return asked.rows(row["chunk"], asked_counts(seen, all_of), needed(n_of[of], before))
         total, single, kinds = asked.answered(answers.get(d, {}), tree.hot[d])
-        found = np.ones(len(pos), np.int64)
+        found = np.minimum(shorter, 1)
         found[ask] = total[at]
         alone[pos[ask]] = single[at]
         last.fill(-1)

@@ -118,6 +118,46 @@ def test_suffix_tree_chunks_and_questions_stay_small(monkeypatch):
     assert size < 301_000
 
 
+def test_suffix_tree_names_by_hash_and_unseen_followers(documents, monkeypatch):
+    """Names that do not fit into 63 bits, and contexts that a chunk holds before words without a training count only."""
+
+    class Wide(suffix_tree_lm.Tree):
+        bound = property(lambda self: 1 << 40, lambda self, value: None)
+
+    monkeypatch.setattr(suffix_tree_lm, "Tree", Wide)
+    ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 7 != 2]
+    out = [k for k in range(60) if zlib.crc32(str(k).encode()) % 7 == 2]
+    rows = [(k, f"alpha beta gamma delta {'epsilon' if k % 2 else 'zeta'} alone{k}") for k in ids] + [(k, f"alpha unseen{k} beta gamma unseen delta new{k}") for k in out]
+    for groups in (3_000_000, 20):
+        monkeypatch.setattr(suffix_tree_lm, "GROUP_TOKENS", groups)
+        got = sorted((tuple(r) for r in suffix_tree_lm.scored(documents(rows).repartition(len(rows))).collect()), key=lambda r: repr(r[:4]))
+        want = tree_scores(rows, suffix_tree_lm.DEPTH, suffix_tree_lm.MIN_COUNT, suffix_tree_lm.RETAIN)
+        assert [r[:5] for r in got] == [r[:5] for r in want]
+        assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9)
+
+
+def test_suffix_tree_rising_numbers_are_packed_by_steps():
+    rng = np.random.default_rng(3)
+    for top, size in ((1 << 62, 0), (1 << 62, 1), (1 << 62, 50_000), (300, 5_000)):
+        values = np.sort(rng.integers(0, top, size).astype(np.uint64))
+        assert (suffix_tree_lm.unpack(suffix_tree_lm.pack(values, rising=True)) == values).all()
+        starts = np.flatnonzero(np.append(True, rng.random(max(0, size - 1)) < 0.1))[:size]
+        mixed = rng.permutation(values)
+        assert (suffix_tree_lm.summed(suffix_tree_lm.steps(mixed, starts), starts) == mixed).all()
+    values = np.sort(rng.integers(0, 1 << 40, 50_000))
+    assert len(suffix_tree_lm.pack(values, rising=True)) < len(suffix_tree_lm.pack(values)) < len(suffix_tree_lm.pack(rng.permutation(values)))
+
+
+def test_suffix_tree_does_not_ask_for_what_is_known():
+    """Tokens without a training count are not asked for after longer contexts, their contexts are; single ones after a hot context count once."""
+    sym = np.array([5, 6, 7], np.uint64)
+    asked = suffix_tree_lm.Questions(np.array([0, 0, 0]), np.arange(3), np.array([1, 2], np.uint64), sym, np.array([True, False]), 4, np.array([9, 0]))
+    rows = asked.rows(0, np.ones(3, np.int64), np.zeros(3, np.int64)).to_pylist()
+    names = [x for r in rows for x in suffix_tree_lm.unpack(r["s"]).tolist()]
+    assert set(names) == {1, 2}
+    assert sum(int(suffix_tree_lm.unpack(r["alone"]).sum()) for r in rows) == 9
+
+
 def test_suffix_tree_edges(documents):
     assert suffix_tree_lm.scored(documents(ODD).limit(0)).count() == 0
     only = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2)
