@@ -152,6 +152,68 @@ def test_edited_passages_by_definition(words):
                 assert min(e - s, e0 - s0) + 1 >= compact_windows.MIN_TOKENS and 5 * common >= 4 * ((e - s + 1) + (e0 - s0 + 1) - common)
 
 
+@pytest.mark.parametrize("names", [8, 30, 1000])
+@pytest.mark.parametrize("table", [1 << 22, 0])
+def test_many_pairs_are_compared_as_one_by_one(monkeypatch, names, table):
+    """Edited, cut, repeated and periodic passages; tokens of few names repeat inside a text."""
+    monkeypatch.setattr(compact_windows, "TABLE", table)
+    monkeypatch.setattr(compact_windows, "MATCHED", 500)
+    rng = np.random.default_rng(names)
+    linked = 0
+    for _ in range(12):
+        base = [rng.integers(0, names, rng.integers(46, 150)) for _ in range(3)]
+        texts = [np.zeros(0, np.int64), np.full(120, 7)]
+        for _ in range(8):
+            parts = [np.zeros(0, np.int64)]
+            for _ in range(rng.integers(1, 4)):
+                x = base[rng.integers(0, 3)]
+                at = int(rng.integers(0, len(x)))
+                parts += [x[:at], rng.integers(2000, 3000, rng.integers(0, 4)), x[at + int(rng.integers(0, 4)):], x[:25], rng.integers(3000, 9000, 5)]
+            texts.append(np.concatenate(parts))
+        count = np.array([len(t) for t in texts])
+        a, b = np.array([(i, j) for i in range(len(texts)) for j in range(len(texts)) if i != j]).T
+        stretches = compact_windows.Stretches(np.concatenate(texts).astype(np.uint64), count)
+        pair, part = stretches.similar(a, b)
+        want = [(k, *p) for k, (i, j) in enumerate(zip(a, b)) for p in compact_windows.segments(texts[i].astype(np.uint64), texts[j].astype(np.uint64))]
+        assert [(k, *p) for k, p in zip(pair.tolist(), part.tolist())] == want
+        everyone = (0, len(texts))
+        assert stretches.common(everyone, everyone)[a, b].tolist() == [int(np.isin(texts[i], texts[j]).sum()) for i, j in zip(a, b)]
+        linked += len(want)
+    assert linked > 100
+    pair, part = compact_windows.Stretches(np.zeros(0, np.uint64), np.array([0, 0])).similar(np.array([1]), np.array([0]))
+    assert len(pair) == 0 and part.shape == (0, 4)
+
+
+def test_texts_that_meet_under_many_keys_are_compared_once(monkeypatch):
+    """A pair that is not similar around a key, and one that is; holders of one class are not compared."""
+    calls = []
+    real = compact_windows.segments
+    monkeypatch.setattr(compact_windows, "segments", lambda a, b: calls.append(1) or real(a, b))
+    a = np.arange(100, 190, dtype=np.uint32)
+    unlike = a.copy()
+    unlike[::2] = np.arange(5000, 5045)
+    holders = [(11, 1, a), (12, 1, a[:80]), (21, 2, unlike), (31, 3, a[10:])]  # n, root, tokens
+    cell, n, root, tokens = zip(*[(k, *h) for k in range(40) for h in holders])
+    joined, asked = {}, set()
+    found = compact_windows._compare(np.array(cell), np.array(n), np.array(root), [t.tobytes() for t in tokens], joined, asked)
+    assert (31, 11) in found or (31, 12) in found
+    assert len(found) == len(set(found)) <= 4 and len(calls) == len(found) and set(found) <= {(21, 11), (21, 12), (31, 11), (31, 12), (31, 21)}
+    assert joined and asked == set(found)
+
+
+def test_rows_of_a_key_stay_together(monkeypatch):
+    rows = [(k, i) for k, size in ((1, 3), (2, 1), (3, 40), (4, 2)) for i in range(size)]
+    batches = [pa.RecordBatch.from_pydict({"k": [r[0] for r in rows[s:s + 4]], "i": [r[1] for r in rows[s:s + 4]]}) for s in range(0, len(rows), 4)]
+    for together in (100, 10):
+        monkeypatch.setattr(compact_windows, "TOGETHER", together)
+        got = list(compact_windows.whole(iter(batches), "k"))
+        assert [tuple(r.values()) for b, _ in got for r in b.to_pylist()] == rows
+        keys = [set(b.column("k").to_pylist()) for b, _ in got]
+        for key in range(1, 5):
+            assert sum(key in k for k in keys) == 1 or (key == 3 and together == 10)
+        assert all(parted == 3 for k, (_, parted) in zip(keys, got) if 3 in k) or together == 100
+
+
 def kernel_by_definition(s, t, order, decay):
     from itertools import combinations
     total = 0.0
